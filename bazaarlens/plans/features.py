@@ -1,0 +1,178 @@
+"""Feature tables per order, seller, category and customer state.
+
+Every table is defined over the rows of master. The ``*_features`` functions
+here reach the same result from the raw datasets without building master:
+they join only the datasets a table has columns from, and aggregate before they
+look up. That takes order_id, product_id, customer_id and seller_id to be
+unique in their own dataset wherever a lookup is skipped.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from bazaarlens.operators.cleaning import translate_products
+from bazaarlens.operators.joins import HOT_ROWS, fan_out
+from bazaarlens.operators.rollup import mean_of, mean_parts, rollup, sales_measures
+from bazaarlens.plans.master import Datasets, item_rows, order_rows
+
+CATEGORY = "product_category_name_english"
+
+
+def _order_table(rows: DataFrame, item_columns: list[Column]) -> DataFrame:
+    return rows.groupBy("order_id").agg(
+        *item_columns,
+        F.avg("avg_review_score").alias("order_review_score"),
+        F.avg("delivery_delay_days").alias("order_delay_days"),
+        F.avg("is_late").alias("order_is_late"),
+        F.avg("total_payment").alias("order_payment_value"),
+    )
+
+
+def _seller_table(measures: DataFrame) -> DataFrame:
+    # The smallest (city, state) pair: one row's values, the same on every run.
+    place = F.min(F.struct("seller_city", "seller_state")).alias("place")
+    return rollup(measures, "seller_id", extra=(place,)).select(
+        "seller_id",
+        F.col("place.seller_city").alias("seller_city"),
+        F.col("place.seller_state").alias("seller_state"),
+        mean_of("review").alias("seller_avg_review"),
+        mean_of("late").alias("seller_late_rate"),
+        F.col("orders_n").alias("seller_total_orders"),
+        mean_of("price").alias("seller_avg_price"),
+    )
+
+
+def _category_table(measures: DataFrame) -> DataFrame:
+    return rollup(measures, CATEGORY).select(
+        CATEGORY,
+        mean_of("price").alias("category_avg_price"),
+        mean_of("review").alias("category_avg_review"),
+        F.col("orders_n").alias("category_total_orders"),
+        mean_of("late").alias("category_late_rate"),
+    )
+
+
+def _state_measures(rows: DataFrame, *keys: str, weight: Column | int = 1) -> DataFrame:
+    weight = F.lit(weight) if isinstance(weight, int) else weight
+    return rows.select(
+        *keys,
+        F.when(F.col("order_id").isNotNull(), weight).otherwise(0).cast("bigint").alias("orders_n"),
+        *mean_parts("payment", F.col("total_payment"), weight),
+        *mean_parts("late", F.col("is_late"), weight),
+    )
+
+
+def _state_table(measures: DataFrame) -> DataFrame:
+    return rollup(measures, "customer_state").select(
+        "customer_state",
+        F.col("orders_n").alias("state_total_orders"),
+        mean_of("payment").alias("state_avg_payment"),
+        mean_of("late").alias("state_late_rate"),
+    )
+
+
+def features_from_master(master: DataFrame) -> dict[str, DataFrame]:
+    """The four feature tables of a master table, each in one pass over it."""
+    return {
+        "order_features": _order_table(
+            master,
+            [
+                F.sum("price").alias("order_total_price"),
+                F.sum("freight_value").alias("order_total_freight"),
+                F.count("product_id").alias("order_item_count"),
+            ],
+        ),
+        "seller_features": _seller_table(
+            sales_measures(master, "seller_id", "seller_city", "seller_state")
+        ),
+        "category_features": _category_table(sales_measures(master, CATEGORY)),
+        "customer_features": _state_table(_state_measures(master, "customer_state")),
+    }
+
+
+def order_features(data: Datasets) -> DataFrame:
+    """Items are added up per order first, so no row count ever grows."""
+    items = (
+        data["order_items"]
+        .groupBy("order_id")
+        .agg(
+            F.sum("price").alias("price"),
+            F.sum("freight_value").alias("freight_value"),
+            F.count("product_id").alias("item_count"),
+        )
+    )
+    return _order_table(
+        order_rows(data).join(items, on="order_id", how="left"),
+        [
+            F.sum("price").alias("order_total_price"),
+            F.sum("freight_value").alias("order_total_freight"),
+            F.coalesce(F.sum("item_count"), F.lit(0)).alias("order_item_count"),
+        ],
+    )
+
+
+def sales_by_seller(data: Datasets, hot_rows: int = HOT_ROWS) -> DataFrame:
+    return rollup(sales_measures(item_rows(data, hot_rows), "seller_id"), "seller_id")
+
+
+def sales_by_product(data: Datasets, hot_rows: int = HOT_ROWS) -> DataFrame:
+    return rollup(sales_measures(item_rows(data, hot_rows), "product_id"), "product_id")
+
+
+def sales_by_seller_and_product(data: Datasets, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Serves both tables above, when both are wanted from one pass over the items."""
+    keys = ("seller_id", "product_id")
+    return rollup(sales_measures(item_rows(data, hot_rows), *keys), *keys)
+
+
+def seller_features(data: Datasets, sales: DataFrame | None = None) -> DataFrame:
+    sales = sales_by_seller(data) if sales is None else rollup(sales, "seller_id")
+    places = data["sellers"].select("seller_id", "seller_city", "seller_state")
+    return _seller_table(sales.join(places, on="seller_id", how="left"))
+
+
+def category_features(data: Datasets, sales: DataFrame | None = None) -> DataFrame:
+    sales = sales_by_product(data) if sales is None else rollup(sales, "product_id")
+    products = translate_products(data["products"], data["category"]).select("product_id", CATEGORY)
+    return _category_table(sales.join(products, on="product_id", how="left"))
+
+
+def customer_features(data: Datasets) -> DataFrame:
+    """An order counts once per item, or once if it has none: a weight, not a join."""
+    items = data["order_items"].groupBy("order_id").agg(F.count(F.lit(1)).alias("items"))
+    orders = order_rows(data).join(items, on="order_id", how="left")
+    measures = _state_measures(
+        orders, "customer_id", weight=F.coalesce(F.col("items"), F.lit(1))
+    )
+    states = data["customers"].select("customer_id", "customer_state")
+    return _state_table(
+        rollup(measures, "customer_id").join(states, on="customer_id", how="left")
+    )
+
+
+def seller_features_window(data: Datasets, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Master rows with the four means of their seller beside them.
+
+    This is what four whole-partition windows over seller_id give. A window
+    puts all rows of a seller, or of no seller, into one task; the means are
+    aggregated and joined back instead, splitting the rows of large sellers.
+    """
+    rows = item_rows(data, hot_rows)
+    means = rollup(sales_measures(rows, "seller_id"), "seller_id").select(
+        "seller_id",
+        mean_of("review").alias("seller_avg_review"),
+        mean_of("late").alias("seller_late_rate"),
+        F.col("orders_n").alias("seller_total_orders"),
+        mean_of("price").alias("seller_avg_price"),
+        F.col("late_n").alias("n"),
+    )
+    return fan_out(
+        means.drop("n"),
+        rows.select("order_id", "product_id", "seller_id"),
+        "seller_id",
+        hot_rows,
+        counts=means.select("seller_id", "n"),
+        null_safe=True,
+    )

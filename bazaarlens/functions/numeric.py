@@ -1,4 +1,7 @@
-"""Numbers: reading them from text, rounding them, comparing them."""
+"""Numbers: reading them from text, rounding them, comparing them.
+
+Functions take a SQL expression, most often just a column name.
+"""
 
 from __future__ import annotations
 
@@ -11,46 +14,49 @@ from pyspark.sql import types as T
 EXACT = "decimal(28,10)"
 
 
-def to_double(value: Column) -> Column:
+def to_double_sql(value: str) -> str:
+    return f"nullif(try_cast({value} AS double), double('NaN'))"
+
+
+def to_double(value: str) -> Column:
     """The number a text holds; null when it holds none (NaN counts as none)."""
-    number = value.try_cast("double")
-    return F.when(~F.isnan(number), number)
+    return F.expr(to_double_sql(value))
 
 
-def is_not_number(value: Column) -> Column:
+def is_not_number(value: str) -> Column:
     """True for missing values and for text that is no plain decimal number."""
-    java_suffix = value.cast("string").rlike(r"[0-9.][dDfF]\s*$")
-    return to_double(value).isNull() | java_suffix
+    java_suffix = rf"string({value}) RLIKE r'[0-9.][dDfF]\s*$'"
+    return F.expr(f"{to_double_sql(value)} IS NULL OR {java_suffix}")
+
+
+def rounded_sql(value: str, digits: int) -> str:
+    return (
+        f"coalesce(double(round(try_cast({value} AS {EXACT}), {digits})), double({value}))"
+    )
 
 
-def rounded(value: Column, digits: int) -> Column:
+def rounded(value: str, digits: int) -> Column:
     """Half-up rounding of the decimal value; infinities stay as they are."""
-    value = value.cast("double")
-    return F.coalesce(F.round(value.try_cast(EXACT), digits).cast("double"), value)
+    return F.expr(rounded_sql(value, digits))
 
 
-def percent(rate: Column) -> Column:
+def percent(rate: str) -> Column:
     """A rate between 0 and 1 as a percentage with one digit."""
-    return rounded(rate * 100, 1)
+    return rounded(f"{rate} * 100", 1)
 
 
-def exact(value: Column) -> Column:
+def exact(value: str) -> Column:
     """Sort key of a double: equal up to summation noise means equal."""
-    return value.try_cast(EXACT)
-
-
-def ratio(total: Column, count: Column) -> Column:
-    """Mean from a sum and a count; null when nothing was counted."""
-    return F.try_divide(total.cast("double"), count)
+    return F.expr(f"try_cast({value} AS {EXACT})")
 
 
 def settle_doubles(frame: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double column, for comparing results between runs and engines."""
-    return frame.select(
+    return frame.selectExpr(
         *(
-            rounded(F.col(f.name), digits).alias(f.name)
+            f"{rounded_sql(f'`{f.name}`', digits)} AS `{f.name}`"
             if isinstance(f.dataType, T.DoubleType)
-            else F.col(f.name)
+            else f"`{f.name}`"
             for f in frame.schema.fields
         )
     )

@@ -12,19 +12,16 @@ from bazaarlens.functions.numeric import to_double
 def clean_orders(orders: DataFrame) -> DataFrame:
     """Orders that were delivered, with known purchase and delivery times."""
     return orders.filter(
-        (F.col("order_status") == "delivered")
-        & F.col("order_delivered_customer_date").isNotNull()
-        & F.col("order_purchase_timestamp").isNotNull()
+        "order_status = 'delivered' AND order_delivered_customer_date IS NOT NULL "
+        "AND order_purchase_timestamp IS NOT NULL"
     )
 
 
 def with_delivery(orders: DataFrame) -> DataFrame:
     """Add the delivery delay in days and the late flag."""
-    delay = delay_days(
-        F.col("order_delivered_customer_date"), F.col("order_estimated_delivery_date")
-    )
-    return orders.withColumn("delivery_delay_days", delay).withColumn(
-        "is_late", late_flag(F.col("delivery_delay_days"))
+    delay = delay_days("order_delivered_customer_date", "order_estimated_delivery_date")
+    return orders.select("*", delay.alias("delivery_delay_days")).select(
+        "*", late_flag("delivery_delay_days").alias("is_late")
     )
 
 
@@ -39,8 +36,8 @@ def payment_agg(payments: DataFrame) -> DataFrame:
 def review_agg(reviews: DataFrame) -> DataFrame:
     """Mean review score per order, over the scores that are numbers."""
     return (
-        reviews.select("order_id", to_double(F.col("review_score")).alias("review_score"))
-        .filter(F.col("review_score").isNotNull())
+        reviews.select("order_id", to_double("review_score").alias("review_score"))
+        .filter("review_score IS NOT NULL")
         .groupBy("order_id")
         .agg(F.avg("review_score").alias("avg_review_score"))
     )

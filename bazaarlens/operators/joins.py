@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Rows of one key that a single task may hold before the key is split.
@@ -28,58 +28,52 @@ def fan_out(
     one: DataFrame,
     many: DataFrame,
     key: str,
+    how: str = "left",
     hot_rows: int = HOT_ROWS,
     counts: DataFrame | None = None,
-    null_safe: bool = False,
 ) -> DataFrame:
-    """``one`` left join ``many`` on ``key``, where ``many`` may be skewed.
+    """Join ``one`` with ``many`` on ``key``, where ``many`` may be skewed.
 
-    A left join cannot split its right side, so a hot key of ``many`` would end
-    up in one task. Here the rows of a hot key are spread over several parts,
-    and the row of ``one`` is repeated once per part. Parts of a hot key that
-    received no row would add an unmatched row each; those are dropped, which
-    is exact because a hot key has rows by definition.
+    The rows of a hot key of ``many`` are spread over several parts, and the
+    row of ``one`` is repeated once per part. Adaptive execution cannot do this
+    here: it never splits the right side of a left join.
 
-    ``counts`` (key, n) gives the rows per key of ``many`` if already known.
-    With ``null_safe``, null keys match each other.
+    ``how`` is "left", or "inner" with null keys matching each other. ``counts``
+    (key, n) gives the rows per key of ``many`` if already known.
     """
+    inner = how == "inner"
     if counts is None:
-        counts = many.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-        if not null_safe:
-            counts = counts.filter(F.col(key).isNotNull())
+        known = many if inner else many.filter(f"{key} IS NOT NULL")
+        counts = known.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     # At most MAX_HOT_KEYS rows, whatever the data: safe to broadcast.
     hot = F.broadcast(
         counts.filter(F.col("n") > hot_rows)
         .orderBy(F.desc("n"), F.asc_nulls_last(key))
         .limit(MAX_HOT_KEYS)
-        .select(
-            F.col(key).alias("_hot_key"),
-            F.ceil(F.col("n") / hot_rows).cast("int").alias("_parts"),
-        )
+        .selectExpr(f"{key} AS _hot_key", f"int(ceil(n / {hot_rows})) AS _parts")
     )
 
-    def with_parts(frame: DataFrame, column: str) -> DataFrame:
-        same = F.col(column).eqNullSafe(F.col("_hot_key"))
-        marked = frame.join(hot, same if null_safe else F.col(column) == F.col("_hot_key"), "left")
-        return marked.withColumn("_parts", F.coalesce("_parts", F.lit(1))).drop("_hot_key")
+    def same(a: str, b: str) -> Column:
+        return F.col(a).eqNullSafe(F.col(b)) if inner else F.col(a) == F.col(b)
 
-    left = with_parts(one, key).withColumn(
-        "_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))
-    )
+    def with_parts(frame: DataFrame, column: str, part: str) -> DataFrame:
+        marked = frame.join(hot, same(column, "_hot_key"), "left")
+        return marked.selectExpr(
+            *frame.columns, "coalesce(_parts, 1) AS _parts"
+        ).selectExpr("*", part)
+
+    left = with_parts(one, key, "explode(sequence(0, _parts - 1)) AS _part")
     # The number of the reading task spreads even identical rows, and a retried
     # task gives the same answer.
-    right = (
-        with_parts(many.withColumnRenamed(key, "_many_key"), "_many_key")
-        .withColumn("_many_part", F.pmod(F.spark_partition_id(), F.col("_parts")))
-        .withColumn("_matched", F.lit(True))
-        .drop("_parts")
-    )
-    same_key = (
-        F.col(key).eqNullSafe(F.col("_many_key"))
-        if null_safe
-        else F.col(key) == F.col("_many_key")
-    )
-    joined = left.join(right, same_key & (F.col("_part") == F.col("_many_part")), "left")
-    return joined.filter(F.col("_matched") | (F.col("_parts") == 1)).drop(
+    right = with_parts(
+        many.withColumnRenamed(key, "_many_key"),
+        "_many_key",
+        "spark_partition_id() % _parts AS _many_part",
+    ).selectExpr("* EXCEPT (_parts)", "true AS _matched")
+
+    joined = left.join(right, same(key, "_many_key") & F.expr("_part = _many_part"), how)
+    # A part that received no row leaves an unmatched copy behind. Keys in parts
+    # have rows by definition, so any unmatched row of theirs is such a copy.
+    return joined.filter("_matched OR _parts = 1").drop(
         "_parts", "_part", "_many_key", "_many_part", "_matched"
     )

@@ -29,7 +29,7 @@ def bad_values(raw: Mapping[str, DataFrame], first: int = 5) -> DataFrame:
     return _union(
         [
             raw[name]
-            .filter(is_not_number(F.col(column)))
+            .filter(is_not_number(column))
             .select(
                 F.lit(name).alias("dataset"),
                 F.lit(column).alias("column_name"),
@@ -50,7 +50,7 @@ def bad_value_counts(raw: Mapping[str, DataFrame]) -> DataFrame:
             raw[name]
             .agg(
                 F.count(F.lit(1)).alias("total_rows"),
-                F.count_if(is_not_number(F.col(column))).alias("bad_rows"),
+                F.count_if(is_not_number(column)).alias("bad_rows"),
             )
             .select(
                 F.lit(name).alias("dataset"),

@@ -10,26 +10,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlens.functions.numeric import ratio
 
-
-def mean_parts(name: str, value: Column, weight: Column | int = 1) -> list[Column]:
+def mean_parts(name: str, value: str, weight: str = "1") -> list[str]:
     """The sum and the count of ``value``, standing for ``weight`` equal rows."""
-    weight = F.lit(weight) if isinstance(weight, int) else weight
     return [
-        (value.cast("double") * weight).alias(f"{name}_sum"),
-        F.when(value.isNotNull(), weight).otherwise(0).cast("bigint").alias(f"{name}_n"),
+        f"double({value}) * {weight} AS {name}_sum",
+        f"bigint(if({value} IS NOT NULL, {weight}, 0)) AS {name}_n",
     ]
 
 
 def sales_measures(rows: DataFrame, *keys: str) -> DataFrame:
-    """Master rows as addable measures: rows, orders, late, price and review."""
-    return rows.select(
+    """Master rows as addable measures: orders, late, price and review."""
+    return rows.selectExpr(
+        *keys,
+        "bigint(order_id IS NOT NULL) AS orders_n",
+        *mean_parts("late", "is_late"),
+        *mean_parts("price", "price"),
+        *mean_parts("review", "avg_review_score"),
+    )
+
+
+def payment_measures(orders: DataFrame, *keys: str, weight: str = "1") -> DataFrame:
+    """The measures of the state table; ``weight`` is the master rows of an order."""
+    return orders.selectExpr(
         *keys,
-        F.col("order_id").isNotNull().cast("bigint").alias("orders_n"),
-        *mean_parts("late", F.col("is_late")),
-        *mean_parts("price", F.col("price")),
-        *mean_parts("review", F.col("avg_review_score")),
+        f"bigint(if(order_id IS NOT NULL, {weight}, 0)) AS orders_n",
+        *mean_parts("payment", "total_payment", weight),
+        *mean_parts("late", "is_late", weight),
     )
 
 
@@ -41,5 +48,6 @@ def rollup(measures: DataFrame, *keys: str, extra: tuple[Column, ...] = ()) -> D
     return measures.groupBy(*keys).agg(*extra, *sums)
 
 
-def mean_of(name: str) -> Column:
-    return ratio(F.col(f"{name}_sum"), F.col(f"{name}_n"))
+def mean(name: str, column: str) -> str:
+    """The mean of a measure, as a select expression; null when nothing was counted."""
+    return f"try_divide({name}_sum, {name}_n) AS {column}"

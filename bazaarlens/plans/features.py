@@ -9,20 +9,28 @@ unique in their own dataset wherever a lookup is skipped.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlens.operators.cleaning import translate_products
 from bazaarlens.operators.joins import HOT_ROWS, fan_out
-from bazaarlens.operators.rollup import mean_of, mean_parts, rollup, sales_measures
+from bazaarlens.operators.rollup import mean, payment_measures, rollup, sales_measures
 from bazaarlens.plans.master import Datasets, item_rows, order_rows
+from bazaarlens.sources.storage import materialize
 
 CATEGORY = "product_category_name_english"
+SELLER_KEYS = ("seller_id", "seller_city", "seller_state")
+SELLER_MEANS = (
+    mean("review", "seller_avg_review"),
+    mean("late", "seller_late_rate"),
+    "orders_n AS seller_total_orders",
+    mean("price", "seller_avg_price"),
+)
 
 
-def _order_table(rows: DataFrame, item_columns: list[Column]) -> DataFrame:
+def _order_table(rows: DataFrame, item_columns: list[str]) -> DataFrame:
     return rows.groupBy("order_id").agg(
-        *item_columns,
+        *(F.expr(column) for column in item_columns),
         F.avg("avg_review_score").alias("order_review_score"),
         F.avg("delivery_delay_days").alias("order_delay_days"),
         F.avg("is_late").alias("order_is_late"),
@@ -32,44 +40,31 @@ def _order_table(rows: DataFrame, item_columns: list[Column]) -> DataFrame:
 
 def _seller_table(measures: DataFrame) -> DataFrame:
     # The smallest (city, state) pair: one row's values, the same on every run.
-    place = F.min(F.struct("seller_city", "seller_state")).alias("place")
-    return rollup(measures, "seller_id", extra=(place,)).select(
+    place = F.expr("min(struct(seller_city, seller_state)) AS place")
+    return rollup(measures, "seller_id", extra=(place,)).selectExpr(
         "seller_id",
-        F.col("place.seller_city").alias("seller_city"),
-        F.col("place.seller_state").alias("seller_state"),
-        mean_of("review").alias("seller_avg_review"),
-        mean_of("late").alias("seller_late_rate"),
-        F.col("orders_n").alias("seller_total_orders"),
-        mean_of("price").alias("seller_avg_price"),
+        "place.seller_city",
+        "place.seller_state",
+        *SELLER_MEANS,
     )
 
 
 def _category_table(measures: DataFrame) -> DataFrame:
-    return rollup(measures, CATEGORY).select(
+    return rollup(measures, CATEGORY).selectExpr(
         CATEGORY,
-        mean_of("price").alias("category_avg_price"),
-        mean_of("review").alias("category_avg_review"),
-        F.col("orders_n").alias("category_total_orders"),
-        mean_of("late").alias("category_late_rate"),
-    )
-
-
-def _state_measures(rows: DataFrame, *keys: str, weight: Column | int = 1) -> DataFrame:
-    weight = F.lit(weight) if isinstance(weight, int) else weight
-    return rows.select(
-        *keys,
-        F.when(F.col("order_id").isNotNull(), weight).otherwise(0).cast("bigint").alias("orders_n"),
-        *mean_parts("payment", F.col("total_payment"), weight),
-        *mean_parts("late", F.col("is_late"), weight),
+        mean("price", "category_avg_price"),
+        mean("review", "category_avg_review"),
+        "orders_n AS category_total_orders",
+        mean("late", "category_late_rate"),
     )
 
 
 def _state_table(measures: DataFrame) -> DataFrame:
-    return rollup(measures, "customer_state").select(
+    return rollup(measures, "customer_state").selectExpr(
         "customer_state",
-        F.col("orders_n").alias("state_total_orders"),
-        mean_of("payment").alias("state_avg_payment"),
-        mean_of("late").alias("state_late_rate"),
+        "orders_n AS state_total_orders",
+        mean("payment", "state_avg_payment"),
+        mean("late", "state_late_rate"),
     )
 
 
@@ -79,16 +74,18 @@ def features_from_master(master: DataFrame) -> dict[str, DataFrame]:
         "order_features": _order_table(
             master,
             [
-                F.sum("price").alias("order_total_price"),
-                F.sum("freight_value").alias("order_total_freight"),
-                F.count("product_id").alias("order_item_count"),
+                "sum(price) AS order_total_price",
+                "sum(freight_value) AS order_total_freight",
+                "count(product_id) AS order_item_count",
             ],
         ),
+        # Rows are hash-aggregated with their place first: taking the smallest
+        # place needs sorted groups, which only the few results should pay for.
         "seller_features": _seller_table(
-            sales_measures(master, "seller_id", "seller_city", "seller_state")
+            rollup(sales_measures(master, *SELLER_KEYS), *SELLER_KEYS)
         ),
         "category_features": _category_table(sales_measures(master, CATEGORY)),
-        "customer_features": _state_table(_state_measures(master, "customer_state")),
+        "customer_features": _state_table(payment_measures(master, "customer_state")),
     }
 
 
@@ -106,46 +103,52 @@ def order_features(data: Datasets) -> DataFrame:
     return _order_table(
         order_rows(data).join(items, on="order_id", how="left"),
         [
-            F.sum("price").alias("order_total_price"),
-            F.sum("freight_value").alias("order_total_freight"),
-            F.coalesce(F.sum("item_count"), F.lit(0)).alias("order_item_count"),
+            "sum(price) AS order_total_price",
+            "sum(freight_value) AS order_total_freight",
+            "coalesce(sum(item_count), 0) AS order_item_count",
         ],
     )
 
 
-def sales_by_seller(data: Datasets, hot_rows: int = HOT_ROWS) -> DataFrame:
-    return rollup(sales_measures(item_rows(data, hot_rows), "seller_id"), "seller_id")
-
-
-def sales_by_product(data: Datasets, hot_rows: int = HOT_ROWS) -> DataFrame:
-    return rollup(sales_measures(item_rows(data, hot_rows), "product_id"), "product_id")
-
-
-def sales_by_seller_and_product(data: Datasets, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Serves both tables above, when both are wanted from one pass over the items."""
-    keys = ("seller_id", "product_id")
+def sales_by(data: Datasets, *keys: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Measures of the master rows per seller, per product, or per pair of both."""
     return rollup(sales_measures(item_rows(data, hot_rows), *keys), *keys)
 
 
 def seller_features(data: Datasets, sales: DataFrame | None = None) -> DataFrame:
-    sales = sales_by_seller(data) if sales is None else rollup(sales, "seller_id")
-    places = data["sellers"].select("seller_id", "seller_city", "seller_state")
+    """``sales`` are measures per seller and anything finer, if already at hand."""
+    sales = sales_by(data, "seller_id") if sales is None else rollup(sales, "seller_id")
+    places = data["sellers"].select(*SELLER_KEYS)
     return _seller_table(sales.join(places, on="seller_id", how="left"))
 
 
 def category_features(data: Datasets, sales: DataFrame | None = None) -> DataFrame:
-    sales = sales_by_product(data) if sales is None else rollup(sales, "product_id")
+    """``sales`` are measures per product and anything finer, if already at hand."""
+    sales = sales_by(data, "product_id") if sales is None else rollup(sales, "product_id")
     products = translate_products(data["products"], data["category"]).select("product_id", CATEGORY)
     return _category_table(sales.join(products, on="product_id", how="left"))
 
 
+def report_tables(data: Datasets) -> dict[str, DataFrame]:
+    """Seller, category and state features, written out once for repeated use.
+
+    The first two come from one pass over the items, aggregated per seller and
+    product.
+    """
+    sales = materialize(sales_by(data, "seller_id", "product_id"), "sales")
+    tables = {
+        "sellers": seller_features(data, sales),
+        "categories": category_features(data, sales),
+        "states": customer_features(data),
+    }
+    return {name: materialize(table, name) for name, table in tables.items()}
+
+
 def customer_features(data: Datasets) -> DataFrame:
     """An order counts once per item, or once if it has none: a weight, not a join."""
     items = data["order_items"].groupBy("order_id").agg(F.count(F.lit(1)).alias("items"))
     orders = order_rows(data).join(items, on="order_id", how="left")
-    measures = _state_measures(
-        orders, "customer_id", weight=F.coalesce(F.col("items"), F.lit(1))
-    )
+    measures = payment_measures(orders, "customer_id", weight="coalesce(items, 1)")
     states = data["customers"].select("customer_id", "customer_state")
     return _state_table(
         rollup(measures, "customer_id").join(states, on="customer_id", how="left")
@@ -157,22 +160,20 @@ def seller_features_window(data: Datasets, hot_rows: int = HOT_ROWS) -> DataFram
 
     This is what four whole-partition windows over seller_id give. A window
     puts all rows of a seller, or of no seller, into one task; the means are
-    aggregated and joined back instead, splitting the rows of large sellers.
+    aggregated, written out once, and joined back, splitting large sellers.
     """
     rows = item_rows(data, hot_rows)
-    means = rollup(sales_measures(rows, "seller_id"), "seller_id").select(
-        "seller_id",
-        mean_of("review").alias("seller_avg_review"),
-        mean_of("late").alias("seller_late_rate"),
-        F.col("orders_n").alias("seller_total_orders"),
-        mean_of("price").alias("seller_avg_price"),
-        F.col("late_n").alias("n"),
+    means = materialize(
+        rollup(sales_measures(rows, "seller_id"), "seller_id").selectExpr(
+            "seller_id", *SELLER_MEANS, "late_n AS n"
+        ),
+        "seller_means",
     )
     return fan_out(
         means.drop("n"),
         rows.select("order_id", "product_id", "seller_id"),
         "seller_id",
-        hot_rows,
+        how="inner",
+        hot_rows=hot_rows,
         counts=means.select("seller_id", "n"),
-        null_safe=True,
     )

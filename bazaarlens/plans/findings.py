@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazaarlens.functions.numeric import exact, rounded
+from bazaarlens.functions.numeric import exact, rounded, rounded_sql
 from bazaarlens.plans.features import CATEGORY
 from bazaarlens.plans.reports import seller_summary
 
@@ -16,6 +16,11 @@ ACTIONS = {
 }
 
 
+def _flag_order() -> list[Column]:
+    """Largest deviation first."""
+    return [F.expr("abs(z)").desc(), F.col("entity_type"), F.col("entity_id"), F.col("metric")]
+
+
 def _population(table: DataFrame, kind: str, key: str, **metrics: str) -> DataFrame:
     """A feature table in long form: one row per entity and metric with a value."""
     values = F.array(
@@ -70,25 +75,24 @@ def anomaly_flags(
     baselines = entities.groupBy("entity_type", "metric").agg(
         F.avg("value").alias("baseline"), F.stddev_pop("value").alias("spread")
     )
-    z = (F.col("value") - F.col("baseline")) / F.nullif(F.col("spread"), F.lit(0.0))
+    z = "((value - baseline) / nullif(spread, 0.0D))"
     action = F.coalesce(
         *(F.when(F.col("metric") == metric, text) for metric, text in ACTIONS.items())
     )
     return (
         entities.join(F.broadcast(baselines), on=["entity_type", "metric"])
-        .withColumn("z", rounded(z, 6))
+        .select("*", rounded(z, 6).alias("z"))
         .filter(
-            ((F.col("metric") == "late_rate") & (F.col("z") >= z_min))
-            | ((F.col("metric") == "avg_review") & (F.col("z") <= -z_min))
+            f"(metric = 'late_rate' AND z >= {z_min}) OR (metric = 'avg_review' AND z <= -{z_min})"
         )
-        .orderBy(F.desc(F.abs("z")), "entity_type", "entity_id", "metric")
+        .orderBy(*_flag_order())
         .limit(n)
         .select(
             "entity_type",
             "entity_id",
             "metric",
-            rounded(F.col("value"), 6).alias("value"),
-            rounded(F.col("baseline"), 6).alias("baseline"),
+            rounded("value", 6).alias("value"),
+            rounded("baseline", 6).alias("baseline"),
             "z",
             action.alias("action"),
         )
@@ -96,53 +100,53 @@ def anomaly_flags(
 
 
 def _first(
-    rows: DataFrame, rank: int, theme: str, key: str, metric: str, value: Column, *order: Column
+    rows: DataFrame, order: Column, rank: int, theme: str, key: str, metric: str, value: str
 ) -> DataFrame:
     """The first row as an insight."""
     return (
-        rows.orderBy(*order, F.asc(key))
+        rows.orderBy(order, key)
         .limit(1)
-        .select(
-            F.lit(rank).alias("rank"),
-            F.lit(theme).alias("theme"),
-            F.col(key).cast("string").alias("entity_id"),
-            F.lit(metric).alias("metric"),
-            rounded(value, 2).alias("value"),
+        .selectExpr(
+            f"{rank} AS rank",
+            f"'{theme}' AS theme",
+            f"string({key}) AS entity_id",
+            f"'{metric}' AS metric",
+            f"{rounded_sql(value, 2)} AS value",
         )
     )
 
 
 def business_insights(categories: DataFrame, states: DataFrame) -> DataFrame:
     """Five top-1 answers on revenue, satisfaction and geography."""
-    categories = categories.filter(F.col(CATEGORY).isNotNull())
-    states = states.filter(F.col("customer_state").isNotNull())
-    orders, late = F.col("state_total_orders"), F.col("state_late_rate")
-    revenue = F.col("category_avg_price") * F.col("category_total_orders")
-    largest = categories.orderBy(F.desc("category_total_orders"), F.asc(CATEGORY)).limit(10)
-    overall = states.agg(F.try_divide(F.sum(late * orders), F.sum(orders))).scalar()
-    behind = states.filter(exact(late) > exact(overall))
-    review = F.col("category_avg_review")
-    payment = F.col("state_avg_payment")
+    state = "customer_state"
+    categories = categories.filter(f"{CATEGORY} IS NOT NULL")
+    states = states.filter(f"{state} IS NOT NULL")
+    revenue = "(category_avg_price * category_total_orders)"
+    largest = categories.orderBy(F.desc("category_total_orders"), CATEGORY).limit(10)
+    overall = states.selectExpr(
+        "try_divide(sum(state_late_rate * state_total_orders), sum(state_total_orders)) AS rate"
+    ).select(exact("rate"))
+    behind = states.filter(exact("state_late_rate") > overall.scalar())
     answers = [
         _first(
-            categories, 1, "revenue", CATEGORY, "revenue", revenue,
-            exact(rounded(revenue, 2)).desc_nulls_last(),
+            categories, exact(rounded_sql(revenue, 2)).desc_nulls_last(),
+            1, "revenue", CATEGORY, "revenue", revenue,
         ),
         _first(
-            largest, 2, "satisfaction", CATEGORY, "avg_review", review,
-            exact(review).asc_nulls_last(),
+            largest, exact("category_avg_review").asc_nulls_last(),
+            2, "satisfaction", CATEGORY, "avg_review", "category_avg_review",
         ),
         _first(
-            behind, 3, "geography", "customer_state", "total_orders", orders.cast("double"),
-            orders.desc_nulls_last(),
+            behind, F.desc_nulls_last("state_total_orders"),
+            3, "geography", state, "total_orders", "state_total_orders",
         ),
         _first(
-            states, 4, "revenue", "customer_state", "avg_payment", payment,
-            exact(payment).desc_nulls_last(),
+            states, exact("state_avg_payment").desc_nulls_last(),
+            4, "revenue", state, "avg_payment", "state_avg_payment",
         ),
         _first(
-            states, 5, "geography", "customer_state", "late_pct", late * 100,
-            exact(late).desc_nulls_last(),
+            states, exact("state_late_rate").desc_nulls_last(),
+            5, "geography", state, "late_pct", "state_late_rate * 100",
         ),
     ]
     result = answers[0]
@@ -166,9 +170,8 @@ def findings_report(
         ).alias("position", "item")
     )
     # Numbering the few rows that the limit inside anomaly_flags lets through.
-    place = Window.orderBy(F.desc(F.abs("z")), "entity_type", "entity_id", "metric")
     flags = anomaly_flags(sellers, categories, states, **flag_options).withColumn(
-        "seq", F.row_number().over(place)
+        "seq", F.row_number().over(Window.orderBy(*_flag_order()))
     )
     risk = F.struct(
         F.lit("risks").alias("section"),

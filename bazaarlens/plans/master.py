@@ -57,7 +57,7 @@ def order_rows(data: Datasets) -> DataFrame:
 
 def item_rows(data: Datasets, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Master rows before lookups: one per item, and one per order without items."""
-    return fan_out(order_rows(data), data["order_items"], "order_id", hot_rows)
+    return fan_out(order_rows(data), data["order_items"], "order_id", hot_rows=hot_rows)
 
 
 def build_master(data: Datasets, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -69,7 +69,7 @@ def build_master(data: Datasets, hot_rows: int = HOT_ROWS) -> DataFrame:
     products = translate_products(data["products"], data["category"])
     orders = order_rows(data).join(data["customers"], on="customer_id", how="left")
     master = (
-        fan_out(orders, data["order_items"], "order_id", hot_rows)
+        fan_out(orders, data["order_items"], "order_id", hot_rows=hot_rows)
         .join(broadcast_if_small(products, data["products"]), on="product_id", how="left")
         .join(broadcast_if_small(data["sellers"]), on="seller_id", how="left")
     )

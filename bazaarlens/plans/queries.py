@@ -70,19 +70,10 @@ def _on_states(report: Callable[[DataFrame], DataFrame]) -> Query:
     return over_datasets(lambda data: report(features.customer_features(data)))
 
 
-def _three_tables(data: Datasets) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Seller, category and state features; the first two share one pass over items."""
-    sales = features.sales_by_seller_and_product(data)
-    return (
-        features.seller_features(data, sales),
-        features.category_features(data, sales),
-        features.customer_features(data),
-    )
-
-
 def _business_insights(data: Datasets) -> DataFrame:
     return findings.business_insights(
-        features.category_features(data), features.customer_features(data)
+        storage.materialize(features.category_features(data), "categories"),
+        storage.materialize(features.customer_features(data), "states"),
     )
 
 
@@ -127,9 +118,8 @@ def scan_parquet(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sink_parquet_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    path = scratch_path(spark, "order_features")
-    storage.write_parquet(features.order_features(star_datasets(spark, folder)), path)
-    return settle_doubles(storage.read_parquet(spark, path))
+    orders = features.order_features(star_datasets(spark, folder))
+    return settle_doubles(storage.materialize(orders, "order_features"))
 
 
 def _refreshed(spark: SparkSession, folder: str, database: str | None = None):
@@ -209,9 +199,11 @@ QUERIES: dict[str, Query] = {
     "all_states": _on_states(reports.all_states),
     "chart_top_categories": _on_categories(reports.chart_top_categories),
     # findings
-    "anomaly_flags": over_datasets(lambda data: findings.anomaly_flags(*_three_tables(data))),
+    "anomaly_flags": over_datasets(lambda data: findings.anomaly_flags(**features.report_tables(data))),
     "business_insights": over_datasets(_business_insights),
-    "findings_report": over_datasets(lambda data: findings.findings_report(*_three_tables(data))),
+    "findings_report": over_datasets(
+        lambda data: findings.findings_report(**features.report_tables(data))
+    ),
     # everything
     "full_refresh": full_refresh,
 }

@@ -20,18 +20,18 @@ def _top(table: DataFrame, by: Column, key: str, n: int) -> DataFrame:
 def seller_summary(sellers: DataFrame) -> DataFrame:
     """Platform figures: plain means over sellers, and item rows in all."""
     return sellers.agg(
-        rounded(F.avg("seller_avg_review"), 2).alias("avg_review"),
-        percent(F.avg("seller_late_rate")).alias("late_pct"),
+        rounded("avg(seller_avg_review)", 2).alias("avg_review"),
+        percent("avg(seller_late_rate)").alias("late_pct"),
         F.count(F.lit(1)).alias("total_sellers"),
         F.sum("seller_total_orders").alias("total_orders"),
     )
 
 
 def top_sellers_by_review(sellers: DataFrame, n: int = 5) -> DataFrame:
-    return _top(sellers, exact(F.col("seller_avg_review")), "seller_id", n).select(
+    return _top(sellers, exact("seller_avg_review"), "seller_id", n).select(
         "seller_id",
         "seller_state",
-        rounded(F.col("seller_avg_review"), 2).alias("avg_review"),
+        rounded("seller_avg_review", 2).alias("avg_review"),
         "seller_total_orders",
     )
 
@@ -40,16 +40,16 @@ def top5_categories(categories: DataFrame, n: int = 5) -> DataFrame:
     return _top(categories, F.col("category_total_orders"), CATEGORY, n).select(
         CATEGORY,
         "category_total_orders",
-        rounded(F.col("category_avg_price"), 2).alias("avg_price"),
-        rounded(F.col("category_avg_review"), 2).alias("avg_review"),
+        rounded("category_avg_price", 2).alias("avg_price"),
+        rounded("category_avg_review", 2).alias("avg_review"),
     )
 
 
 def worst5_states(states: DataFrame, n: int = 5) -> DataFrame:
-    return _top(states, exact(F.col("state_late_rate")), "customer_state", n).select(
+    return _top(states, exact("state_late_rate"), "customer_state", n).select(
         "customer_state",
         "state_total_orders",
-        percent(F.col("state_late_rate")).alias("late_pct"),
+        percent("state_late_rate").alias("late_pct"),
     )
 
 
@@ -57,29 +57,29 @@ def top10_categories(categories: DataFrame, n: int = 10) -> DataFrame:
     return _top(categories, F.col("category_total_orders"), CATEGORY, n).select(
         CATEGORY,
         "category_total_orders",
-        rounded(F.col("category_avg_price"), 2).alias("avg_price"),
-        rounded(F.col("category_avg_review"), 2).alias("avg_review"),
-        percent(F.col("category_late_rate")).alias("late_pct"),
+        rounded("category_avg_price", 2).alias("avg_price"),
+        rounded("category_avg_review", 2).alias("avg_review"),
+        percent("category_late_rate").alias("late_pct"),
     )
 
 
 def late_states(states: DataFrame, n: int = 10) -> DataFrame:
-    return _top(states, exact(F.col("state_late_rate")), "customer_state", n).select(
+    return _top(states, exact("state_late_rate"), "customer_state", n).select(
         "customer_state",
         "state_total_orders",
-        percent(F.col("state_late_rate")).alias("late_pct"),
-        rounded(F.col("state_avg_payment"), 2).alias("avg_payment"),
+        percent("state_late_rate").alias("late_pct"),
+        rounded("state_avg_payment", 2).alias("avg_payment"),
     )
 
 
 def bad_sellers(sellers: DataFrame, min_orders: int = 10, n: int = 10) -> DataFrame:
     """Sellers with enough rows, worst late rate first."""
     known = sellers.filter(F.col("seller_total_orders") >= min_orders)
-    return _top(known, exact(F.col("seller_late_rate")), "seller_id", n).select(
+    return _top(known, exact("seller_late_rate"), "seller_id", n).select(
         "seller_id",
         "seller_state",
-        rounded(F.col("seller_avg_review"), 2).alias("avg_review"),
-        percent(F.col("seller_late_rate")).alias("late_pct"),
+        rounded("seller_avg_review", 2).alias("avg_review"),
+        percent("seller_late_rate").alias("late_pct"),
         "seller_total_orders",
     )
 
@@ -89,8 +89,8 @@ def high_risk_sellers(sellers: DataFrame, min_orders: int = 20, n: int = 20) ->
     known = sellers.filter(F.col("seller_total_orders") >= min_orders).select(
         "seller_id",
         "seller_state",
-        rounded(F.col("seller_avg_review"), 2).alias("avg_review"),
-        percent(F.col("seller_late_rate")).alias("late_pct"),
+        rounded("seller_avg_review", 2).alias("avg_review"),
+        percent("seller_late_rate").alias("late_pct"),
         F.col("seller_total_orders").alias("total_orders"),
     )
     return _top(known, F.col("late_pct"), "seller_id", n)
@@ -101,9 +101,9 @@ def all_categories(categories: DataFrame) -> DataFrame:
     return categories.select(
         F.col(CATEGORY).alias("category"),
         F.col("category_total_orders").alias("orders"),
-        rounded(F.col("category_avg_price"), 2).alias("avg_price"),
-        rounded(F.col("category_avg_review"), 2).alias("avg_review"),
-        percent(F.col("category_late_rate")).alias("late_pct"),
+        rounded("category_avg_price", 2).alias("avg_price"),
+        rounded("category_avg_review", 2).alias("avg_review"),
+        percent("category_late_rate").alias("late_pct"),
     ).orderBy(F.desc_nulls_last("orders"), F.asc_nulls_last("category"))
 
 
@@ -112,8 +112,8 @@ def all_states(states: DataFrame) -> DataFrame:
     return states.select(
         F.col("customer_state").alias("state"),
         F.col("state_total_orders").alias("orders"),
-        percent(F.col("state_late_rate")).alias("late_pct"),
-        rounded(F.col("state_avg_payment"), 2).alias("avg_payment"),
+        percent("state_late_rate").alias("late_pct"),
+        rounded("state_avg_payment", 2).alias("avg_payment"),
     ).orderBy(F.desc_nulls_last("late_pct"), F.asc_nulls_last("state"))
 
 

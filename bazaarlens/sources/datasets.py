@@ -96,7 +96,7 @@ def typed(frame: DataFrame, types: Mapping[str, str]) -> DataFrame:
         if kind == "string":
             return F.col(name)
         if kind == "double":
-            return to_double(F.col(name)).alias(name)
+            return to_double(f"`{name}`").alias(name)
         return F.col(name).try_cast(kind).alias(name)
 
     return frame.select(*(column(name) for name in frame.columns))

@@ -7,115 +7,91 @@ cases and dirty values that the raw marketplace datasets have.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
-from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from bazaarlens.functions.numeric import rounded
+from bazaarlens.functions.numeric import rounded_sql
 
 Table = Callable[[str], DataFrame]
 
 
 def _orders(table: Table) -> DataFrame:
-    key = F.col("o_orderkey")
-    status = (
-        F.when(F.col("o_orderstatus") == "F", "delivered")
-        .when(F.col("o_orderstatus") == "O", "shipped")
-        .when(F.col("o_orderstatus") == "P", "canceled")
-    )
-    days = F.pmod(key * 37, F.lit(45)).cast("int")
-    hours = F.pmod(key, F.lit(24)).cast("int")
-    delivered = F.col("o_orderdate") + F.make_dt_interval(days, hours)
-    return table("orders").select(
-        key.alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
-        status.alias("order_status"),
-        F.col("o_orderdate").alias("order_purchase_timestamp"),
-        F.when(F.pmod(key, F.lit(40)) != 0, delivered).alias("order_delivered_customer_date"),
-        (F.col("o_orderdate") + F.make_dt_interval(F.lit(30))).alias(
-            "order_estimated_delivery_date"
-        ),
+    # The status test is null-safe and nested, so that a filter on the status
+    # folds to one on the code, which the parquet scan can take.
+    return table("orders").selectExpr(
+        "o_orderkey AS order_id",
+        "o_custkey AS customer_id",
+        "if(o_orderstatus <=> 'F', 'delivered', "
+        "CASE o_orderstatus WHEN 'O' THEN 'shipped' WHEN 'P' THEN 'canceled' END) AS order_status",
+        "o_orderdate AS order_purchase_timestamp",
+        "if(o_orderkey % 40 != 0, o_orderdate + make_dt_interval("
+        "int(o_orderkey * 37 % 45), int(o_orderkey % 24)), NULL) AS order_delivered_customer_date",
+        "o_orderdate + make_dt_interval(30) AS order_estimated_delivery_date",
     )
 
 
 def _order_items(table: Table) -> DataFrame:
-    price = F.col("l_extendedprice")
-    return table("lineitem").select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").alias("order_item_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_suppkey").alias("seller_id"),
-        price.alias("price"),
-        rounded(price * F.col("l_tax"), 2).alias("freight_value"),
+    return table("lineitem").selectExpr(
+        "l_orderkey AS order_id",
+        "l_linenumber AS order_item_id",
+        "l_partkey AS product_id",
+        "l_suppkey AS seller_id",
+        "l_extendedprice AS price",
+        f"{rounded_sql('(l_extendedprice * l_tax)', 2)} AS freight_value",
     )
 
 
-def _category_name() -> Column:
-    return F.replace(F.col("p_name"), F.lit(" "), F.lit("_"))
-
-
 def _products(table: Table) -> DataFrame:
-    named = F.pmod(F.col("p_partkey"), F.lit(97)) != 0
-    return table("part").select(
-        F.col("p_partkey").alias("product_id"),
-        F.when(named, _category_name()).alias("product_category_name"),
+    return table("part").selectExpr(
+        "p_partkey AS product_id",
+        "if(p_partkey % 97 != 0, replace(p_name, ' ', '_'), NULL) AS product_category_name",
     )
 
 
 def _category(table: Table) -> DataFrame:
     return (
         table("part")
-        .filter(~F.col("p_name").startswith("red "))
-        .select(
-            _category_name().alias("product_category_name"),
-            F.upper("p_name").alias("product_category_name_english"),
+        .filter("p_name NOT LIKE 'red %'")
+        .selectExpr(
+            "replace(p_name, ' ', '_') AS product_category_name",
+            "upper(p_name) AS product_category_name_english",
         )
         .distinct()
     )
 
 
 def _customers(table: Table) -> DataFrame:
-    return (
-        table("customer")
-        .join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(F.col("c_custkey").alias("customer_id"), F.col("n_name").alias("customer_state"))
+    customer, nation = table("customer"), table("nation")
+    return customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"]).selectExpr(
+        "c_custkey AS customer_id", "n_name AS customer_state"
     )
 
 
 def _sellers(table: Table) -> DataFrame:
-    return (
-        table("supplier")
-        .join(table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .select(
-            F.col("s_suppkey").alias("seller_id"),
-            F.col("s_name").alias("seller_city"),
-            F.col("n_name").alias("seller_state"),
-        )
+    supplier, nation = table("supplier"), table("nation")
+    return supplier.join(nation, supplier["s_nationkey"] == nation["n_nationkey"]).selectExpr(
+        "s_suppkey AS seller_id", "s_name AS seller_city", "n_name AS seller_state"
     )
 
 
 def _reviews(table: Table) -> DataFrame:
-    score = (F.floor("value") % 5 + 1).cast("string")
-    return table("events").select(
-        (F.shiftright("event_id", 1) * 3).alias("order_id"),
-        F.when(F.col("event_type") == "error", "n/a").otherwise(score).alias("review_score"),
+    return table("events").selectExpr(
+        "shiftright(event_id, 1) * 3 AS order_id",
+        "if(event_type <=> 'error', 'n/a', string(floor(value) % 5 + 1)) AS review_score",
     )
 
 
 def _payments(table: Table) -> DataFrame:
-    paid = F.col("l_extendedprice") * (1 - F.col("l_discount"))
-    return table("lineitem").select(
-        F.col("l_orderkey").alias("order_id"),
-        rounded(paid, 2).alias("payment_value"),
-        F.col("l_linenumber").alias("payment_installments"),
+    return table("lineitem").selectExpr(
+        "l_orderkey AS order_id",
+        f"{rounded_sql('(l_extendedprice * (1 - l_discount))', 2)} AS payment_value",
+        "l_linenumber AS payment_installments",
     )
 
 
 def _geolocation(table: Table) -> DataFrame:
-    return table("customer").select(
-        F.col("c_custkey").alias("geolocation_zip_code_prefix"),
-        F.col("c_nationkey").alias("geolocation_state"),
+    return table("customer").selectExpr(
+        "c_custkey AS geolocation_zip_code_prefix", "c_nationkey AS geolocation_state"
     )
 
 
@@ -135,12 +111,13 @@ class StarDatasets(Mapping[str, DataFrame]):
     }
 
     def __init__(self, spark: SparkSession, folder: str):
-        self._table: Table = partial(self._open, spark, folder)
+        self._spark = spark
+        self._folder = folder
         self._opened: dict[str, DataFrame] = {}
 
-    def _open(self, spark: SparkSession, folder: str, name: str) -> DataFrame:
+    def _table(self, name: str) -> DataFrame:
         if name not in self._opened:
-            self._opened[name] = spark.read.parquet(f"{folder}/{name}.parquet")
+            self._opened[name] = self._spark.read.parquet(f"{self._folder}/{name}.parquet")
         return self._opened[name]
 
     def __getitem__(self, name: str) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from bazaarlens.sources.scratch import scratch_path
+
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
@@ -23,6 +25,17 @@ def write_parquet(frame: DataFrame, path: str) -> int:
     return seen.get["rows"]
 
 
+def materialize(frame: DataFrame, label: str) -> DataFrame:
+    """The frame written to the shared working folder and read back.
+
+    For results that several plans use: they are computed once, and their
+    lineage ends here.
+    """
+    path = scratch_path(frame.sparkSession, label)
+    write_parquet(frame, path)
+    return read_parquet(frame.sparkSession, path)
+
+
 def create_table(frame: DataFrame, name: str) -> None:
     """Create or replace a catalog table holding the frame's rows."""
     frame.write.mode("overwrite").format("parquet").saveAsTable(name)

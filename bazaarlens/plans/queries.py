@@ -33,6 +33,11 @@ def over_datasets(build: Callable[[Datasets], DataFrame]) -> Query:
     return lambda spark, folder: settle_doubles(build(star_datasets(spark, folder)))
 
 
+def report(build: Callable[[Datasets], DataFrame]) -> Query:
+    """A plan over the datasets whose doubles are already rounded."""
+    return lambda spark, folder: build(star_datasets(spark, folder))
+
+
 def _delivery_delay(data: Datasets) -> DataFrame:
     orders = cleaning.with_delivery(cleaning.clean_orders(data["orders"]))
     return orders.select("order_id", "delivery_delay_days", "is_late")
@@ -58,16 +63,16 @@ def _master_row_counts(data: Datasets) -> DataFrame:
     )
 
 
-def _on_sellers(report: Callable[..., DataFrame], **options) -> Query:
-    return over_datasets(lambda data: report(features.seller_features(data), **options))
+def _on_sellers(view: Callable[[DataFrame], DataFrame]) -> Query:
+    return report(lambda data: view(features.seller_features(data)))
 
 
-def _on_categories(report: Callable[[DataFrame], DataFrame]) -> Query:
-    return over_datasets(lambda data: report(features.category_features(data)))
+def _on_categories(view: Callable[[DataFrame], DataFrame]) -> Query:
+    return report(lambda data: view(features.category_features(data)))
 
 
-def _on_states(report: Callable[[DataFrame], DataFrame]) -> Query:
-    return over_datasets(lambda data: report(features.customer_features(data)))
+def _on_states(view: Callable[[DataFrame], DataFrame]) -> Query:
+    return report(lambda data: view(features.customer_features(data)))
 
 
 def _business_insights(data: Datasets) -> DataFrame:
@@ -170,16 +175,16 @@ QUERIES: dict[str, Query] = {
     "table_ctas_roundtrip": table_ctas_roundtrip,
     "dataset_row_counts": dataset_row_counts,
     "table_schemas": table_schemas,
-    "bad_value_rows": over_datasets(quality.bad_values),
-    "bad_value_counts": over_datasets(quality.bad_value_counts),
+    "bad_value_rows": report(quality.bad_values),
+    "bad_value_counts": report(quality.bad_value_counts),
     # cleaning and master
-    "clean_orders": over_datasets(lambda data: cleaning.clean_orders(data["orders"])),
+    "clean_orders": report(lambda data: cleaning.clean_orders(data["orders"])),
     "payment_agg": over_datasets(lambda data: cleaning.payment_agg(data["payments"])),
     "review_agg": over_datasets(lambda data: cleaning.review_agg(data["reviews"])),
-    "products_translated": over_datasets(_products_translated),
-    "delivery_delay": over_datasets(_delivery_delay),
+    "products_translated": report(_products_translated),
+    "delivery_delay": report(_delivery_delay),
     "master": over_datasets(_master),
-    "master_row_counts": over_datasets(_master_row_counts),
+    "master_row_counts": report(_master_row_counts),
     # features
     "order_features": over_datasets(features.order_features),
     "seller_features": over_datasets(features.seller_features),
@@ -199,9 +204,9 @@ QUERIES: dict[str, Query] = {
     "all_states": _on_states(reports.all_states),
     "chart_top_categories": _on_categories(reports.chart_top_categories),
     # findings
-    "anomaly_flags": over_datasets(lambda data: findings.anomaly_flags(**features.report_tables(data))),
-    "business_insights": over_datasets(_business_insights),
-    "findings_report": over_datasets(
+    "anomaly_flags": report(lambda data: findings.anomaly_flags(**features.report_tables(data))),
+    "business_insights": report(_business_insights),
+    "findings_report": report(
         lambda data: findings.findings_report(**features.report_tables(data))
     ),
     # everything

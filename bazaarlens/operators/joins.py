@@ -14,14 +14,14 @@ BROADCAST_ROWS = 200_000
 
 
 def broadcast_if_small(lookup: DataFrame, sized_by: DataFrame | None = None) -> DataFrame:
-    """Mark a lookup for broadcast if its rows, counted up to the limit, are few.
+    """Mark a lookup for broadcast if it has few rows, as counted now.
 
-    ``sized_by`` may name a cheaper frame with as many rows. A larger lookup is
-    returned as it is; the join is then a shuffle join, where adaptive
-    execution splits the hot keys of the other side.
+    ``sized_by`` may name a cheaper frame with as many rows; on parquet a count
+    reads footers only. A larger lookup is returned as it is: the join is then
+    a shuffle join, where adaptive execution splits hot keys of the other side.
     """
-    sample = (sized_by if sized_by is not None else lookup).limit(BROADCAST_ROWS + 1)
-    return F.broadcast(lookup) if sample.count() <= BROADCAST_ROWS else lookup
+    rows = (lookup if sized_by is None else sized_by).count()
+    return F.broadcast(lookup) if rows <= BROADCAST_ROWS else lookup
 
 
 def fan_out(

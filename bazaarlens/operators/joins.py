@@ -39,10 +39,19 @@ def fan_out(
     here: it never splits the right side of a left join.
 
     ``how`` is "left", or "inner" with null keys matching each other. ``counts``
-    (key, n) gives the rows per key of ``many`` if already known.
+    (key, n) gives the rows per key of ``many``. Without it ``many`` should be
+    a stored table: its rows are counted now, and then per key in the plan,
+    unless there are too few rows for any key to be hot.
     """
     inner = how == "inner"
+
+    def same(a: str, b: str) -> Column:
+        return F.col(a).eqNullSafe(F.col(b)) if inner else F.col(a) == F.col(b)
+
+    other = many.withColumnRenamed(key, "_many_key")
     if counts is None:
+        if many.count() <= hot_rows:
+            return one.join(other, same(key, "_many_key"), how).drop("_many_key")
         known = many if inner else many.filter(f"{key} IS NOT NULL")
         counts = known.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     # At most MAX_HOT_KEYS rows, whatever the data: safe to broadcast.
@@ -53,22 +62,17 @@ def fan_out(
         .selectExpr(f"{key} AS _hot_key", f"int(ceil(n / {hot_rows})) AS _parts")
     )
 
-    def same(a: str, b: str) -> Column:
-        return F.col(a).eqNullSafe(F.col(b)) if inner else F.col(a) == F.col(b)
-
     def with_parts(frame: DataFrame, column: str, part: str) -> DataFrame:
         marked = frame.join(hot, same(column, "_hot_key"), "left")
         return marked.selectExpr(
-            *frame.columns, "coalesce(_parts, 1) AS _parts"
+            "* EXCEPT (_hot_key, _parts)", "coalesce(_parts, 1) AS _parts"
         ).selectExpr("*", part)
 
     left = with_parts(one, key, "explode(sequence(0, _parts - 1)) AS _part")
     # The number of the reading task spreads even identical rows, and a retried
     # task gives the same answer.
     right = with_parts(
-        many.withColumnRenamed(key, "_many_key"),
-        "_many_key",
-        "spark_partition_id() % _parts AS _many_part",
+        other, "_many_key", "spark_partition_id() % _parts AS _many_part"
     ).selectExpr("* EXCEPT (_parts)", "true AS _matched")
 
     joined = left.join(right, same(key, "_many_key") & F.expr("_part = _many_part"), how)

@@ -1,0 +1,145 @@
+"""One local session, and the nine-order fixture whose results are known by hand."""
+
+from __future__ import annotations
+
+import pytest
+
+from bazaarlens.session import local_session
+
+SF_SMALL = "/root/testdata/sf0.001"
+SF_CHECK = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = local_session(8, "tests")
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def settings(spark):
+    """Set session options for one test."""
+    before = {}
+
+    def change(**options):
+        for name, value in options.items():
+            name = name.replace("__", ".")
+            before.setdefault(name, spark.conf.get(name, None))
+            spark.conf.set(name, value)
+
+    yield change
+    for name, value in before.items():
+        if value is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, value)
+
+
+def time_of(text):
+    return f"CAST({text!r} AS TIMESTAMP_NTZ)" if text else "CAST(NULL AS TIMESTAMP_NTZ)"
+
+
+ORDERS = [
+    ("o1", "c1", "delivered", "2018-01-01 10:00:00", "2018-01-10 18:00:00", "2018-01-08 00:00:00"),
+    ("o2", "c2", "delivered", "2018-01-02 09:00:00", "2018-01-09 23:59:59", "2018-01-09 00:00:00"),
+    ("o3", "c1", "delivered", "2018-01-03 08:00:00", "2018-01-05 12:00:00", "2018-01-20 00:00:00"),
+    ("o4", "c3", "shipped", "2018-01-03 08:00:00", "2018-01-05 12:00:00", "2018-01-20 00:00:00"),
+    ("o5", "c2", "delivered", "2018-01-04 08:00:00", None, "2018-01-20 00:00:00"),
+    ("o6", "c3", "delivered", "2018-01-05 00:00:00", "2018-01-30 00:00:00", "2018-01-20 00:00:00"),
+    ("o7", "c4", "delivered", "2018-01-06 00:00:00", "2018-01-16 00:00:00", None),
+    ("o8", "c1", "Delivered", "2018-01-07 00:00:00", "2018-01-16 00:00:00", "2018-01-20 00:00:00"),
+    ("o9", "c1", "delivered", None, "2018-01-16 00:00:00", "2018-01-20 00:00:00"),
+]
+ORDER_COLUMNS = (
+    "order_id",
+    "customer_id",
+    "order_status",
+    "order_purchase_timestamp",
+    "order_delivered_customer_date",
+    "order_estimated_delivery_date",
+)
+TABLES = {
+    "order_items": (
+        "order_id string, product_id string, seller_id string, price double, freight_value double",
+        [
+            ("o1", "p1", "s1", 100.0, 10.0),
+            ("o1", "p2", "s2", 50.0, 5.0),
+            ("o2", "p1", "s1", 100.0, 12.0),
+            ("o3", "p3", "s2", 30.0, 3.0),
+            ("o4", "p1", "s1", 100.0, 9.0),
+            ("o7", "p4", "s1", 20.0, 2.0),
+        ],
+    ),
+    "products": (
+        "product_id string, product_category_name string",
+        [
+            ("p1", "beleza_saude"),
+            ("p2", "cama_mesa_banho"),
+            ("p3", "sem_traducao"),
+            ("p4", None),
+        ],
+    ),
+    "category": (
+        "product_category_name string, product_category_name_english string",
+        [("beleza_saude", "health_beauty"), ("cama_mesa_banho", "bed_bath_table")],
+    ),
+    "customers": (
+        "customer_id string, customer_state string",
+        [("c1", "SP"), ("c2", "RJ"), ("c3", "AL"), ("c4", "SP")],
+    ),
+    "sellers": (
+        "seller_id string, seller_city string, seller_state string",
+        [("s1", "campinas", "SP"), ("s2", "curitiba", "PR")],
+    ),
+    "payments": (
+        "order_id string, payment_value double, payment_installments double",
+        [
+            ("o1", 100.0, 2.0),
+            ("o1", 65.0, 1.0),
+            ("o2", 112.0, 3.0),
+            ("o3", 33.0, 1.0),
+            ("o6", 80.0, 4.0),
+        ],
+    ),
+    "reviews": (
+        "order_id string, review_score string, review_comment_message string",
+        [
+            ("o1", "4", None),
+            ("o1", "5", "fine"),
+            ("o2", "bad", None),
+            ("o3", "3", 'first line\nsecond "quoted", line'),
+            ("o6", "1", None),
+        ],
+    ),
+}
+
+
+@pytest.fixture(scope="session")
+def golden(spark):
+    rows = " UNION ALL ".join(
+        f"SELECT {o!r} AS order_id, {c!r} AS customer_id, {s!r} AS order_status, "
+        f"{time_of(p)} AS order_purchase_timestamp, {time_of(d)} AS order_delivered_customer_date, "
+        f"{time_of(e)} AS order_estimated_delivery_date"
+        for o, c, s, p, d, e in ORDERS
+    )
+    data = {
+        name: spark.createDataFrame(rows_, schema) for name, (schema, rows_) in TABLES.items()
+    }
+    return {"orders": spark.sql(rows), **data}
+
+
+def as_dicts(frame, key):
+    return {row[key]: row.asDict() for row in frame.collect()}
+
+
+def multiset(frame):
+    """Rows in a comparable order, doubles rounded."""
+
+    def plain(value):
+        return round(value, 6) if isinstance(value, float) else value
+
+    names = sorted(frame.columns)
+    rows = [tuple(plain(row[name]) for name in names) for row in frame.collect()]
+    return sorted(rows, key=lambda row: [(v is None, str(v)) for v in row])

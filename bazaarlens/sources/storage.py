@@ -17,7 +17,8 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 def write_parquet(frame: DataFrame, path: str) -> int:
     """Replace the folder with the frame and return its row count, in one job.
 
-    The path must not be one the frame itself is read from.
+    The path must not be one the frame itself is read from: Spark clears it
+    before the first row is written.
     """
     seen = Observation()
     counted = frame.observe(seen, F.count(F.lit(1)).alias("rows"))

@@ -63,11 +63,18 @@ def item_rows(data: Datasets, hot_rows: int = HOT_ROWS) -> DataFrame:
 def build_master(data: Datasets, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The master table. Columns the datasets have beyond the named ones come last.
 
-    Customers are looked up at order grain, where there are fewer rows. They
-    grow with the orders, so they are never marked for broadcast here.
+    Customers are looked up at order grain, where there are fewer rows, and
+    before the joins on order_id, which then share one partitioning. They grow
+    with the orders, so they are never marked for broadcast here.
     """
+    orders = order_rows(
+        {
+            "orders": data["orders"].join(data["customers"], on="customer_id", how="left"),
+            "payments": data["payments"],
+            "reviews": data["reviews"],
+        }
+    )
     products = translate_products(data["products"], data["category"])
-    orders = order_rows(data).join(data["customers"], on="customer_id", how="left")
     master = (
         fan_out(orders, data["order_items"], "order_id", hot_rows=hot_rows)
         .join(broadcast_if_small(products, data["products"]), on="product_id", how="left")

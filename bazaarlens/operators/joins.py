@@ -13,15 +13,13 @@ MAX_HOT_KEYS = 4096
 BROADCAST_ROWS = 200_000
 
 
-def broadcast_if_small(lookup: DataFrame, sized_by: DataFrame | None = None) -> DataFrame:
+def broadcast_if_small(lookup: DataFrame) -> DataFrame:
     """Mark a lookup for broadcast if it has few rows, as counted now.
 
-    ``sized_by`` may name a cheaper frame with as many rows; on parquet a count
-    reads footers only. A larger lookup is returned as it is: the join is then
-    a shuffle join, where adaptive execution splits hot keys of the other side.
+    A larger lookup is returned as it is: the join is then a shuffle join, where
+    adaptive execution splits the hot keys of the other side.
     """
-    rows = (lookup if sized_by is None else sized_by).count()
-    return F.broadcast(lookup) if rows <= BROADCAST_ROWS else lookup
+    return F.broadcast(lookup) if lookup.count() <= BROADCAST_ROWS else lookup
 
 
 def fan_out(

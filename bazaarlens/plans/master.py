@@ -77,7 +77,7 @@ def build_master(data: Datasets, hot_rows: int = HOT_ROWS) -> DataFrame:
     products = translate_products(data["products"], data["category"])
     master = (
         fan_out(orders, data["order_items"], "order_id", hot_rows=hot_rows)
-        .join(broadcast_if_small(products, data["products"]), on="product_id", how="left")
+        .join(broadcast_if_small(products), on="product_id", how="left")
         .join(broadcast_if_small(data["sellers"]), on="seller_id", how="left")
     )
     others = [name for name in master.columns if name not in MASTER_COLUMNS]

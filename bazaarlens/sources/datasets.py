@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarlens.functions.numeric import to_double
@@ -91,13 +91,12 @@ def read_text_csv(spark: SparkSession, path: str, multiline: bool = False) -> Da
 def typed(frame: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Declared types for text columns. A value that does not parse becomes null."""
 
-    def column(name: str):
+    def column(name: str) -> Column:
         kind = types.get(name, "string")
-        if kind == "string":
-            return F.col(name)
         if kind == "double":
             return to_double(f"`{name}`").alias(name)
-        return F.col(name).try_cast(kind).alias(name)
+        value = F.col(f"`{name}`")
+        return value if kind == "string" else value.try_cast(kind).alias(name)
 
     return frame.select(*(column(name) for name in frame.columns))
 

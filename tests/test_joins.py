@@ -148,4 +148,3 @@ def test_broadcast_depends_on_the_row_count(spark, monkeypatch):
     assert broadcast_if_small(table) is not table
     monkeypatch.setattr(joins, "BROADCAST_ROWS", 99)
     assert broadcast_if_small(table) is table
-    assert broadcast_if_small(table, sized_by=spark.range(99)) is not table

@@ -5,6 +5,8 @@ import pytest
 from conftest import SF_CHECK
 
 import __spark_entry__ as driver
+from bazaarlens.plans import features, reports
+from bazaarlens.sources.star import star_datasets
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -46,6 +48,16 @@ def test_query_equals_its_sql(spark, oracle, name):
     assert ordered(rows) == ordered(found.fetchall())
 
 
+def test_seller_threshold_that_leaves_some_out(spark, oracle):
+    data = star_datasets(spark, SF_CHECK)
+    sql = driver.oracle_sql()["bad_sellers"]
+    sql = sql.replace("WHERE seller_total_orders >= 10\n", "WHERE seller_total_orders >= 190\n")
+    expected = oracle.execute(sql).fetchall()
+    found = reports.bad_sellers(features.seller_features(data), min_orders=190).collect()
+    assert [tuple(r) for r in found] == expected
+    assert expected != oracle.execute(driver.oracle_sql()["bad_sellers"]).fetchall()
+
+
 def test_entry(spark):
     assert driver.entry(spark).columns == ["section", "seq", "entity_id", "metric", "value"]
     assert driver.entry(spark).count() >= 9

@@ -29,7 +29,7 @@ FILES = {
     "x_order_payments_dataset.csv": (
         "order_id,payment_installments,payment_value\no1,2,100.25\no1,1,x\no2,3,5\n"
     ),
-    "x_geolocation_dataset.csv": "geolocation_zip_code_prefix,geolocation_lat\n01037,-23.5\n",
+    "x_geolocation_dataset.csv": "geolocation_zip_code_prefix,lat.deg\n01037,-23.5\n",
     "product_category_name_translation.csv": (
         "﻿product_category_name,product_category_name_english\nbeleza_saude,health_beauty\n"
     ),

@@ -179,7 +179,9 @@ def findings_report(
         F.col("value"),
     )
     remedy = F.struct(
-        F.lit("actions").alias("section"), F.col("action").alias("metric"), F.col("z").alias("value")
+        F.lit("actions").alias("section"),
+        F.col("action").alias("metric"),
+        F.col("z").alias("value"),
     )
     parts = [
         summary.select(

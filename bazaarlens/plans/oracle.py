@@ -318,7 +318,8 @@ _FINAL = {
     "bad_value_rows": _BAD_ROWS,
     "bad_value_counts": _BAD_COUNTS,
     "clean_orders": "SELECT * FROM kept_orders",
-    "payment_agg": f"SELECT {_settled('order_id total_payment~ avg_installments~')} FROM payment_agg",
+    "payment_agg": f"""
+        SELECT {_settled("order_id total_payment~ avg_installments~")} FROM payment_agg""",
     "review_agg": f"SELECT {_settled('order_id avg_review_score~')} FROM review_agg",
     "products_translated": "SELECT * FROM products_translated",
     "delivery_delay": """

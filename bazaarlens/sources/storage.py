@@ -53,7 +53,9 @@ def publish_folders(spark: SparkSession, folders: Mapping[str, str], database: s
 def row_counts(frames: Mapping[str, DataFrame], label: str) -> DataFrame:
     """One row per frame: its name under ``label``, and ``row_count``."""
     counts = [
-        frame.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias(label), "row_count")
+        frame.agg(F.count(F.lit(1)).alias("row_count")).selectExpr(
+            f"'{name}' AS {label}", "row_count"
+        )
         for name, frame in frames.items()
     ]
     result = counts[0]

@@ -25,6 +25,12 @@ from bazaarlens.sources.star import star_datasets
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 RUNS = int(os.environ.get("BENCH_RUNS", "2"))
+SETTINGS = (
+    "spark.driver.memory",
+    "spark.sql.shuffle.partitions",
+    "spark.sql.autoBroadcastJoinThreshold",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold",
+)
 HEADLINE = (
     "master",
     "order_features",
@@ -87,6 +93,8 @@ def main() -> None:
                 "sf": Path(FOLDER).name.removeprefix("sf"),
                 "cpus": CPUS,
                 "runs": RUNS,
+                "spark": spark.version,
+                "settings": {name: spark.conf.get(name) for name in SETTINGS},
             }
         )
     )

@@ -78,6 +78,7 @@ def shuffle_only(settings, monkeypatch):
     monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
     settings(
         spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
         spark__sql__shuffle__partitions="16",
         spark__sql__adaptive__coalescePartitions__enabled="false",
         spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="4KB",

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -17,6 +21,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per application."""
+    package = Path(__file__).resolve().parent.parent
+    name = f"{package.name}.zip"
+    context = spark.sparkContext
+    if package.is_dir() and not any(os.path.basename(f) == name for f in context.listFiles):
+        path = os.path.join(os.path.realpath(tempfile.mkdtemp()), name)
+        with zipfile.ZipFile(path, "w") as out:
+            for file in sorted(package.rglob("*.py")):
+                out.write(file, file.relative_to(package.parent))
+        context.addPyFile(path)
+
+
+Batches = Iterator[pd.DataFrame]
+
+
+def by_batch(frame: DataFrame, run: Callable[[Batches], Batches], schema: str) -> DataFrame:
+    """``mapInPandas`` with a function of this package."""
+    ship(frame.sparkSession)
+    return frame.mapInPandas(run, schema)
+
+
 def numbered(frame: DataFrame, group: str, cell: Column, name: str) -> DataFrame:
     """Number the rows of each group from 0 without a gap, none of them in one task.
 
@@ -53,7 +79,7 @@ def by_group(
     column without nulls, and a group must fit in memory.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Batches) -> Batches:
         held: list[pd.DataFrame] = []
         for batch in batches:
             keys = batch[key].to_numpy()
@@ -79,4 +105,4 @@ def by_group(
         if held and (out := each(pd.concat(held, ignore_index=True))) is not None:
             yield out
 
-    return frame.repartition(key).sortWithinPartitions(key).mapInPandas(run, schema)
+    return by_batch(frame.repartition(key).sortWithinPartitions(key), run, schema)

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from bazaarlens.llm import exact_dedup
+from bazaarlens.llm import chosen_path, exact_dedup, language, mixing, packing
 from bazaarlens.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,10 +17,32 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents"))
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.near_dedup(table(spark, sf_dir, "documents"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.packed_documents(table(spark, sf_dir, "documents"), path)
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_mixing": op2_mixing,
+    "op3_language": op3_language,
+    "op6_near_dedup": op6_near_dedup,
+    "op10_packing": op10_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.SQL,
+    "op6_near_dedup": chosen_path.SQL,
 }

@@ -9,24 +9,49 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from bazaarlens.llm import exact_dedup
+from bazaarlens.llm import chosen_path, exact_dedup, language, mixing, packing
 from bazaarlens.sources.storage import materialize
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without an identified language go."""
+    return language.keep_identified(docs)
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal texts stays."""
+    """One document of each group of equal texts stays."""
     return exact_dedup.keep_one(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    return chosen_path.keep_one(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, in the order of the mix: file by file and row by row."""
+    return mixing.in_mixed_order(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, each with its sequence and offset."""
+    return packing.packed_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 STAGES: list[tuple[str, Stage]] = [
+    ("language", identify_language),
     ("exact_dedup", drop_copies),
+    ("near_dedup", drop_near_copies),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
 ]
 
-#: A trained tagger, a randomised join and a tokenizer are beyond SQL; tests compare with brute force.
+#: A trained tagger and a tokenizer are beyond SQL; tests compare with brute force.
 ORACLE_SQL: str | None = None
 
 

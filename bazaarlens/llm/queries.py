@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from bazaarlens.llm import chosen_path, exact_dedup, language, mixing, packing
+from bazaarlens.llm import chosen_path, exact_dedup, fingerprints, language, mixing, packing, resharding
 from bazaarlens.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,10 +26,19 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op4_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return resharding.reshard(docs, resharding.by_source(F.col("source")))
+
+
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.near_dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compared(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return packing.packed_documents(table(spark, sf_dir, "documents"), path)
@@ -38,7 +48,9 @@ QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_mixing": op2_mixing,
     "op3_language": op3_language,
+    "op4_resharding": op4_resharding,
     "op6_near_dedup": op6_near_dedup,
+    "op8_fingerprints": op8_fingerprints,
     "op10_packing": op10_packing,
 }
 

@@ -43,6 +43,13 @@ def by_batch(frame: DataFrame, run: Callable[[Batches], Batches], schema: str) -
     return frame.mapInPandas(run, schema)
 
 
+def bounded_sample(frame: DataFrame, most: int, *key: str) -> DataFrame:
+    """At most ``most`` rows, chosen by the hash of their key from all of them."""
+    share = min(1.0, 2.0 * most / max(frame.count(), 1))
+    spread = F.pmod(F.xxhash64(*key, F.lit(23)), F.lit(1_000_003))
+    return frame.where(spread <= share * 1_000_003).orderBy(spread, *key).limit(most)
+
+
 def numbered(frame: DataFrame, group: str, cell: Column, name: str) -> DataFrame:
     """Number the rows of each group from 0 without a gap, none of them in one task.
 

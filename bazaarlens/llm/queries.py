@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlens.llm import chosen_path, exact_dedup, fingerprints, language, mixing, packing, resharding
+from bazaarlens.llm import chosen_path, exact_dedup, fingerprints, language, mixing, packing, quality, resharding
 from bazaarlens.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,10 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compared(table(spark, sf_dir, "documents"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return packing.packed_documents(table(spark, sf_dir, "documents"), path)
@@ -51,6 +55,7 @@ QUERIES: dict[str, Query] = {
     "op4_resharding": op4_resharding,
     "op6_near_dedup": op6_near_dedup,
     "op8_fingerprints": op8_fingerprints,
+    "op9_quality": op9_quality,
     "op10_packing": op10_packing,
 }
 

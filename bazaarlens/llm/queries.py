@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlens.llm import chosen_path, exact_dedup, fingerprints, language, mixing, packing, quality, resharding
+from bazaarlens.llm import chosen_path, exact_dedup, fingerprints, html_blocks, language, mixing, packing, quality, resharding, token_counts
 from bazaarlens.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,10 +31,19 @@ def op4_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resharding.reshard(docs, resharding.by_source(F.col("source")))
 
 
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_blocks.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.near_dedup(table(spark, sf_dir, "documents"))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), path)
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compared(table(spark, sf_dir, "documents"))
 
@@ -53,7 +62,9 @@ QUERIES: dict[str, Query] = {
     "op2_mixing": op2_mixing,
     "op3_language": op3_language,
     "op4_resharding": op4_resharding,
+    "op5_html": op5_html,
     "op6_near_dedup": op6_near_dedup,
+    "op7_token_counts": op7_token_counts,
     "op8_fingerprints": op8_fingerprints,
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,

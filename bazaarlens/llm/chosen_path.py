@@ -26,12 +26,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bazaarlens.llm.components import components
-from bazaarlens.llm.frames import Batches, by_batch, by_group
+from bazaarlens.llm.frames import Batches, Columns, by_batch, by_group
 from bazaarlens.llm.words import mix, shingle_sets
 from bazaarlens.sources.storage import materialize
 
@@ -66,15 +66,20 @@ def least_hashes(shingles: np.ndarray) -> np.ndarray:
     return least.view(np.int64)
 
 
-def sketch(batches: Batches) -> Batches:
+def sketch(batches: Batches) -> Iterator[Columns]:
     for batch in batches:
-        rows = []
-        for found in shingle_sets(batch["text"].tolist()):
-            rows.append((len(found), set_id(found), least_hashes(found)) if len(found) else (0, None, None))
-        out = pd.DataFrame(rows, columns=["n_shingles", "set_id", "least"])
-        out.insert(0, "doc_id", batch["doc_id"].astype("Int64"))
-        out.insert(1, "text_key", batch["text_key"])
-        yield out
+        sizes, ids, least = [], [], []
+        for found in shingle_sets(batch.column("text").to_pylist()):
+            sizes.append(len(found))
+            ids.append(set_id(found) if len(found) else None)
+            least.append(least_hashes(found) if len(found) else None)
+        yield {
+            "doc_id": batch.column("doc_id"),
+            "text_key": batch.column("text_key"),
+            "n_shingles": sizes,
+            "set_id": ids,
+            "least": least,
+        }
 
 
 class Forest:
@@ -106,30 +111,36 @@ def similar(
             forest.join(i, linked)
 
 
-def rough_links(rows: pd.DataFrame) -> pd.DataFrame | None:
+def rough_links(rows: pa.RecordBatch) -> Columns | None:
     """Links between the sets of a leaf whose least hashes agree often enough."""
-    rows = rows.sort_values(["side", "set_id"], ignore_index=True)
-    least = np.stack(rows["least"].tolist())
-    ids = rows["set_id"].tolist()
+    least = rows.column("least").flatten().to_numpy().reshape(rows.num_rows, TREES * LEVELS)
+    if rows.num_rows == 2 and (least[0] == least[1]).sum() < ROUGH:
+        return None
+    side, ids = rows.column("side").to_numpy(), rows.column("set_id").to_pylist()
+    order = sorted(range(len(ids)), key=lambda n: (side[n], ids[n]))
+    side, ids, least = side[order], [ids[n] for n in order], least[order]
 
     def agree(i: int, others: np.ndarray) -> np.ndarray:
         return (least[others] == least[i]).sum(axis=1) >= ROUGH
 
-    links = [(ids[i], ids[j]) for i, j in similar(agree, rows["side"].to_numpy())]
-    return pd.DataFrame(links, columns=["a", "b"]) if links else None
+    return named_links(ids, similar(agree, side))
+
+
+def named_links(ids: list[str], links: Iterator[tuple[int, int]]) -> Columns | None:
+    found = [(ids[i], ids[j]) for i, j in links]
+    return {"a": [a for a, _ in found], "b": [b for _, b in found]} if found else None
 
 
-def full_links(rows: pd.DataFrame) -> pd.DataFrame | None:
+def full_links(rows: pa.RecordBatch) -> Columns | None:
     """Links between the sets of a family, by their full intersections and unions."""
-    rows = rows.sort_values(["side", "set_id"], ignore_index=True)
-    found = list(shingle_sets(rows["text"].tolist()))
-    # A doc_id that stands on several rows brings texts that are not asked for.
-    asked = [len(s) > 0 and set_id(s) == key for s, key in zip(found, rows["set_id"], strict=True)]
-    rows = rows[asked]
-    once = ~rows["set_id"].duplicated().to_numpy()
-    found = [s for s, ok in zip(found, asked, strict=True) if ok]
-    found = [s for s, ok in zip(found, once, strict=True) if ok]
-    rows = rows[once]
+    sets: dict[str, tuple[int, np.ndarray]] = {}
+    keys, side = rows.column("set_id").to_pylist(), rows.column("side").to_pylist()
+    for key, part, found in zip(keys, side, shingle_sets(rows.column("text").to_pylist()), strict=True):
+        # A doc_id that stands on several rows brings texts that are not asked for.
+        if len(found) and set_id(found) == key:
+            sets[key] = part, found
+    ids = sorted(sets, key=lambda key: (sets[key][0], key))
+    sides, found = np.array([sets[key][0] for key in ids]), [sets[key][1] for key in ids]
     if len(found) < 2:
         return None
     sizes = np.array([len(s) for s in found])
@@ -148,9 +159,7 @@ def full_links(rows: pd.DataFrame) -> pd.DataFrame | None:
         mark[codes[cuts[i] : cuts[i + 1]]] = False
         return hit
 
-    ids = rows["set_id"].tolist()
-    links = [(ids[i], ids[j]) for i, j in similar(agree, rows["side"].to_numpy())]
-    return pd.DataFrame(links, columns=["a", "b"]) if links else None
+    return named_links(ids, similar(agree, sides))
 
 
 def in_blocks(frame: DataFrame, group: str, blocks: str) -> DataFrame:

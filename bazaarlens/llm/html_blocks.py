@@ -28,11 +28,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlens.llm.frames import Batches, bounded_sample, by_batch
+from bazaarlens.llm.frames import Batches, Columns, bounded_sample, by_batch
 from bazaarlens.llm.words import mix, span_hashes, word_spans
 
 SAMPLE = 500
@@ -399,10 +398,12 @@ def fit(pages: DataFrame) -> Labeller:
     """Learn from a bounded sample of ``pages`` (page_id, url, html), cut to a bounded size each."""
     chosen = bounded_sample(pages.where("html is not null").select("page_id", "url", "html"), SAMPLE, "page_id", "url")
 
-    def shorten(batches: Batches) -> Batches:
+    names = ("page", "n", "path", "text", "linked")
+
+    def shorten(batches: Batches) -> Iterator[Columns]:
         for batch in batches:
             rows = []
-            for key, page in zip(batch["page_id"], batch["html"], strict=True):
+            for key, page in zip(batch.column("page_id").to_pylist(), batch.column("html").to_pylist(), strict=True):
                 blocks = blocks_of(page)
                 # A page's two ends, where main text begins and ends.
                 half = TRAIN_BLOCKS // 2
@@ -410,7 +411,7 @@ def fit(pages: DataFrame) -> Labeller:
                     blocks = blocks[:half] + blocks[-half:]
                 for n, b in enumerate(blocks):
                     rows.append((str(key), n, list(b.path), b.text[:TRAIN_CHARS], min(b.linked, TRAIN_CHARS)))
-            yield pd.DataFrame(rows, columns=["page", "n", "path", "text", "linked"])
+            yield {name: [row[i] for row in rows] for i, name in enumerate(names)}
 
     schema = "page string, n int, path array<string>, text string, linked int"
     rows = by_batch(chosen, shorten, schema).collect()
@@ -429,15 +430,13 @@ def main_texts(labeller: Labeller, pages: list[str | None]) -> Iterator[str]:
 def extracted(pages: DataFrame, labeller: Labeller) -> DataFrame:
     model = pages.sparkSession.sparkContext.broadcast(labeller.dump())
 
-    def run(batches: Batches) -> Batches:
+    def run(batches: Batches) -> Iterator[Columns]:
         own = Labeller.load(model.value)
         for batch in batches:
-            for at in range(0, len(batch), 256):
-                part = batch.iloc[at : at + 256]
-                texts = list(main_texts(own, part["html"].tolist()))
-                yield pd.DataFrame(
-                    {"page_id": part["page_id"].astype("Int64").to_numpy(), "url": part["url"].to_numpy(), "text": texts}
-                ).astype({"page_id": "Int64"})
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                texts = list(main_texts(own, part.column("html").to_pylist()))
+                yield {"page_id": part.column("page_id"), "url": part.column("url"), "text": texts}
 
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
     found = by_batch(rows, run, "page_id long, url string, text string")

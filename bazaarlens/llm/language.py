@@ -23,13 +23,12 @@ import io
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlens.llm.frames import Batches, by_batch, ship
+from bazaarlens.llm.frames import Batches, Columns, by_batch, ship
 from bazaarlens.llm.words import mix, span_hashes, word_spans
 
 #: The sample: documents of each language, and words of each document in runs.
@@ -298,9 +297,10 @@ def fit(docs: DataFrame, learnable: Column, sample: int = SAMPLE) -> Tagger:
     spread = F.pmod(F.xxhash64("text", F.lit(11)), F.lit(1_000_003)) / 1_000_003.0
     chosen = rows.where(spread < share[F.col("lang")]).select("text", "lang")
 
-    def shorten(batches: Batches) -> Batches:
+    def shorten(batches: Batches) -> Iterator[Columns]:
         for batch in batches:
-            yield pd.DataFrame({"lang": batch["lang"], "words": [word_runs(t) for t in batch["text"]]})
+            texts = batch.column("text").to_pylist()
+            yield {"lang": batch.column("lang"), "words": [word_runs(t) for t in texts]}
 
     found = by_batch(chosen, shorten, "lang string, words array<string>").distinct()
     # Twice the expected number, so that a hot text cannot swell what is gathered.
@@ -312,13 +312,15 @@ def labelled(docs: DataFrame, tagger: Tagger) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, lang_pred, score."""
     model = docs.sparkSession.sparkContext.broadcast(tagger.dump())
 
-    def run(batches: Batches) -> Batches:
+    def run(batches: Batches) -> Iterator[Columns]:
         own = Tagger.load(model.value)
         for batch in batches:
-            judged = list(own.languages_of(batch["text"].tolist()))
-            yield pd.DataFrame(
-                {"doc_id": batch["doc_id"].astype("Int64"), "lang_pred": [a for a, _ in judged], "score": [b for _, b in judged]}
-            )
+            judged = list(own.languages_of(batch.column("text").to_pylist()))
+            yield {
+                "doc_id": batch.column("doc_id"),
+                "lang_pred": [lang for lang, _ in judged],
+                "score": [score for _, score in judged],
+            }
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return by_batch(rows, run, "doc_id long, lang_pred string, score double")
@@ -347,7 +349,7 @@ def keep_identified(docs: DataFrame, least: float = 0.3) -> DataFrame:
     tagger = fit(docs, ~held_out())
     model = docs.sparkSession.sparkContext.broadcast(tagger.dump())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Batches) -> Batches:
         own = Tagger.load(model.value)
         for batch in batches:
             judged = list(own.languages_of(batch.column("text").to_pylist()))

@@ -22,17 +22,17 @@ from __future__ import annotations
 import base64
 import json
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import cache
 from pathlib import Path
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlens.llm.frames import Batches, by_batch, by_group
+from bazaarlens.llm.frames import Batches, Columns, by_batch, by_group
 from bazaarlens.sources.storage import materialize
 
 LENGTH = 1024
@@ -40,6 +40,7 @@ END_ID = 2
 #: Pieces that a partition packs at once.
 PARTITION = 50_000
 ROUNDS = 6
+PIECE_NAMES = ["doc_id", "piece", "start", "length", "ids_crc32"]
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long, fill long, n_bins long, bound long, emptiest boolean"
 #: Fixed value: the published pattern of this vocabulary's pre-tokenizer.
@@ -83,20 +84,19 @@ def cut(n: int, length: int = LENGTH) -> list[int]:
 
 
 def tokenized(docs: DataFrame, path: str, length: int = LENGTH) -> DataFrame:
-    def run(batches: Batches) -> Batches:
+    def run(batches: Batches) -> Iterator[Columns]:
         encode = encoder(path)
         end = np.array([END_ID], np.uint32)
         for batch in batches:
             rows = []
-            known = batch["doc_id"].isna().tolist()
-            for missing, doc_id, text in zip(known, batch["doc_id"], batch["text"], strict=True):
+            doc_ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
+            for doc_id, text in zip(doc_ids, texts, strict=True):
                 ids = np.concatenate((encode(text), end)) if text else end
                 at = cut(len(ids), length)
-                raw = ids.astype("<u4").tobytes()
+                raw = memoryview(ids.astype("<u4").tobytes())
                 for k, (a, b) in enumerate(zip(at, at[1:])):
-                    rows.append((None if missing else doc_id, k, a, b - a, zlib.crc32(raw[4 * a : 4 * b])))
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            yield out.astype({"doc_id": "Int64"})
+                    rows.append((doc_id, k, a, b - a, zlib.crc32(raw[4 * a : 4 * b])))
+            yield dict(zip(PIECE_NAMES, zip(*rows, strict=True), strict=True))
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return by_batch(rows, run, PIECES)
@@ -151,21 +151,23 @@ def best_fit(lengths: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.
 def pack_once(pieces: DataFrame, partitions: int, turn: int, length: int = LENGTH) -> DataFrame:
     """Deal the pieces to partitions and pack each: the columns of PACKED."""
 
-    def each(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["length", "doc_id", "piece", "ids_crc32"], ignore_index=True)
-        lengths = rows["length"].to_numpy()
+    def each(rows: pa.RecordBatch) -> Columns:
+        task = rows.column("task")[0].as_py()
+        rows = rows.select(PIECE_NAMES).sort_by([(n, "ascending") for n in ("length", "doc_id", "piece", "ids_crc32")])
+        lengths = rows.column("length").to_numpy()
+        bound = lower_bound(lengths, length)
         bins, offsets = best_fit(lengths, length)
         fill = np.bincount(bins, weights=lengths).astype(np.int64)
         # Odd, so that full pieces can have the even numbers.
-        numbers = ((bins << 24 | int(rows["task"].iloc[0])) << 4 | turn) * 2 + 1
-        return rows.drop(columns="task").assign(
-            sequence_id=numbers,
-            offset=offsets,
-            fill=fill[bins],
-            n_bins=len(fill),
-            bound=lower_bound(lengths, length),
-            emptiest=bins == fill.argmin(),
-        )
+        numbers = ((bins << 24 | task) << 4 | turn) * 2 + 1
+        return {name: rows.column(name).to_pylist() for name in PIECE_NAMES} | {
+            "sequence_id": numbers.tolist(),
+            "offset": offsets.tolist(),
+            "fill": fill[bins].tolist(),
+            "n_bins": [len(fill)] * len(bins),
+            "bound": [bound] * len(bins),
+            "emptiest": (bins == fill.argmin()).tolist(),
+        }
 
     deal = F.pmod(F.xxhash64(*pieces.columns, F.lit(turn)), F.lit(partitions))
     return by_group(pieces.withColumn("task", deal), "task", each, PACKED)

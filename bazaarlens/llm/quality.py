@@ -21,11 +21,10 @@ import io
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlens.llm.frames import Batches, bounded_sample, by_batch
+from bazaarlens.llm.frames import Batches, Columns, bounded_sample, by_batch
 
 CHUNK = 512
 OVERLAP = 64
@@ -216,19 +215,19 @@ def fit(docs: DataFrame, labels: DataFrame, learnable: Column) -> Network:
     # SAMPLE rows of two numbers.
     texts = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
 
-    def shorten(batches: Batches) -> Batches:
+    def shorten(batches: Batches) -> Iterator[Columns]:
         for batch in batches:
             pieces = []
-            for text in batch["text"]:
+            for text in batch.column("text").to_pylist():
                 raw = raw_text(text)
                 starts = chunk_starts(len(raw))
                 if len(starts) > CHUNKS:
                     kept = starts[np.linspace(0, len(starts) - 1, CHUNKS).astype(int)]
                     raw = b"".join(raw[at : at + CHUNK - OVERLAP] for at in kept)
                 pieces.append(raw)
-            yield pd.DataFrame({"quality": batch["quality"], "raw": pieces})
+            yield {"quality": batch.column("quality"), "raw": pieces}
 
-    short = by_batch(texts.select("text", "quality"), shorten, "quality int, raw binary")
+    short = by_batch(texts.select("text", F.col("quality").cast("int").alias("quality")), shorten, "quality int, raw binary")
     # A doc_id on many rows must not swell what is gathered.
     found = short.orderBy(F.xxhash64("raw")).limit(2 * SAMPLE).collect()
     return learn(sorted((int(r["quality"] > 0), bytes(r["raw"])) for r in found))
@@ -238,11 +237,11 @@ def scored(docs: DataFrame, net: Network) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, score."""
     model = docs.sparkSession.sparkContext.broadcast(net.dump())
 
-    def run(batches: Batches) -> Batches:
+    def run(batches: Batches) -> Iterator[Columns]:
         own = Network.load(model.value)
         for batch in batches:
-            found = list(own.scores([raw_text(t) for t in batch["text"]]))
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "score": np.array(found, float)})
+            raws = [raw_text(t) for t in batch.column("text").to_pylist()]
+            yield {"doc_id": batch.column("doc_id"), "score": np.array(list(own.scores(raws)), float)}
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return by_batch(rows, run, "doc_id long, score double")

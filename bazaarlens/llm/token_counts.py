@@ -21,12 +21,11 @@ from collections import Counter
 from collections.abc import Callable, Iterator
 
 import ahocorasick
-import pandas as pd
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlens.llm.frames import Batches, by_batch
+from bazaarlens.llm.frames import Batches, Columns, by_batch
 
 SPACE = "▁"
 #: What an unknown character costs below the worst piece.
@@ -118,17 +117,14 @@ def text_counter(pieces: Vocabulary) -> Callable[[str], int]:
 def token_counts(docs: DataFrame, path: str) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_chars, n_tokens."""
 
-    def run(batches: Batches) -> Batches:
+    def run(batches: Batches) -> Iterator[Columns]:
         total = text_counter(vocabulary(path))
         for batch in batches:
-            counts = [None if t is None else total(t) for t in batch["text"]]
-            yield pd.DataFrame(
-                {
-                    "doc_id": batch["doc_id"].astype("Int64"),
-                    "n_chars": batch["n_chars"].astype("Int64"),
-                    "n_tokens": pd.array(counts, "Int64"),
-                }
-            )
+            yield {
+                "doc_id": batch.column("doc_id"),
+                "n_chars": batch.column("n_chars"),
+                "n_tokens": [None if t is None else total(t) for t in batch.column("text").to_pylist()],
+            }
 
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.char_length("text").cast("long").alias("n_chars"), "text"

@@ -1,7 +1,7 @@
 """Run the jobs: ``spark-submit`` this package, or ``python -m bazaarlens``.
 
     refresh RAW OUT [DATABASE]   raw CSV folder to master and feature tables
-    reports OUT                  all reports over the tables of a refresh
+    reports OUT                  all reports over the last refresh, written in full to OUT/reports
     quality RAW                  row counts and malformed numbers of the raw files
 """
 
@@ -13,10 +13,12 @@ from pyspark.sql import SparkSession
 
 from bazaarlens.operators import quality
 from bazaarlens.plans import findings, reports
-from bazaarlens.plans.refresh import refresh
+from bazaarlens.plans.refresh import latest, refresh
 from bazaarlens.sources.datasets import read_datasets
-from bazaarlens.sources.storage import materialize, read_parquet, row_counts
+from bazaarlens.sources.storage import read_parquet, row_counts, write_parquet
 
+#: Rows of a report that are printed; its files hold all of them.
+PREVIEW = 100
 REPORTS = {
     "seller_features": (
         reports.seller_summary,
@@ -36,22 +38,23 @@ REPORTS = {
 
 def run_refresh(spark: SparkSession, raw: str, out: str, database: str | None = None) -> None:
     data = read_datasets(spark, raw)
-    # The largest dataset is read more than once; its text is parsed only here.
-    data["order_items"] = materialize(data["order_items"], "order_items")
     for name, rows in refresh(spark, data, out, database).rows.items():
         print(f"{name}: {rows} rows")
 
 
 def run_reports(spark: SparkSession, out: str) -> None:
-    tables = {name: read_parquet(spark, f"{out}/{name}") for name in REPORTS}
-    for name, views in REPORTS.items():
-        for view in views:
-            print(view.__name__)
-            view(tables[name]).show(100, truncate=False)
-    print("findings")
-    findings.findings_report(*tables.values()).orderBy("section", "seq").show(
-        100, truncate=False
-    )
+    tables = latest(spark, out)
+    tables = {name: tables[name] for name in REPORTS}
+    frames = {
+        view.__name__: view(tables[name]) for name, views in REPORTS.items() for view in views
+    }
+    frames["findings_report"] = findings.findings_report(*tables.values())
+    for name, frame in frames.items():
+        path = f"{out}/reports/{name}"
+        rows = write_parquet(frame, path)
+        print(f"{name}: {rows} rows in {path}" + (f", the first {PREVIEW}:" if rows > PREVIEW else ""))
+        # Reports that are lists keep their order in the files.
+        read_parquet(spark, path).show(PREVIEW, truncate=False)
 
 
 def run_quality(spark: SparkSession, raw: str) -> None:

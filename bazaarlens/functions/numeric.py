@@ -46,8 +46,44 @@ def percent(rate: str) -> Column:
 
 
 def exact(value: str) -> Column:
-    """Sort key of a double: equal up to summation noise means equal."""
-    return F.expr(f"try_cast({value} AS {EXACT})")
+    """Sort key of a double: equal up to summation noise means equal.
+
+    Values beyond the decimal, infinities included, stand above or below all
+    others and are ordered among themselves as doubles. NaN counts as null.
+    """
+    number = f"nullif(double({value}), double('NaN'))"
+    inside = f"try_cast({number} AS {EXACT})"
+    return F.expr(
+        f"if({number} IS NULL, NULL, named_struct("
+        f"'side', if({inside} IS NULL, int(signum({number})), 0), "
+        f"'near', {inside}, 'far', if({inside} IS NULL, {number}, NULL)))"
+    )
+
+
+def exact_addends(value: str) -> tuple[str, str]:
+    """Two addends for a sum of doubles that does not depend on the order of its terms.
+
+    The first is a decimal. The second takes the values that no decimal holds.
+    """
+    number = f"double({value})"
+    near = f"try_cast({number} AS {EXACT})"
+    return near, f"if({near} IS NULL, {number}, NULL)"
+
+
+def exact_sum(value: str) -> Column:
+    """The sum of a double column, the same in every run."""
+    near, far = exact_addends(value)
+    return F.expr(exact_total(f"sum({near})", f"sum({far})"))
+
+
+def exact_mean(value: str) -> Column:
+    near, far = exact_addends(value)
+    return F.expr(f"try_divide({exact_total(f'sum({near})', f'sum({far})')}, count({value}))")
+
+
+def exact_total(near: str, far: str) -> str:
+    """The double of the sums of both addends; null if there was nothing to add."""
+    return f"coalesce(double({near}) + {far}, double({near}), {far})"
 
 
 def settle_doubles(frame: DataFrame, digits: int = 6) -> DataFrame:

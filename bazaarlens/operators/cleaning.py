@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from bazaarlens.functions.delivery import delay_days, late_flag
-from bazaarlens.functions.numeric import to_double
+from bazaarlens.functions.numeric import exact_mean, exact_sum, to_double
 
 
 def clean_orders(orders: DataFrame) -> DataFrame:
@@ -28,8 +27,8 @@ def with_delivery(orders: DataFrame) -> DataFrame:
 def payment_agg(payments: DataFrame) -> DataFrame:
     """Total paid and mean number of instalments per order."""
     return payments.groupBy("order_id").agg(
-        F.sum("payment_value").alias("total_payment"),
-        F.avg("payment_installments").alias("avg_installments"),
+        exact_sum("payment_value").alias("total_payment"),
+        exact_mean("payment_installments").alias("avg_installments"),
     )
 
 
@@ -39,7 +38,7 @@ def review_agg(reviews: DataFrame) -> DataFrame:
         reviews.select("order_id", to_double("review_score").alias("review_score"))
         .filter("review_score IS NOT NULL")
         .groupBy("order_id")
-        .agg(F.avg("review_score").alias("avg_review_score"))
+        .agg(exact_mean("review_score").alias("avg_review_score"))
     )
 
 

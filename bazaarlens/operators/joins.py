@@ -2,80 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of one key that a single task may hold before the key is split.
-HOT_ROWS = 1_000_000
-# Most keys that are split. Every other key has less than 1/4096 of the rows.
-MAX_HOT_KEYS = 4096
-# A lookup table is broadcast only up to this many rows.
-BROADCAST_ROWS = 200_000
 
+def left_join_many(one: DataFrame, many: DataFrame, key: str) -> DataFrame:
+    """``one`` left joined with ``many`` on ``key``, where ``many`` may be skewed.
 
-def broadcast_if_small(lookup: DataFrame) -> DataFrame:
-    """Mark a lookup for broadcast if it has few rows, as counted now.
-
-    A larger lookup is returned as it is: the join is then a shuffle join, where
-    adaptive execution splits the hot keys of the other side.
-    """
-    return F.broadcast(lookup) if lookup.count() <= BROADCAST_ROWS else lookup
-
-
-def fan_out(
-    one: DataFrame,
-    many: DataFrame,
-    key: str,
-    how: str = "left",
-    hot_rows: int = HOT_ROWS,
-    counts: DataFrame | None = None,
-) -> DataFrame:
-    """Join ``one`` with ``many`` on ``key``, where ``many`` may be skewed.
-
-    The rows of a hot key of ``many`` are spread over several parts, and the
-    row of ``one`` is repeated once per part. Adaptive execution cannot do this
-    here: it never splits the right side of a left join.
-
-    ``how`` is "left", or "inner" with null keys matching each other. ``counts``
-    (key, n) gives the rows per key of ``many``. Without it ``many`` should be
-    a stored table: its rows are counted now, and then per key in the plan,
-    unless there are too few rows for any key to be hot.
+    A left join can be split by adaptive execution on its left side only. Here the
+    skewed rows stand on the left of an inner join, which splits them, and the rows of
+    ``one`` without a match are added by an anti join against the distinct keys,
+    of which every reading task sends each at most once.
     """
-    inner = how == "inner"
-
-    def same(a: str, b: str) -> Column:
-        return F.col(a).eqNullSafe(F.col(b)) if inner else F.col(a) == F.col(b)
-
-    other = many.withColumnRenamed(key, "_many_key")
-    if counts is None:
-        if many.count() <= hot_rows:
-            return one.join(other, same(key, "_many_key"), how).drop("_many_key")
-        known = many if inner else many.filter(f"{key} IS NOT NULL")
-        counts = known.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    # At most MAX_HOT_KEYS rows, whatever the data: safe to broadcast.
-    hot = F.broadcast(
-        counts.filter(F.col("n") > hot_rows)
-        .orderBy(F.desc("n"), F.asc_nulls_last(key))
-        .limit(MAX_HOT_KEYS)
-        .selectExpr(f"{key} AS _hot_key", f"int(ceil(n / {hot_rows})) AS _parts")
-    )
-
-    def with_parts(frame: DataFrame, column: str, part: str) -> DataFrame:
-        marked = frame.join(hot, same(column, "_hot_key"), "left")
-        return marked.selectExpr(
-            "* EXCEPT (_hot_key, _parts)", "coalesce(_parts, 1) AS _parts"
-        ).selectExpr("*", part)
-
-    left = with_parts(one, key, "explode(sequence(0, _parts - 1)) AS _part")
-    # The number of the reading task spreads even identical rows, and a retried
-    # task gives the same answer.
-    right = with_parts(
-        other, "_many_key", "spark_partition_id() % _parts AS _many_part"
-    ).selectExpr("* EXCEPT (_parts)", "true AS _matched")
-
-    joined = left.join(right, same(key, "_many_key") & F.expr("_part = _many_part"), how)
-    # A part that received no row leaves an unmatched copy behind. Keys in parts
-    # have rows by definition, so any unmatched row of theirs is such a copy.
-    return joined.filter("_matched OR _parts = 1").drop(
-        "_parts", "_part", "_many_key", "_many_part", "_matched"
-    )
+    keys = many.select(key).distinct()
+    matched = many.join(one, on=key)
+    alone = one.join(keys, on=key, how="left_anti")
+    columns = [*one.columns, *(name for name in many.columns if name != key)]
+    missing = [
+        F.lit(None).cast(f.dataType).alias(f.name) for f in many.schema.fields if f.name != key
+    ]
+    return matched.select(*columns).union(alone.select(*one.columns, *missing))

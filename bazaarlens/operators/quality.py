@@ -16,6 +16,15 @@ NUMERIC_COLUMNS = {
     "order_items": "price",
 }
 
+# The columns that must be unique.
+UNIQUE_KEYS = {
+    "orders": "order_id",
+    "products": "product_id",
+    "customers": "customer_id",
+    "sellers": "seller_id",
+    "category": "product_category_name",
+}
+
 
 def _union(frames: list[DataFrame]) -> DataFrame:
     result = frames[0]
@@ -25,7 +34,10 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 
 def bad_values(raw: Mapping[str, DataFrame], first: int = 5) -> DataFrame:
-    """The first rows, by order and value, whose number is missing or malformed."""
+    """The first rows, by order and value, whose number is missing or malformed.
+
+    ``whole_row`` is the row as one JSON text.
+    """
     return _union(
         [
             raw[name]
@@ -35,8 +47,11 @@ def bad_values(raw: Mapping[str, DataFrame], first: int = 5) -> DataFrame:
                 F.lit(column).alias("column_name"),
                 F.col("order_id").cast("string").alias("order_id"),
                 F.col(column).cast("string").alias("value"),
+                F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("whole_row"),
+            )
+            .orderBy(
+                F.asc_nulls_last("order_id"), F.asc_nulls_last("value"), F.asc_nulls_last("whole_row")
             )
-            .orderBy(F.asc_nulls_last("order_id"), F.asc_nulls_last("value"))
             .limit(first)
             for name, column in NUMERIC_COLUMNS.items()
         ]
@@ -63,6 +78,24 @@ def bad_value_counts(raw: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def duplicate_keys(data: Mapping[str, DataFrame]) -> DataFrame:
+    """Keys that stand on several rows of the dataset they should identify one row of.
+
+    Joins with such a dataset repeat rows, and plans that leave a lookup out do not.
+    """
+    return _union(
+        [
+            data[name]
+            .filter(F.col(key).isNotNull())
+            .groupBy(F.col(key).cast("string").alias("key_value"))
+            .agg(F.count(F.lit(1)).alias("row_count"))
+            .filter("row_count > 1")
+            .select(F.lit(name).alias("dataset"), F.lit(key).alias("key_column"), "*")
+            for name, key in UNIQUE_KEYS.items()
+        ]
+    )
+
+
 def table_schemas(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Columns of each table in order: type, rows with a value, and rows in all."""
 

@@ -1,4 +1,4 @@
-"""Sums that can be added up again at any coarser grain.
+"""Sums that can be added up again at any coarser grain, exactly.
 
 Feature tables are means over master rows. A mean is kept as a sum and a count
 until the end, so rows can be aggregated on an id before the id is looked up,
@@ -10,11 +10,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bazaarlens.functions.numeric import exact_addends, exact_total
+
 
 def mean_parts(name: str, value: str, weight: str = "1") -> list[str]:
     """The sum and the count of ``value``, standing for ``weight`` equal rows."""
+    near, far = exact_addends(f"double({value}) * {weight}")
     return [
-        f"double({value}) * {weight} AS {name}_sum",
+        f"{near} AS {name}_sum",
+        f"{far} AS {name}_far",
         f"bigint(if({value} IS NOT NULL, {weight}, 0)) AS {name}_n",
     ]
 
@@ -41,13 +45,15 @@ def payment_measures(orders: DataFrame, *keys: str, weight: str = "1") -> DataFr
 
 
 def rollup(measures: DataFrame, *keys: str, extra: tuple[Column, ...] = ()) -> DataFrame:
-    """Add up every ``_sum`` and ``_n`` column per key."""
+    """Add up every ``_sum``, ``_far`` and ``_n`` column per key."""
     sums = [
-        F.sum(name).alias(name) for name in measures.columns if name.endswith(("_sum", "_n"))
+        F.sum(name).alias(name)
+        for name in measures.columns
+        if name.endswith(("_sum", "_far", "_n"))
     ]
     return measures.groupBy(*keys).agg(*extra, *sums)
 
 
 def mean(name: str, column: str) -> str:
     """The mean of a measure, as a select expression; null when nothing was counted."""
-    return f"try_divide({name}_sum, {name}_n) AS {column}"
+    return f"try_divide({exact_total(f'{name}_sum', f'{name}_far')}, {name}_n) AS {column}"

@@ -9,11 +9,11 @@ unique in their own dataset wherever a lookup is skipped.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bazaarlens.functions.numeric import exact_mean, exact_sum
 from bazaarlens.operators.cleaning import translate_products
-from bazaarlens.operators.joins import HOT_ROWS, fan_out
 from bazaarlens.operators.rollup import mean, payment_measures, rollup, sales_measures
 from bazaarlens.plans.master import Datasets, item_rows, order_rows
 from bazaarlens.sources.storage import materialize
@@ -28,13 +28,13 @@ SELLER_MEANS = (
 )
 
 
-def _order_table(rows: DataFrame, item_columns: list[str]) -> DataFrame:
+def _order_table(rows: DataFrame, item_columns: list[Column]) -> DataFrame:
     return rows.groupBy("order_id").agg(
-        *(F.expr(column) for column in item_columns),
-        F.avg("avg_review_score").alias("order_review_score"),
+        *item_columns,
+        exact_mean("avg_review_score").alias("order_review_score"),
         F.avg("delivery_delay_days").alias("order_delay_days"),
         F.avg("is_late").alias("order_is_late"),
-        F.avg("total_payment").alias("order_payment_value"),
+        exact_mean("total_payment").alias("order_payment_value"),
     )
 
 
@@ -74,9 +74,9 @@ def features_from_master(master: DataFrame) -> dict[str, DataFrame]:
         "order_features": _order_table(
             master,
             [
-                "sum(price) AS order_total_price",
-                "sum(freight_value) AS order_total_freight",
-                "count(product_id) AS order_item_count",
+                exact_sum("price").alias("order_total_price"),
+                exact_sum("freight_value").alias("order_total_freight"),
+                F.count("product_id").alias("order_item_count"),
             ],
         ),
         # Rows are hash-aggregated with their place first: taking the smallest
@@ -95,24 +95,24 @@ def order_features(data: Datasets) -> DataFrame:
         data["order_items"]
         .groupBy("order_id")
         .agg(
-            F.sum("price").alias("price"),
-            F.sum("freight_value").alias("freight_value"),
+            exact_sum("price").alias("price"),
+            exact_sum("freight_value").alias("freight_value"),
             F.count("product_id").alias("item_count"),
         )
     )
     return _order_table(
         order_rows(data).join(items, on="order_id", how="left"),
         [
-            "sum(price) AS order_total_price",
-            "sum(freight_value) AS order_total_freight",
-            "coalesce(sum(item_count), 0) AS order_item_count",
+            exact_sum("price").alias("order_total_price"),
+            exact_sum("freight_value").alias("order_total_freight"),
+            F.coalesce(F.sum("item_count"), F.lit(0)).alias("order_item_count"),
         ],
     )
 
 
-def sales_by(data: Datasets, *keys: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def sales_by(data: Datasets, *keys: str) -> DataFrame:
     """Measures of the master rows per seller, per product, or per pair of both."""
-    return rollup(sales_measures(item_rows(data, hot_rows), *keys), *keys)
+    return rollup(sales_measures(item_rows(data), *keys), *keys)
 
 
 def seller_features(data: Datasets, sales: DataFrame | None = None) -> DataFrame:
@@ -155,25 +155,21 @@ def customer_features(data: Datasets) -> DataFrame:
     )
 
 
-def seller_features_window(data: Datasets, hot_rows: int = HOT_ROWS) -> DataFrame:
+def seller_features_window(data: Datasets) -> DataFrame:
     """Master rows with the four means of their seller beside them.
 
     This is what four whole-partition windows over seller_id give. A window
-    puts all rows of a seller, or of no seller, into one task; the means are
-    aggregated, written out once, and joined back, splitting large sellers.
+    puts all rows of a seller, or of no seller, into one task. Here the item rows
+    are stored once, and the means are aggregated from them and joined back with the
+    rows on the left, where adaptive execution splits a large seller, null included.
     """
-    rows = item_rows(data, hot_rows)
-    means = materialize(
-        rollup(sales_measures(rows, "seller_id"), "seller_id").selectExpr(
-            "seller_id", *SELLER_MEANS, "late_n AS n"
-        ),
-        "seller_means",
+    columns = ("order_id", "product_id", "seller_id", "is_late", "price", "avg_review_score")
+    rows = materialize(item_rows(data).select(*columns), "item_rows")
+    means = rollup(sales_measures(rows, "seller_id"), "seller_id").selectExpr(
+        "seller_id AS mean_of", *SELLER_MEANS
     )
-    return fan_out(
-        means.drop("n"),
-        rows.select("order_id", "product_id", "seller_id"),
-        "seller_id",
-        how="inner",
-        hot_rows=hot_rows,
-        counts=means.select("seller_id", "n"),
+    return (
+        rows.select("order_id", "product_id", "seller_id")
+        .join(means, F.expr("seller_id <=> mean_of"), "left")
+        .drop("mean_of")
     )

@@ -15,6 +15,9 @@ ACTIONS = {
     "avg_review": "audit product quality and support",
 }
 
+# The sections of the report in their order.
+SECTIONS = ("summary", "insights", "risks", "actions")
+
 
 def _flag_order() -> list[Column]:
     """Largest deviation first."""
@@ -158,7 +161,7 @@ def business_insights(categories: DataFrame, states: DataFrame) -> DataFrame:
 def findings_report(
     sellers: DataFrame, categories: DataFrame, states: DataFrame, **flag_options
 ) -> DataFrame:
-    """Summary, insights, risks and actions in one table, in that order of sections."""
+    """Summary, insights, risks and actions in one table, ordered by section_no and seq."""
     summary = seller_summary(sellers).select(
         F.posexplode(
             F.array(
@@ -202,4 +205,8 @@ def findings_report(
             "item.section", "seq", "entity_id", "item.metric", "item.value"
         ),
     ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    number = F.coalesce(
+        *(F.when(F.col("section") == name, i) for i, name in enumerate(SECTIONS, 1))
+    )
+    report = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return report.select(number.alias("section_no"), "*").orderBy("section_no", "seq")

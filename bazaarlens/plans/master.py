@@ -13,7 +13,7 @@ from bazaarlens.operators.cleaning import (
     translate_products,
     with_delivery,
 )
-from bazaarlens.operators.joins import HOT_ROWS, broadcast_if_small, fan_out
+from bazaarlens.operators.joins import left_join_many
 
 Datasets = Mapping[str, DataFrame]
 
@@ -55,17 +55,17 @@ def order_rows(data: Datasets) -> DataFrame:
     )
 
 
-def item_rows(data: Datasets, hot_rows: int = HOT_ROWS) -> DataFrame:
+def item_rows(data: Datasets) -> DataFrame:
     """Master rows before lookups: one per item, and one per order without items."""
-    return fan_out(order_rows(data), data["order_items"], "order_id", hot_rows=hot_rows)
+    return left_join_many(order_rows(data), data["order_items"], "order_id")
 
 
-def build_master(data: Datasets, hot_rows: int = HOT_ROWS) -> DataFrame:
+def build_master(data: Datasets) -> DataFrame:
     """The master table. Columns the datasets have beyond the named ones come last.
 
     Customers are looked up at order grain, where there are fewer rows, and
-    before the joins on order_id, which then share one partitioning. They grow
-    with the orders, so they are never marked for broadcast here.
+    before the joins on order_id. The plan is the same at every size: adaptive
+    execution knows the bytes of a lookup and broadcasts it if they are few.
     """
     orders = order_rows(
         {
@@ -76,9 +76,9 @@ def build_master(data: Datasets, hot_rows: int = HOT_ROWS) -> DataFrame:
     )
     products = translate_products(data["products"], data["category"])
     master = (
-        fan_out(orders, data["order_items"], "order_id", hot_rows=hot_rows)
-        .join(broadcast_if_small(products), on="product_id", how="left")
-        .join(broadcast_if_small(data["sellers"]), on="seller_id", how="left")
+        left_join_many(orders, data["order_items"], "order_id")
+        .join(products, on="product_id", how="left")
+        .join(data["sellers"], on="seller_id", how="left")
     )
     others = [name for name in master.columns if name not in MASTER_COLUMNS]
     return master.select(*MASTER_COLUMNS, *others)

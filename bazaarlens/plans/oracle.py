@@ -67,6 +67,25 @@ _VIEWS = {
                     ELSE CAST(1 + CAST(floor(value) AS BIGINT) % 5 AS VARCHAR)
                END AS review_score
         FROM events""",
+    "fx_category_names": "SELECT product_category_name FROM fx_category",
+    "raw_payments": """
+        SELECT CAST(l_orderkey AS VARCHAR) AS order_id,
+               CASE WHEN (l_orderkey * 7 + l_linenumber) % 5003 = 0 THEN 'not paid'
+                    WHEN (l_orderkey * 7 + l_linenumber) % 4001 = 0 THEN NULL
+                    ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR)
+               END AS payment_value,
+               CAST(l_linenumber AS VARCHAR) AS payment_installments
+        FROM lineitem""",
+    "raw_reviews": """
+        SELECT CAST(order_id AS VARCHAR) AS order_id, review_score FROM fx_reviews""",
+    "raw_order_items": """
+        SELECT CAST(l_orderkey AS VARCHAR) AS order_id,
+               CAST(l_linenumber AS VARCHAR) AS order_item_id,
+               CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_suppkey AS VARCHAR) AS seller_id,
+               CASE WHEN (l_orderkey * 5 + l_linenumber) % 4507 = 0 THEN 'R$ 12,50'
+                    ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) END AS price,
+               CAST(CAST(l_tax AS DECIMAL(18,2)) AS VARCHAR) AS freight_value
+        FROM lineitem""",
     "kept_orders": """
         SELECT * FROM fx_orders
         WHERE order_status = 'delivered' AND order_delivered_customer_date IS NOT NULL
@@ -282,20 +301,76 @@ def _bad(name: str, column: str) -> str:
     return f"TRY_CAST({column} AS DOUBLE) IS NULL"
 
 
+def _cells(name: str) -> str:
+    return ", ".join(f"'{column}': {column}" for column, _ in _TYPES[name])
+
+
 _CHECKED = {"payments": "payment_value", "reviews": "review_score", "order_items": "price"}
 _BAD_ROWS = " UNION ALL ".join(
     f"(SELECT '{name}' AS dataset, '{column}' AS column_name, "
-    f"CAST(order_id AS VARCHAR) AS order_id, CAST({column} AS VARCHAR) AS value "
-    f"FROM {_RAW[name]} WHERE {_bad(name, column)} "
-    "ORDER BY CAST(order_id AS VARCHAR), value LIMIT 5)"
+    f"CAST(order_id AS VARCHAR) AS order_id, CAST({column} AS VARCHAR) AS value, "
+    f"CAST(to_json({{{_cells(name)}}}) AS VARCHAR) AS whole_row "
+    f"FROM raw_{name} WHERE {_bad(name, column)} "
+    f"ORDER BY CAST(order_id AS VARCHAR), value, whole_row LIMIT 5)"
     for name, column in _CHECKED.items()
 )
 _BAD_COUNTS = " UNION ALL ".join(
     f"SELECT '{name}' AS dataset, '{column}' AS column_name, COUNT(*) AS total_rows, "
-    f"COUNT(*) FILTER (WHERE {_bad(name, column)}) AS bad_rows FROM {_RAW[name]}"
+    f"COUNT(*) FILTER (WHERE {_bad(name, column)}) AS bad_rows FROM raw_{name}"
     for name, column in _CHECKED.items()
 )
 
+_DOUBLES = {
+    "order_features": (
+        "order_id",
+        "order_total_price order_total_freight order_item_count order_review_score "
+        "order_delay_days order_is_late order_payment_value",
+    ),
+    "seller_features": (
+        "seller_id",
+        "seller_avg_review seller_late_rate seller_total_orders seller_avg_price",
+    ),
+    "category_features": (
+        "product_category_name_english",
+        "category_avg_price category_avg_review category_total_orders category_late_rate",
+    ),
+    "customer_features": (
+        "customer_state",
+        "state_total_orders state_avg_payment state_late_rate",
+    ),
+}
+_LONG_TABLES = " UNION ALL ".join(
+    f"SELECT '{table}' AS table_name, CAST({key} AS VARCHAR) AS entity, '{column}' AS metric, "
+    f"{_half_up(column, 6)} AS value FROM {table}"
+    for table, (key, columns) in _DOUBLES.items()
+    for column in columns.split()
+)
+_PUBLISHED_REPORTS = f"""
+    SELECT 'platform' AS report, 'sellers' AS entity, COUNT(*) AS orders,
+           {_half_up("AVG(seller_late_rate)", 6)} AS late_rate FROM seller_features
+    UNION ALL
+    SELECT 'state', customer_state, state_total_orders, {_half_up("state_late_rate", 6)}
+    FROM customer_features
+    UNION ALL
+    SELECT 'category', product_category_name_english, category_total_orders,
+           {_half_up("category_late_rate", 6)} FROM category_features
+    UNION ALL
+    SELECT 'master', customer_state, COUNT(*), {_half_up("AVG(is_late)", 6)}
+    FROM master GROUP BY customer_state
+    UNION ALL
+    SELECT 'orders', 'all', COUNT(*), {_half_up("AVG(order_is_late)", 6)} FROM order_features"""
+_DUPLICATES = " UNION ALL ".join(
+    f"SELECT '{name}' AS dataset, '{key}' AS key_column, CAST({key} AS VARCHAR) AS key_value, "
+    f"COUNT(*) AS row_count FROM {table} WHERE {key} IS NOT NULL GROUP BY {key} HAVING COUNT(*) > 1"
+    for name, key, table in (
+        ("orders", "order_id", "fx_orders"),
+        ("products", "product_id", "fx_products"),
+        ("customers", "customer_id", "fx_customers"),
+        ("sellers", "seller_id", "fx_sellers"),
+        ("category", "product_category_name", "fx_category_names"),
+    )
+)
+
 _ORDER_FEATURES = f"""SELECT {_settled('''order_id order_total_price~ order_total_freight~
     order_item_count order_review_score~ order_delay_days~ order_is_late~ order_payment_value~''')}
     FROM order_features"""
@@ -309,10 +384,9 @@ _FINAL = {
         SELECT CAST(doc_id AS VARCHAR) AS order_id, CAST(n_chars AS VARCHAR) AS review_score,
                CAST(length(text) AS INTEGER) AS text_length, md5(text) AS text_md5
         FROM documents""",
-    "scan_parquet": """
-        SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem WHERE l_quantity >= 25""",
+    "scan_parquet": "SELECT * FROM lineitem",
     "sink_parquet_roundtrip": _ORDER_FEATURES,
-    "table_ctas_roundtrip": _row_counts("table_name", **_DERIVED),
+    "table_ctas_roundtrip": _PUBLISHED_REPORTS,
     "dataset_row_counts": _row_counts("dataset", **_RAW),
     "table_schemas": _schemas(),
     "bad_value_rows": _BAD_ROWS,
@@ -412,6 +486,8 @@ _FINAL = {
     "anomaly_flags": "SELECT * FROM anomaly_flags",
     "business_insights": "SELECT * FROM business_insights",
     "findings_report": """
+        SELECT CASE section WHEN 'summary' THEN 1 WHEN 'insights' THEN 2 WHEN 'risks' THEN 3
+                            ELSE 4 END AS section_no, * FROM (
         SELECT 'summary' AS section, 1 AS seq, 'platform' AS entity_id, 'avg_review' AS metric,
                avg_review AS value FROM seller_summary
         UNION ALL SELECT 'summary', 2, 'platform', 'late_pct', late_pct FROM seller_summary
@@ -423,8 +499,12 @@ _FINAL = {
         UNION ALL SELECT 'risks', CAST(seq AS INTEGER), entity_id, entity_type || ' ' || metric,
                          value FROM ranked_flags
         UNION ALL SELECT 'actions', CAST(seq AS INTEGER), entity_id, action, z
-        FROM ranked_flags""",
+        FROM ranked_flags)""",
     "full_refresh": _row_counts("stage", **_RAW, **_DERIVED),
+    "csv_refresh": _LONG_TABLES,
+    "duplicate_keys": _DUPLICATES,
 }
+for _table in ("master", "seller_features", "category_features", "customer_features"):
+    _FINAL[f"refreshed_{_table}"] = _FINAL[_table]
 
 ORACLE_SQL: dict[str, str] = {name: _sql(final) for name, final in _FINAL.items()}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,11 +12,11 @@ from bazaarlens.functions.numeric import settle_doubles
 from bazaarlens.operators import cleaning, quality
 from bazaarlens.plans import features, findings, reports
 from bazaarlens.plans.master import MASTER_COLUMNS, Datasets, build_master
-from bazaarlens.plans.refresh import refresh
+from bazaarlens.plans.refresh import Refresh, latest, refresh
 from bazaarlens.sources import storage
-from bazaarlens.sources.datasets import read_dataset
+from bazaarlens.sources.datasets import DATASETS, read_dataset, read_datasets
 from bazaarlens.sources.scratch import scratch_path
-from bazaarlens.sources.star import star_datasets
+from bazaarlens.sources.star import RawTexts, star_datasets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -114,45 +115,85 @@ def scan_csv_multiline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def scan_parquet(spark: SparkSession, folder: str) -> DataFrame:
-    """Columns and filter reach the parquet scan."""
-    return (
-        storage.read_parquet(spark, f"{folder}/lineitem.parquet")
-        .filter(F.col("l_quantity") >= 25)
-        .select("l_orderkey", "l_linenumber", "l_extendedprice")
-    )
-
-
-def sink_parquet_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    orders = features.order_features(star_datasets(spark, folder))
-    return settle_doubles(storage.materialize(orders, "order_features"))
+    return storage.read_parquet(spark, f"{folder}/lineitem.parquet")
 
 
-def _refreshed(spark: SparkSession, folder: str, database: str | None = None):
+def _refreshed(spark: SparkSession, folder: str, database: str | None = None) -> Refresh:
     return refresh(
         spark, star_datasets(spark, folder), scratch_path(spark, "refresh"), database
     )
 
 
+def refreshed(name: str) -> Query:
+    """One of the tables that a refresh writes, as its readers find it."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        out = scratch_path(spark, "refresh")
+        refresh(spark, star_datasets(spark, folder), out)
+        return settle_doubles(latest(spark, out)[name])
+
+    return query
+
+
 def table_ctas_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    """The five tables created in the catalog from written files, then counted by SQL."""
-    root = scratch_path(spark, "tables")
-    database = root.rsplit("/", 1)[-1].replace("-", "_")
-    spark.sql(f"CREATE DATABASE `{database}` LOCATION '{root}'")
-    for name, table in _refreshed(spark, folder).tables(spark).items():
-        storage.create_table(table, f"{database}.{name}")
-    return spark.sql(
-        " UNION ALL ".join(
-            f"SELECT '{name}' AS table_name, COUNT(*) AS row_count FROM `{database}`.`{name}`"
-            for name in DERIVED
-        )
-    )
+    """SQL reports over the published tables of a refresh, and over master as a created table."""
+    database = scratch_path(spark, "tables").rsplit("/", 1)[-1].replace("-", "_")
+    _refreshed(spark, folder, database)
+    try:
+        storage.create_table(spark.table(f"{database}.master"), f"{database}.master_copy")
+        found = spark.sql(f"""
+            SELECT 'platform' AS report, 'sellers' AS entity, COUNT(*) AS orders,
+                   AVG(seller_late_rate) AS late_rate FROM {database}.seller_features
+            UNION ALL SELECT 'state', customer_state, state_total_orders, state_late_rate
+            FROM {database}.customer_features
+            UNION ALL SELECT 'category', product_category_name_english, category_total_orders,
+                             category_late_rate FROM {database}.category_features
+            UNION ALL SELECT 'master', customer_state, COUNT(*), AVG(is_late)
+            FROM {database}.master_copy GROUP BY customer_state
+            UNION ALL SELECT 'orders', 'all', COUNT(*), AVG(order_is_late)
+            FROM {database}.order_features""")
+        return settle_doubles(storage.materialize(found, "table_reports"))
+    finally:
+        spark.sql(f"DROP DATABASE `{database}` CASCADE")
 
 
 def full_refresh(spark: SparkSession, folder: str) -> DataFrame:
     """Raw datasets to all five tables; the row count of every input and output."""
-    tables = _refreshed(spark, folder).tables(spark)
-    inputs = star_datasets(spark, folder)
-    return storage.row_counts({**inputs, **tables}, "stage")
+    rows = _refreshed(spark, folder).rows
+    counted = [(name, rows[name]) for name in DERIVED]
+    outputs = spark.createDataFrame(counted, "stage string, row_count long")
+    return storage.row_counts(star_datasets(spark, folder), "stage").unionByName(outputs)
+
+
+def csv_refresh(spark: SparkSession, folder: str) -> DataFrame:
+    """The nine datasets as raw CSV, read and refreshed: every number of the feature tables."""
+    root, out = scratch_path(spark, "csv"), scratch_path(spark, "refresh")
+    for name, frame in star_datasets(spark, folder).items():
+        path = f"{root}/{DATASETS[name].pattern.replace('*', 'star')}"
+        _as_text(frame).write.option("header", True).csv(path)
+    refresh(spark, read_datasets(spark, root), out)
+    tables = latest(spark, out)
+    long = [
+        tables[name].select(
+            F.lit(name).alias("table_name"),
+            F.col(tables[name].columns[0]).cast("string").alias("entity"),
+            F.inline(
+                F.array(
+                    *(
+                        F.struct(F.lit(f).alias("metric"), F.col(f).cast("double").alias("value"))
+                        for f, kind in tables[name].dtypes
+                        if kind in ("double", "bigint") and f != tables[name].columns[0]
+                    )
+                )
+            ),
+        )
+        for name in DERIVED[1:]
+    ]
+    return settle_doubles(reduce(DataFrame.unionByName, long))
+
+
+def duplicate_keys(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.duplicate_keys(star_datasets(spark, folder))
 
 
 def dataset_row_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -171,12 +212,13 @@ QUERIES: dict[str, Query] = {
     "scan_csv_typed": scan_csv_typed,
     "scan_csv_multiline": scan_csv_multiline,
     "scan_parquet": scan_parquet,
-    "sink_parquet_roundtrip": sink_parquet_roundtrip,
+    "sink_parquet_roundtrip": refreshed("order_features"),
     "table_ctas_roundtrip": table_ctas_roundtrip,
     "dataset_row_counts": dataset_row_counts,
     "table_schemas": table_schemas,
-    "bad_value_rows": report(quality.bad_values),
-    "bad_value_counts": report(quality.bad_value_counts),
+    "bad_value_rows": lambda spark, folder: quality.bad_values(RawTexts(spark, folder)),
+    "bad_value_counts": lambda spark, folder: quality.bad_value_counts(RawTexts(spark, folder)),
+    "duplicate_keys": duplicate_keys,
     # cleaning and master
     "clean_orders": report(lambda data: cleaning.clean_orders(data["orders"])),
     "payment_agg": over_datasets(lambda data: cleaning.payment_agg(data["payments"])),
@@ -211,4 +253,6 @@ QUERIES: dict[str, Query] = {
     ),
     # everything
     "full_refresh": full_refresh,
+    "csv_refresh": csv_refresh,
+    **{f"refreshed_{name}": refreshed(name) for name in DERIVED if name != "order_features"},
 }

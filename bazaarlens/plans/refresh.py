@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from bazaarlens.operators.quality import duplicate_keys
 from bazaarlens.plans.features import features_from_master
 from bazaarlens.plans.master import Datasets, build_master
 from bazaarlens.sources.storage import publish_folders, read_parquet, write_parquet
 
+#: The log of complete refreshes below the output folder.
+GENERATIONS = "generations"
+
 
 @dataclass(frozen=True)
 class Refresh:
@@ -25,18 +32,34 @@ class Refresh:
 def refresh(
     spark: SparkSession, data: Datasets, out: str, database: str | None = None
 ) -> Refresh:
-    """Write master once, and the four feature tables from it.
+    """Write master once, and the four feature tables from it, as a new generation.
 
     Every table is computed once: counts come from the write itself, and the
-    feature tables read the written master, which also ends its lineage. With
-    ``database``, the folders become catalog tables, without a second copy.
+    feature tables read the written master, which also ends its lineage. All go to a
+    folder of their own. Readers see the generation once all of it is written: its line in
+    the log is appended last, and then, with ``database``, the catalog tables are pointed to it.
+    ``duplicate_keys`` is written beside the tables and counted with them.
     """
-    folders = {"master": f"{out}/master"}
+    run = f"{out}/run-{uuid.uuid4().hex}"
+    folders = {"master": f"{run}/master"}
     rows = {"master": write_parquet(build_master(data), folders["master"])}
     master = read_parquet(spark, folders["master"])
     for name, table in features_from_master(master).items():
-        folders[name] = f"{out}/{name}"
+        folders[name] = f"{run}/{name}"
         rows[name] = write_parquet(table, folders[name])
+    rows["duplicate_keys"] = write_parquet(duplicate_keys(data), f"{run}/duplicate_keys")
+    finished = time.time_ns()
+    lines = [(finished, name, folder) for name, folder in folders.items()]
+    log = spark.createDataFrame(lines, "finished long, table_name string, folder string")
+    log.coalesce(1).write.mode("append").parquet(f"{out}/{GENERATIONS}")
     if database:
         publish_folders(spark, folders, database)
     return Refresh(folders, rows)
+
+
+def latest(spark: SparkSession, out: str) -> dict[str, DataFrame]:
+    """The tables of the last complete refresh below ``out``."""
+    log = read_parquet(spark, f"{out}/{GENERATIONS}")
+    last = log.filter(F.col("finished") == log.agg(F.max("finished")).first()[0])
+    # One row for each of five tables.
+    return {r["table_name"]: read_parquet(spark, r["folder"]) for r in last.collect()}

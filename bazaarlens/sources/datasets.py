@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
+from fnmatch import fnmatchcase
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,14 +82,25 @@ def read_text_csv(spark: SparkSession, path: str, multiline: bool = False) -> Da
     """A headered CSV with every column as text.
 
     Plain CSV is split within files. Multi-line CSV is split by file only, so
-    large free-text datasets should come as many files.
+    large free-text datasets should come as many files. All files must have the
+    same columns in the same order: reading fails on a file whose header differs.
     """
-    reader = spark.read.option("header", True)
+    reader = spark.read.option("header", True).option("enforceSchema", False)
     if multiline:
         reader = reader.option("multiLine", True).option("escape", '"')
     return reader.csv(path)
 
 
+def publishers(frame: DataFrame, pattern: str) -> set[str]:
+    """The distinct file or folder names that the pattern found."""
+    return {
+        part
+        for path in frame.inputFiles()
+        for part in unquote(path).split("/")
+        if fnmatchcase(part, pattern)
+    }
+
+
 def typed(frame: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Declared types for text columns. A value that does not parse becomes null."""
 
@@ -105,6 +118,9 @@ def read_dataset(spark: SparkSession, root: str, name: str, raw: bool = False) -
     """One raw dataset below ``root``; with ``raw``, all columns stay text."""
     spec = DATASETS[name]
     text = read_text_csv(spark, f"{root}/{spec.pattern}", spec.multiline)
+    found = publishers(text, spec.pattern)
+    if len(found) > 1:
+        raise ValueError(f"several files or folders match {spec.pattern}: {sorted(found)}")
     return text if raw else typed(text, spec.types)
 
 

@@ -95,6 +95,32 @@ def _geolocation(table: Table) -> DataFrame:
     )
 
 
+def _raw_payments(table: Table) -> DataFrame:
+    return table("lineitem").selectExpr(
+        "string(l_orderkey) AS order_id",
+        "CASE WHEN (l_orderkey * 7 + l_linenumber) % 5003 = 0 THEN 'not paid' "
+        "WHEN (l_orderkey * 7 + l_linenumber) % 4001 = 0 THEN NULL "
+        "ELSE string(CAST(l_extendedprice AS DECIMAL(18,2))) END AS payment_value",
+        "string(l_linenumber) AS payment_installments",
+    )
+
+
+def _raw_reviews(table: Table) -> DataFrame:
+    return _reviews(table).selectExpr("string(order_id) AS order_id", "review_score")
+
+
+def _raw_order_items(table: Table) -> DataFrame:
+    return table("lineitem").selectExpr(
+        "string(l_orderkey) AS order_id",
+        "string(l_linenumber) AS order_item_id",
+        "string(l_partkey) AS product_id",
+        "string(l_suppkey) AS seller_id",
+        "CASE WHEN (l_orderkey * 5 + l_linenumber) % 4507 = 0 THEN 'R$ 12,50' "
+        "ELSE string(CAST(l_extendedprice AS DECIMAL(18,2))) END AS price",
+        "string(CAST(l_tax AS DECIMAL(18,2))) AS freight_value",
+    )
+
+
 class StarDatasets(Mapping[str, DataFrame]):
     """The nine datasets by logical name, each opened when it is asked for."""
 
@@ -130,5 +156,15 @@ class StarDatasets(Mapping[str, DataFrame]):
         return len(self._views)
 
 
+class RawTexts(StarDatasets):
+    """The three datasets with numbers to check as the text a raw file holds, some malformed."""
+
+    _views: Mapping[str, Callable[[Table], DataFrame]] = {
+        "payments": _raw_payments,
+        "reviews": _raw_reviews,
+        "order_items": _raw_order_items,
+    }
+
+
 def star_datasets(spark: SparkSession, folder: str) -> Mapping[str, DataFrame]:
     return StarDatasets(spark, folder)

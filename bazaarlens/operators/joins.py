@@ -15,7 +15,10 @@ def left_join_many(one: DataFrame, many: DataFrame, key: str) -> DataFrame:
     of which every reading task sends each at most once.
     """
     keys = many.select(key).distinct()
-    matched = many.join(one, on=key)
+    # Adaptive execution splits a join only if both inputs are shuffled for it alone. Rows that
+    # come clustered by the key from an earlier join are not, unless the key is an expression.
+    fresh = one.withColumn(key, F.greatest(key, key))
+    matched = many.join(fresh, on=key)
     alone = one.join(keys, on=key, how="left_anti")
     columns = [*one.columns, *(name for name in many.columns if name != key)]
     missing = [

@@ -5,7 +5,15 @@ import math
 import pandas as pd
 from pyspark.sql import functions as F
 
-from bazaarlens.functions.numeric import exact, is_not_number, percent, rounded, to_double
+from bazaarlens.functions.numeric import (
+    exact,
+    exact_mean,
+    exact_sum,
+    is_not_number,
+    percent,
+    rounded,
+    to_double,
+)
 from bazaarlens.operators import quality
 
 TEXTS = ["5", " 5 ", "5.5", ".5", "-1e3", "", "bad", "n/a", "NaN", "5d", "5.f", "1.5D", None, "inf"]
@@ -29,7 +37,29 @@ def test_rounding_is_half_up_on_the_decimal_value(spark):
         rounded("d", 2).alias("d"), exact("b").alias("e"),
     ).first()
     assert (got.a, got.b, got.c, got.d) == (1.01, 32.5, math.inf, None)
-    assert str(got.e) == "0.3245000000"
+    assert (got.e.side, str(got.e.near), got.e.far) == (0, "0.3245000000", None)
+
+
+def test_ranking_keys_order_what_no_decimal_holds(spark):
+    values = [1.5, math.inf, 1e19, 2e19, -1e19, -math.inf, 0.0, math.nan, None, 9e17]
+    frame = spark.createDataFrame([(v,) for v in values], "v double")
+    ranked = [r.v for r in frame.orderBy(exact("v").desc_nulls_last()).collect()]
+    assert ranked[:8] == [math.inf, 2e19, 1e19, 9e17, 1.5, 0.0, -1e19, -math.inf]
+    assert sum(v is None or v != v for v in ranked[8:]) == 2
+
+
+def test_sums_do_not_depend_on_the_order_of_rows(spark):
+    values = [0.1, 0.2, 0.3, 1e15, -1e15, 0.7, 0.05] * 30
+    found = set()
+    for seed in range(4):
+        frame = spark.createDataFrame([(v,) for v in values], "v double")
+        frame = frame.orderBy(F.xxhash64("v", F.lit(seed))).repartition(seed + 1)
+        found.add(tuple(frame.select(exact_sum("v"), exact_mean("v")).first()))
+    assert len(found) == 1
+    far = spark.createDataFrame([(1.0,), (math.inf,), (None,)], "v double")
+    assert tuple(far.select(exact_sum("v"), exact_mean("v")).first()) == (math.inf, math.inf)
+    none = spark.createDataFrame([(None,)], "v double")
+    assert tuple(none.select(exact_sum("v"), exact_mean("v")).first()) == (None, None)
 
 
 def test_bad_rows_and_counts(spark):
@@ -46,9 +76,20 @@ def test_bad_rows_and_counts(spark):
     assert counts == {"payments": (2, 0), "reviews": (9, 8), "order_items": (2, 1)}
     rows = [tuple(r) for r in quality.bad_values(raw).collect()]
     assert [r for r in rows if r[0] == "reviews"] == [
-        ("reviews", "review_score", f"o{i}", "bad") for i in range(5)
+        ("reviews", "review_score", f"o{i}", "bad", f'{{"order_id":"o{i}","review_score":"bad"}}')
+        for i in range(5)
     ]
-    assert [r for r in rows if r[0] == "order_items"] == [("order_items", "price", "o0", "x")]
+    assert [r for r in rows if r[0] == "order_items"] == [
+        ("order_items", "price", "o0", "x", '{"order_id":"o0","price":"x"}')
+    ]
+
+
+def test_duplicate_keys_of_every_dataset(spark, golden):
+    assert quality.duplicate_keys(golden).count() == 0
+    twice = {name: golden[name].union(golden[name].limit(1)) for name in quality.UNIQUE_KEYS}
+    rows = quality.duplicate_keys({**golden, **twice}).collect()
+    assert {(r.dataset, r.key_column) for r in rows} == set(quality.UNIQUE_KEYS.items())
+    assert {r.row_count for r in rows} == {2}
 
 
 def test_schemas_with_counts(spark):

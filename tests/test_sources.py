@@ -77,6 +77,23 @@ def test_quoted_line_breaks_and_quotes_stay_inside_their_cell(spark, raw):
     assert rows[0].review_comment_message == 'first line\nsecond "quoted", line'
 
 
+def test_a_file_with_other_columns_fails(spark, tmp_path):
+    folder = tmp_path / "x_sellers_dataset.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("seller_id,seller_city,seller_state\ns1,campinas,SP\n")
+    assert read_dataset(spark, str(tmp_path), "sellers").count() == 1
+    (folder / "b.csv").write_text("seller_state,seller_id,seller_city\nIT,s2,rome\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_dataset(spark, str(tmp_path), "sellers").collect()
+
+
+def test_two_publishers_fail(spark, tmp_path):
+    for name in ("a", "b"):
+        (tmp_path / f"{name}_sellers_dataset.csv").write_text("seller_id\ns1\n")
+    with pytest.raises(ValueError, match="several files"):
+        read_dataset(spark, str(tmp_path), "sellers")
+
+
 def test_raw_reading_keeps_the_text(spark, raw):
     text = read_dataset(spark, raw, "order_items", raw=True)
     assert {t for _, t in text.dtypes} == {"string"}

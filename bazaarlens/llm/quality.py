@@ -34,6 +34,7 @@ HIDDEN = 12
 SAMPLE = 1500
 CHUNKS = 6
 EPOCHS = 6
+UPDATES = 240
 BATCH = 32
 RATE = 0.01
 #: From this score on a text is predicted to be good.
@@ -76,11 +77,15 @@ class Network:
         return made
 
     def combine(self, peaks: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Per text: the mean and largest peaks, the dense layer, and the probability."""
+        """Per text: the mean and largest peaks, the dense layer, and the probability.
+
+        Plain sums, so that a text's score does not depend on those beside it.
+        """
         sizes = np.diff(np.append(cuts, len(peaks)))[:, None]
         both = np.hstack((np.add.reduceat(peaks, cuts) / sizes, np.maximum.reduceat(peaks, cuts)))
-        hidden = np.maximum(both @ self.dense + self.dense_bias, 0)
-        return both, hidden, 1 / (1 + np.exp(-np.clip(hidden @ self.out + self.out_bias, -40, 40)))
+        hidden = np.maximum((both[:, :, None] * self.dense).sum(axis=1) + self.dense_bias, 0)
+        total = (hidden * self.out).sum(axis=1) + self.out_bias
+        return both, hidden, 1 / (1 + np.exp(-np.clip(total, -40, 40)))
 
     def _pair_tables(self) -> list[np.ndarray]:
         """The answers to two neighbouring bytes at once, for each pair of taps."""
@@ -104,9 +109,10 @@ class Network:
             yield from self._together(held)
 
     def _together(self, raws: list[bytes]) -> np.ndarray:
-        # A text fills whole steps of OVERLAP bytes; chunks are made of steps.
+        # A text fills whole steps of OVERLAP bytes, of which chunks are made. A step of padding
+        # behind it, in no chunk, keeps the filters off the next text.
         steps = [max(1, -(-len(r) // OVERLAP)) for r in raws]
-        first = np.cumsum([0] + steps)
+        first = np.cumsum([0] + [n + 1 for n in steps])
         data = np.full(int(first[-1]) * OVERLAP + WIDTH, PAD, np.int32)
         for at, raw in zip(first, raws, strict=False):
             data[at * OVERLAP : at * OVERLAP + len(raw)] = np.frombuffer(raw, np.uint8)
@@ -126,8 +132,7 @@ class Network:
         begins = [at + np.arange(0, max(n - 1, 1), per_chunk - 1) for at, n in zip(first, steps, strict=False)]
         ends = [np.minimum(s + per_chunk, at + n) for s, at, n in zip(begins, first, steps, strict=False)]
         edges = np.stack((np.concatenate(begins), np.concatenate(ends)), axis=1).ravel()
-        # reduceat takes the end of the last chunk from the end of the array.
-        peaks = np.maximum.reduceat(np.vstack((tall, tall[-1:])), edges)[::2]
+        peaks = np.maximum.reduceat(tall, edges)[::2]
         cuts = np.cumsum([0] + [len(b) for b in begins[:-1]])
         return self.combine(peaks, cuts)[2]
 
@@ -156,8 +161,8 @@ def learn(samples: list[tuple[int, bytes]], seed: int = 5) -> Network:
     # Both labels count alike, so that the threshold does not follow their mix.
     weight = np.where(labels > 0, 0.5 / labels.mean(), 0.5 / (1 - labels.mean()))
     moments = {n: (np.zeros_like(getattr(net, n)), np.zeros_like(getattr(net, n))) for n in _NAMES}
-    turn = 0
-    for _ in range(EPOCHS):
+    turn, updates = 0, -(-len(samples) // BATCH)
+    for _ in range(max(EPOCHS, -(-UPDATES // updates))):
         order = draw.permutation(len(samples))
         for at in range(0, len(order), BATCH):
             chosen = order[at : at + BATCH]

@@ -150,7 +150,9 @@ def blocks_of(page: str | None) -> list[Block]:
         if token["rest"].endswith("/") and name not in BLOCKS:
             continue
         words = [w.lower() for m in _MARKS.finditer(token["rest"]) for w in (m[1] or m[2] or m[3] or "").split()]
-        open_tags.append((name, (name, *("." + w for w in words))))
+        # Of a name of several words, the words count too.
+        parts = [p for w in words for p in dict.fromkeys((w, *re.split("[-_]+", w))) if p]
+        open_tags.append((name, (name, *("." + p for p in parts))))
         links += name == "a"
         hidden += name in HIDDEN_TEXT
     hear(page[at:])

@@ -63,7 +63,7 @@ class Network:
                 d, tail = heapq.heappop(heap)
                 if d > far[tail]:
                     continue
-                for edge in self.out[tail]:
+                for edge in self.out.get(tail, ()):
                     head = self.heads[edge]
                     if not self.room[edge]:
                         continue

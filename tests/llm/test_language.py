@@ -1,0 +1,114 @@
+"""The word tagger against path enumeration, and its accuracy on held-out documents."""
+
+import itertools
+import random
+
+import numpy as np
+import pytest
+from llm_cases import awkward, documents
+from pyspark.sql import functions as F
+
+from bazaarlens.llm import language
+from bazaarlens.llm.frames import table
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def tagger():
+    draw = random.Random(1)
+    syllables = {"aa": ["ba", "bo", "bi", "bu"], "zz": ["ki", "ke", "ka", "xo"]}
+    samples = [
+        (lang, ["".join(draw.choices(parts, k=draw.randrange(1, 4))) for _ in range(60)])
+        for lang, parts in syllables.items()
+        for _ in range(40)
+    ]
+    return language.learn(samples)
+
+
+def test_forward_backward_sums_over_all_paths():
+    draw = np.random.default_rng(3)
+    made = language.Tagger(["a", "b", "c"], np.empty(0, np.uint64))
+    made.step, made.start = draw.normal(size=(3, 3)), draw.normal(size=3)
+    scores = draw.normal(size=(2, 5, 3))
+    real = np.ones((2, 5), bool)
+    real[1, 3:] = False
+    for window in range(2):
+        n = int(real[window].sum())
+        weights = np.zeros((n, 3))
+        moves = np.zeros((3, 3))
+        total = 0.0
+        for path in itertools.product(range(3), repeat=n):
+            w = made.start[path[0]] + sum(scores[window, t, k] for t, k in enumerate(path))
+            w = np.exp(w + sum(made.step[a, b] for a, b in zip(path, path[1:])))
+            total += w
+            for t, k in enumerate(path):
+                weights[t, k] += w
+            for a, b in zip(path, path[1:]):
+                moves[a, b] += w
+        whole, moved = made.chain(scores[window : window + 1, :n], real[window : window + 1, :n])
+        assert np.allclose(whole[0], weights / total, atol=1e-6)
+        assert np.allclose(moved, moves / total, atol=1e-6)
+    short, _ = made._both(scores.astype(np.float32), real)
+    assert np.allclose(short[1, :3], made.chain(scores[1:, :3], real[1:, :3])[0][0], atol=1e-4)
+
+
+def test_switched_words_get_their_own_language(tagger):
+    words = ["babobi", "bobu", "bibabo", "bubi", "bobo"] * 3 + ["kike", "xokaki", "keka", "xoxo", "kakike"] * 3
+    data = np.frombuffer(" ".join(words).encode(), np.uint8)
+    starts, ends = language.word_spans(data)
+    likely = tagger.marginals(tagger.word_scores(data, starts, ends), np.array([0, len(words)]))
+    assert likely.argmax(axis=1).tolist() == [0] * 15 + [1] * 15
+    assert tagger.step[0, 0] > tagger.step[0, 1]
+    (_, score), = tagger.languages_of([" ".join(words)])
+    assert 0.4 < score < 0.65
+
+
+def test_defined_cases(tagger):
+    texts = [None, "", " \n", "12 34 !!", "Babo BOBI", "漢 字", "babo " * 40_000, "kike", "²"]
+    found = list(tagger.languages_of(texts))
+    assert [lang for lang, _ in found[:4]] == ["und"] * 4 and found[8] == ("und", 0.0)
+    assert found[4][0] == "aa" and found[6][0] == "aa" and found[7][0] == "zz" and found[5][0] in ("aa", "zz")
+    assert all(0 <= score <= 1 for _, score in found)
+
+
+def test_slices_do_not_change_the_answer(tagger, monkeypatch):
+    draw = random.Random(4)
+    texts = [" ".join(draw.choices(["babo", "kike", "1", "xo", "bubibo"], k=draw.randrange(900))) for _ in range(20)]
+    whole = list(tagger.languages_of(texts))
+    monkeypatch.setattr(language, "SLICE", 1 << 9)
+    for (a, x), (b, y) in zip(whole, tagger.languages_of(texts), strict=True):
+        # Long texts are cut to windows at other places.
+        assert a == b and abs(x - y) < 0.05
+
+
+def test_the_saved_tagger_is_the_same(tagger):
+    again = language.Tagger.load(tagger.dump())
+    texts = ["babo kike", "xo"]
+    assert list(again.languages_of(texts)) == list(tagger.languages_of(texts))
+
+
+def test_held_out_accuracy(spark):
+    docs = table(spark, SF, "documents")
+    found = language.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert len(found) == docs.count()
+    out = [r for r in found if r.held_out]
+    assert len(out) > 200 and sum(r.lang_pred == r.lang for r in out) / len(out) > 0.99
+
+
+def test_held_out_rows_are_never_learned_from(spark):
+    rows = [(n, f"babo bibu {n}", "aa", "s") for n in range(60)]
+    docs = documents(spark, rows).withColumn("lang", F.when(language.held_out(), "never").otherwise(F.col("lang")))
+    assert {r.lang_pred for r in language.identify(docs).collect()} == {"aa"}
+
+
+def test_awkward_frames(spark):
+    rows = [(1, "babo bibu babo", "aa", "s"), (1, "babo bibu babo", "aa", "s"), (None, None, None, None), (2, "77", "aa", "s"), (3, "kike", None, "s")]
+    docs = awkward(documents(spark, rows))
+    assert sorted((r.doc_id or 0, r.lang_pred) for r in language.identify(docs).collect())[0] == (0, "und")
+    kept = language.keep_identified(docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 1, 3]
+    nothing = documents(spark, [(1, "babo", None, "s")])
+    assert language.identify(nothing).collect()[0].lang_pred == "und"
+    assert language.identify(documents(spark, [])).count() == 0
+    assert language.keep_identified(documents(spark, [])).count() == 0

@@ -1,0 +1,84 @@
+"""The convolutional scorer against plain loops, and its accuracy on held-out labels."""
+
+import numpy as np
+import pytest
+from llm_cases import awkward, documents
+
+from bazaarlens.llm import quality
+from bazaarlens.llm.frames import table
+
+SF = "/root/testdata/sf0.1"
+
+
+def plain_score(net, raw):
+    """Chunk by chunk and place by place."""
+    steps = max(1, -(-len(raw) // quality.OVERLAP))
+    data = [*raw, *[quality.PAD] * (steps * quality.OVERLAP - len(raw) + quality.WIDTH)]
+    peaks = []
+    for first in range(0, max(steps - 1, 1), quality.CHUNK // quality.OVERLAP - 1):
+        last = min(first + quality.CHUNK // quality.OVERLAP, steps)
+        places = range(first * quality.OVERLAP, last * quality.OVERLAP)
+        answers = [sum(net.taps[k, data[p + k]] for k in range(quality.WIDTH)) for p in places]
+        peaks.append(np.maximum(np.max(answers, axis=0) + net.bias, 0))
+    return float(net.combine(np.array(peaks, np.float32), np.array([0]))[2][0])
+
+
+@pytest.fixture(scope="module")
+def net():
+    draw = np.random.default_rng(2)
+    good = [(1, bytes(draw.choice(list(b"abcdef "), 700).tolist())) for _ in range(60)]
+    bad = [(0, bytes(draw.choice(list(b"ab#!c "), 700).tolist())) for _ in range(60)]
+    return quality.learn(good + bad)
+
+
+def test_every_byte_counts(net):
+    draw = np.random.default_rng(4)
+    raws = [bytes(draw.integers(0, 256, n).astype(np.uint8)) for n in (0, 1, 63, 64, 65, 511, 512, 513, 960, 961, 3000)]
+    assert np.allclose(list(net.scores(raws)), [plain_score(net, r) for r in raws], atol=1e-4)
+    clean = b"abcdef " * 3000
+    for at in (0, 10_000, len(clean) - 8):
+        spoilt = clean[:at] + b"#!#!#!#!" + clean[at + 8 :]
+        a, b = net.scores([clean, spoilt])
+        assert a != b
+
+
+def test_slices_do_not_change_scores(net, monkeypatch):
+    draw = np.random.default_rng(5)
+    raws = [bytes(draw.choice(list(b"abc #!"), int(n)).tolist()) for n in draw.integers(0, 5000, 30)]
+    whole = list(net.scores(raws))
+    monkeypatch.setattr(quality, "SLICE", 1 << 9)
+    assert np.allclose(list(net.scores(raws)), whole, atol=1e-5)
+
+
+def test_learning_tells_the_labels_apart(net):
+    good, bad = net.scores([b"abc def fed cab " * 40, b"ab#! c#a b!! " * 40])
+    assert good > 0.8 and bad < 0.2
+
+
+def test_one_label_or_none():
+    assert list(quality.learn([]).scores([b"x"])) == [0.5]
+    assert list(quality.learn([(1, b"x")]).scores([b"y"]))[0] > 0.99
+    assert list(quality.learn([(0, b"x")]).scores([b"y"]))[0] < 0.01
+
+
+def test_held_out_accuracy(spark):
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    found = quality.quality(docs, labels).join(labels, "doc_id").collect()
+    out = [r for r in found if r.held_out]
+    good = np.array([r.score for r in out if r.quality == 1])
+    bad = np.array([r.score for r in out if r.quality == 0])
+    auc = (good[:, None] > bad[None]).mean() + (good[:, None] == bad[None]).mean() / 2
+    assert len(out) > 400 and auc > 0.98
+    assert all(r.predicted == (r.score >= 0.3) for r in found)
+
+
+def test_awkward_frames(spark):
+    docs = awkward(documents(spark, [(1, "a"), (1, "a"), (2, None), (3, ""), (None, "b"), (4, "c" * 300_000)]))
+    labels = spark.createDataFrame([(1, 1), (2, 0), (9, 1), (3, None), (None, 1)], "doc_id long, quality int")
+    rows = quality.quality(docs, labels).collect()
+    assert len(rows) == 6 and all(0 <= r.score <= 1 for r in rows)
+    empty = [r.score for r in rows if r.doc_id in (2, 3)]
+    assert empty[0] == empty[1]
+    none = spark.createDataFrame([], labels.schema)
+    assert {r.score for r in quality.quality(docs, none).collect()} == {0.5}
+    assert quality.quality(documents(spark, []), labels).count() == 0

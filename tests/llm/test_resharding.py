@@ -1,0 +1,79 @@
+"""Resharding against every choice of larger shards, and files written again."""
+
+import itertools
+import random
+import zlib
+
+import pytest
+from llm_cases import awkward, documents
+from pyspark.sql import functions as F
+
+from bazaarlens.llm import resharding
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_the_fewest_bytes_move(seed):
+    draw = random.Random(seed)
+    shards, olds = draw.randrange(2, 6), draw.randrange(1, 7)
+    blocks = {}
+    for old, kind in itertools.product(range(olds), range(draw.randrange(1, 4))):
+        n = draw.randrange(1, 10)
+        blocks[old, kind] = (n, n * 2**kind)
+    plan = resharding.transfers(blocks, shards)
+    total = sum(n for n, _ in blocks.values())
+    new = [sum(n for *_, t, n in plan if t == s) for s in range(shards)]
+    assert max(new) - min(new) <= 1 and sum(new) == total
+    moved = sum(n * 2**kind for old, kind, t, n in plan if t != old)
+
+    def cost(larger):
+        out = 0
+        for old in range(olds):
+            sizes = sorted((2**k for (o, k), (n, _) in blocks.items() if o == old for _ in range(n)), reverse=True)
+            out += sum(sizes[(total // shards + (old in larger)) if old < shards else 0 :])
+        return out
+
+    assert moved == min(map(cost, itertools.combinations(range(shards), total % shards)))
+
+
+def test_given_capacities_are_filled():
+    plan = resharding.transfers({(0, 3): (10, 100), (1, 3): (2, 20)}, 3, {0: 4, 1: 4, 2: 4})
+    assert sorted(plan) == [(0, 3, 0, 4), (0, 3, 1, 2), (0, 3, 2, 4), (1, 3, 1, 2)]
+    assert resharding.affected(plan) == {0, 1, 2}
+    with pytest.raises(ValueError):
+        resharding.transfers({(0, 3): (10, 100)}, 2, {0: 1})
+
+
+def rows():
+    draw = random.Random(4)
+    out = [(n, "ü" * int(draw.paretovariate(0.8)), "en", f"s{n % 7 if n % 3 else 0}") for n in range(500)]
+    return out + [(None, None, "en", "s1"), (None, None, "en", "s1"), (3, "x", "en", None), (9, "", "en", "s2"), (9, "", "en", "s2")]
+
+
+def test_rows_and_slots(spark):
+    docs = awkward(documents(spark, rows()))
+    found = resharding.reshard(docs, resharding.by_source(F.col("source"), 5), 6).collect()
+    by = {s: sorted(r.slot for r in found if r.shard == s) for s in range(6)}
+    assert all(slots == list(range(len(slots))) for slots in by.values())
+    assert {len(s) for s in by.values()} <= {len(rows()) // 6, len(rows()) // 6 + 1}
+    want = sorted((len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for _, t, *_ in rows())
+    assert sorted((r.size, r.text_crc32) for r in found) == want
+    # Only shards that are too large give rows.
+    held = {s: sum(r.old_shard == s for r in found) for s in range(6)}
+    assert all(held[r.old_shard] > len(rows()) // 6 for r in found if r.old_shard != r.shard)
+
+
+def test_affected_shards_are_written_and_others_are_not(spark, tmp_path):
+    docs = documents(spark, [(n, f"text {n}") for n in range(90)])
+    old = F.when(F.col("doc_id") < 30, 0).when(F.col("doc_id") < 70, 1).otherwise(2)
+    placed = resharding.reshard(docs, old, 3)
+    path = str(tmp_path / "shards")
+    assert resharding.rewrite(docs, placed, path) == [1, 2]
+    back = spark.read.parquet(path)
+    assert back.count() == 60
+    want = {r.doc_id: r.shard for r in placed.collect()}
+    assert {r.doc_id: r["shard"] for r in back.collect()} == {k: v for k, v in want.items() if v != 0}
+
+
+def test_empty_table(spark):
+    docs = documents(spark, [])
+    assert resharding.reshard(docs, F.lit(0), 4).count() == 0

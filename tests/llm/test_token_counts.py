@@ -1,0 +1,65 @@
+"""Counts against the tokenizers library's Unigram model."""
+
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from llm_cases import awkward, documents
+from tokenizers import Tokenizer, models, pre_tokenizers
+
+from bazaarlens.llm import token_counts
+from bazaarlens.llm.frames import table
+
+PATH = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def library(pieces):
+    tokenizer = Tokenizer(models.Unigram(pieces, unk_id=0, byte_fallback=True))
+    tokenizer.pre_tokenizer = pre_tokenizers.Metaspace(replacement="▁", prepend_scheme="always", split=True)
+    return lambda text: len(tokenizer.encode(text, add_special_tokens=False).ids)
+
+
+@pytest.fixture(scope="module")
+def both():
+    pieces = token_counts.vocabulary(PATH)
+    return token_counts.text_counter(pieces), library(pieces)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(max_size=40) | st.text(" \n▁abé漢😀<s>unk0x", max_size=40))
+def test_any_text(both, text):
+    mine, theirs = both
+    assert mine(text) == theirs(text)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("ab c", max_size=12), st.lists(st.integers(-3, 0), min_size=6, max_size=6))
+def test_ties(text, scores):
+    """Few scores, so that many paths tie."""
+    bytes_of = [(f"<0x{n:02X}>", 0.0) for n in range(256)]
+    names = ["▁", "a", "b", "ab", "ba", "▁a"]
+    pieces = [("<unk>", 0.0), *bytes_of, *((n, float(s)) for n, s in zip(names, scores, strict=True))]
+    assert token_counts.text_counter(pieces)(text) == library(pieces)(text)
+
+
+def test_all_documents(spark, both):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    found = token_counts.token_counts(docs, PATH).collect()
+    assert len(found) == len(texts)
+    assert all(r.n_tokens == both[1](texts[r.doc_id]) and r.n_chars == len(texts[r.doc_id]) for r in found)
+
+
+def test_cuts_and_memory_do_not_change_counts(both, monkeypatch):
+    text = "one  two three " * 500 + "x" * 3000 + " end "
+    want = both[1](text)
+    monkeypatch.setattr(token_counts, "SLICE", 50)
+    monkeypatch.setattr(token_counts, "REMEMBERED", 2)
+    assert token_counts.text_counter(token_counts.vocabulary(PATH))(text) == want
+
+
+def test_awkward_frames(spark):
+    rows = [(None, "a b"), (1, None), (1, ""), (2, "a b"), (2, "a b")]
+    found = token_counts.token_counts(awkward(documents(spark, rows)), PATH).collect()
+    assert sorted((r.doc_id or 0, -1 if r.n_tokens is None else r.n_tokens) for r in found) == [(0, 2), (1, -1), (1, 0), (2, 2), (2, 2)]
+    assert token_counts.token_counts(documents(spark, []), PATH).count() == 0

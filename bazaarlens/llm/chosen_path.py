@@ -6,10 +6,10 @@
   least under that level's own hash, and follows the branch of that shingle. Branches with
   one set end. A branch of at most LEAF sets is a leaf; larger ones branch again, LEVELS times
   at most. Two sets of similarity s share a branch with probability s per level, so a
-  pair at the threshold 0.85 is missed by all trees with probability at most
-  (1 - 0.85**3)**12 = 1e-5, and by far less when its branches are small.
+  pair at the threshold 0.8 is missed by all trees with probability at most
+  (1 - 0.8**3)**16 = 1e-5, and by far less when its branches are small.
 * The sets of a leaf are compared exhaustively, first on their TREES * LEVELS least hashes:
-  pairs that agree on fewer than ROUGH of them (at 0.85 all but one in a million agree
+  pairs that agree on fewer than ROUGH of them (at 0.8 all but one in a million agree
   on more) are dropped. What is left joins sets into families, and the texts of a family
   are compared on their full sets. Leaves and families that are too large for a task are
   cut to blocks, and each pair of blocks is a task of its own.
@@ -24,6 +24,7 @@ null. Rows that repeat a doc_id are judged each by its text. Other columns are i
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +36,9 @@ from bazaarlens.llm.frames import Batches, Columns, by_batch, by_group
 from bazaarlens.llm.words import mix, shingle_sets
 from bazaarlens.sources.storage import materialize
 
-#: Sets are linked from this similarity on, as a percentage.
-PERCENT = 85
-TREES = 12
+#: Sets are linked from this similarity on, as a percentage. TREES and ROUGH are right for 80 or more.
+PERCENT = 80
+TREES = 16
 LEVELS = 3
 LEAF = 64
 ROUGH = TREES * LEVELS // 2
@@ -106,7 +107,9 @@ def similar(
         others = places[i + 1 :] if within else np.flatnonzero(side != side[0])
         others = others[forest.root[others] != forest.root[i]]
         if len(others) and len(linked := others[agree(i, others)]):
-            for j in linked:
+            # One link to each group of sets that are joined already.
+            _, one = np.unique(forest.root[linked], return_index=True)
+            for j in linked[one]:
                 yield int(i), int(j)
             forest.join(i, linked)
 
@@ -131,7 +134,7 @@ def named_links(ids: list[str], links: Iterator[tuple[int, int]]) -> Columns | N
     return {"a": [a for a, _ in found], "b": [b for _, b in found]} if found else None
 
 
-def full_links(rows: pa.RecordBatch) -> Columns | None:
+def full_links(rows: pa.RecordBatch, percent: int = PERCENT) -> Columns | None:
     """Links between the sets of a family, by their full intersections and unions."""
     sets: dict[str, tuple[int, np.ndarray]] = {}
     keys, side = rows.column("set_id").to_pylist(), rows.column("side").to_pylist()
@@ -149,13 +152,13 @@ def full_links(rows: pa.RecordBatch) -> Columns | None:
     mark = np.zeros(len(values), bool)
 
     def agree(i: int, others: np.ndarray) -> np.ndarray:
-        fits = (100 * sizes[others] >= PERCENT * sizes[i]) & (100 * sizes[i] >= PERCENT * sizes[others])
+        fits = (100 * sizes[others] >= percent * sizes[i]) & (100 * sizes[i] >= percent * sizes[others])
         hit = np.zeros(len(others), bool)
         mark[codes[cuts[i] : cuts[i + 1]]] = True
         for k in np.flatnonzero(fits):
             j = others[k]
             both = int(np.count_nonzero(mark[codes[cuts[j] : cuts[j + 1]]]))
-            hit[k] = 100 * both >= PERCENT * (sizes[i] + sizes[j] - both)
+            hit[k] = 100 * both >= percent * (sizes[i] + sizes[j] - both)
         mark[codes[cuts[i] : cuts[i + 1]]] = False
         return hit
 
@@ -206,7 +209,7 @@ def candidate_links(sets: DataFrame) -> DataFrame:
     return by_group(tasks, "task", rough_links, "a string, b string").distinct()
 
 
-def confirmed_links(docs: DataFrame, sets: DataFrame, families: DataFrame) -> DataFrame:
+def confirmed_links(docs: DataFrame, sets: DataFrame, families: DataFrame, percent: int) -> DataFrame:
     """(a, b): a forest over the linked sets of each family (node, root)."""
     members = materialize(
         families.select(F.col("node").alias("set_id"), F.col("root").alias("family")).join(
@@ -225,15 +228,16 @@ def confirmed_links(docs: DataFrame, sets: DataFrame, families: DataFrame) -> Da
         .join(sizes, "family")
         .select("set_id", "family", "text", "blocks")
     )
-    return by_group(in_blocks(texts, "family", "blocks"), "task", full_links, "a string, b string")
+    links = partial(full_links, percent=percent)
+    return by_group(in_blocks(texts, "family", "blocks"), "task", links, "a string, b string")
 
 
-def near_dedup(docs: DataFrame) -> DataFrame:
+def near_dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept."""
-    return labelled(docs).drop("set_id", "text_key")
+    return labelled(docs, percent).drop("set_id", "text_key")
 
 
-def labelled(docs: DataFrame) -> DataFrame:
+def labelled(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     docs = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text"
     )
@@ -245,7 +249,7 @@ def labelled(docs: DataFrame) -> DataFrame:
         "near-sets",
     )
     families = components(candidate_links(sets))
-    linked = components(confirmed_links(docs, sets, families))
+    linked = components(confirmed_links(docs, sets, families, percent))
     ids = sets.select("set_id", F.col("doc_id").alias("first_id"))
     roots = linked.join(ids, linked["node"] == ids["set_id"]).select("root", "node", "first_id")
     least = roots.groupBy("root").agg(F.min("first_id").alias("component"))

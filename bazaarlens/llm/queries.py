@@ -36,7 +36,7 @@ def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chosen_path.near_dedup(table(spark, sf_dir, "documents"))
+    return chosen_path.near_dedup(table(spark, sf_dir, "documents"), percent=85)
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

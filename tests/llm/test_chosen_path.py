@@ -23,7 +23,7 @@ def shingles(text):
     return {tuple(found[i : i + 5]) for i in range(len(found) - 4)}
 
 
-def expected(rows):
+def expected(rows, percent=80):
     sets = [shingles(text) for _, text in rows]
     root = list(range(len(rows)))
 
@@ -35,7 +35,7 @@ def expected(rows):
     for i, a in enumerate(sets):
         for j in range(i):
             both = len(a & sets[j])
-            if both and 100 * both >= 85 * (len(a) + len(sets[j]) - both):
+            if both and 100 * both >= percent * (len(a) + len(sets[j]) - both):
                 root[find(i)] = find(j)
     ids = {}
     for i, (doc_id, _) in enumerate(rows):
@@ -75,8 +75,10 @@ def rows():
     return list(enumerate(out)) + [(None, "lone text without an id"), (7, out[7])]
 
 
-def test_all_pairs(spark, rows):
-    assert rows_of(chosen_path.near_dedup(awkward(documents(spark, rows)))) == expected(rows)
+@pytest.mark.parametrize("percent", [80, 85])
+def test_all_pairs(spark, rows, percent):
+    docs = awkward(documents(spark, rows))
+    assert rows_of(chosen_path.near_dedup(docs, percent)) == expected(rows, percent)
 
 
 def test_small_leaves_and_blocks(spark, rows, monkeypatch):

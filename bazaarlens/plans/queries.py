@@ -130,7 +130,9 @@ def refreshed(name: str) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         out = scratch_path(spark, "refresh")
         refresh(spark, star_datasets(spark, folder), out)
-        return settle_doubles(latest(spark, out)[name])
+        table = latest(spark, out)[name]
+        # Columns that the raw data has beyond the named ones stand last in master.
+        return settle_doubles(table.select(*MASTER_COLUMNS) if name == "master" else table)
 
     return query
 

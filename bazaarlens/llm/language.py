@@ -223,6 +223,20 @@ def word_runs(text: str) -> list[str]:
     return [w for s in starts for w in words[s : s + RUN]]
 
 
+def _features_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Feature numbers of all words, and how many each has, worked out in small parts."""
+    found, sizes = [], []
+    for at in range(0, len(words), 8192):
+        part = words[at : at + 8192]
+        ends = np.cumsum([len(w) + 1 for w in part]) - 1
+        numbers, cuts = features(
+            np.frombuffer(b"\n".join(part), np.uint8), ends - [len(w) for w in part], ends
+        )
+        found.append(numbers.astype(np.uint16 if FEATURES <= 1 << 16 else np.uint32))
+        sizes.append(np.diff(np.append(cuts, len(numbers))))
+    return np.concatenate(found), np.concatenate(sizes)
+
+
 def learn(samples: list[tuple[str, list[str]]], seed: int = 7) -> Tagger:
     """Fit a tagger to (language, words) pairs by maximum likelihood with Adagrad."""
     languages = sorted({lang for lang, words in samples if words})
@@ -241,12 +255,13 @@ def learn(samples: list[tuple[str, list[str]]], seed: int = 7) -> Tagger:
     distinct, first, same, count = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
     lexicon = np.sort(distinct[(-count).argsort(kind="stable")[:LEXICON]])
     tagger = Tagger(languages, lexicon)
-    found, cuts = features(data, starts[first], ends[first])
-    cuts = np.append(cuts, len(found))
+    found, sizes = _features_of([raws[i] for i in first])
+    cuts = np.concatenate(([0], np.cumsum(sizes)))
     own_row = tagger.lexicon_row(distinct)
+    del words, raws, data, starts, ends, hashes
     spans = {n: (int(np.searchsorted(labels, n)), int(np.searchsorted(labels, n, side="right"))) for n in label.values()}
     sums = {"emit": np.full(tagger.emit.shape, 1e-6, np.float32), "step": np.full(tagger.step.shape, 1e-2), "start": np.full(tagger.start.shape, 1e-2)}
-    steps = EPOCHS * max(1, len(words) // (BATCH * WINDOW))
+    steps = EPOCHS * max(1, len(labels) // (BATCH * WINDOW))
     for _ in range(steps):
         chosen = np.empty((BATCH, WINDOW), np.int64)
         for row in chosen:
@@ -257,9 +272,9 @@ def learn(samples: list[tuple[str, list[str]]], seed: int = 7) -> Tagger:
                 row[a:b] = np.minimum(np.arange(at, at + b - a), high - 1)
         kinds, truth = same[chosen], labels[chosen]
         seen, place = np.unique(kinds, return_inverse=True)
-        sizes = cuts[seen + 1] - cuts[seen]
-        flat = np.concatenate([found[cuts[k] : cuts[k + 1]] for k in seen])
-        edges = np.cumsum(sizes) - sizes
+        seen_sizes = sizes[seen]
+        flat = np.concatenate([found[cuts[k] : cuts[k + 1]] for k in seen]).astype(np.int64)
+        edges = np.cumsum(seen_sizes) - seen_sizes
         scores = np.add.reduceat(tagger.emit[flat], edges, axis=0) + tagger.emit[own_row[seen]]
         likely, moved = tagger.chain(scores[place.reshape(kinds.shape)], np.ones(kinds.shape, bool))
         wrong = likely
@@ -267,7 +282,7 @@ def learn(samples: list[tuple[str, list[str]]], seed: int = 7) -> Tagger:
         per_kind = np.zeros((len(seen), len(languages)), np.float32)
         np.add.at(per_kind, place.ravel(), wrong.reshape(-1, len(languages)))
         slope = np.zeros_like(tagger.emit)
-        spread = np.repeat(per_kind, sizes, axis=0)
+        spread = np.repeat(per_kind, seen_sizes, axis=0)
         for n in range(len(languages)):
             slope[:, n] += np.bincount(flat, spread[:, n], len(slope))
         slope[own_row[seen]] += per_kind

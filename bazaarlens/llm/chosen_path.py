@@ -11,8 +11,11 @@
 * The sets of a leaf are compared exhaustively, first on their TREES * LEVELS least hashes:
   pairs that agree on fewer than ROUGH of them (at 0.8 all but one in a million agree
   on more) are dropped. What is left joins sets into families, and the texts of a family
-  are compared on their full sets. Leaves and families that are too large for a task are
-  cut to blocks, and each pair of blocks is a task of its own.
+  are compared on their full sets.
+* A leaf or family that is too large for a task is compared with its hub first: the set that is
+  most like the others. Sets linked to the hub are joined through it, so only the others are
+  compared with all, block by block. A large group of edits of one text costs one
+  comparison per set.
 * Inside a task two sets that are already joined through others need no comparison, so a
   tight group costs about one comparison per set, and the links returned are a forest.
 
@@ -28,7 +31,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bazaarlens.llm.components import components
@@ -42,12 +45,17 @@ TREES = 16
 LEVELS = 3
 LEAF = 64
 ROUGH = TREES * LEVELS // 2
+#: Sets of a large group that choose what its hub must be like.
+SAMPLED = 256
 #: Most sets, and most shingles, of a block.
 BLOCK = 1024
 BLOCK_SHINGLES = 2_000_000
 
 _SEEDS = mix(np.arange(1, TREES * LEVELS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _KEYS = mix(np.array([101, 202], np.uint64))
+LINKS = "a string, b string"
+#: The side of sets whose task is their whole group.
+WHOLE = -1
 SKETCH = "doc_id long, text_key long, n_shingles long, set_id string, least array<long>"
 
 
@@ -98,13 +106,13 @@ def similar(
 ) -> Iterator[tuple[int, int]]:
     """Links that join all sets which a chain of agreeing pairs connects.
 
-    With one side all pairs count, with two only those across. ``agree`` tells for a set
-    and an array of others which of them it agrees with.
+    Of sets of side WHOLE all pairs count, of sides 0 and 1 only those across. ``agree`` tells
+    for a set and an array of others which of them it agrees with.
     """
-    forest, within = Forest(len(side)), side[0] == side[-1]
+    forest, within = Forest(len(side)), side[0] == WHOLE
     places = np.arange(len(side))
-    for i in places if within else np.flatnonzero(side == side[0]):
-        others = places[i + 1 :] if within else np.flatnonzero(side != side[0])
+    for i in places if within else np.flatnonzero(side == 0):
+        others = places[i + 1 :] if within else np.flatnonzero(side == 1)
         others = others[forest.root[others] != forest.root[i]]
         if len(others) and len(linked := others[agree(i, others)]):
             # One link to each group of sets that are joined already.
@@ -136,14 +144,14 @@ def named_links(ids: list[str], links: Iterator[tuple[int, int]]) -> Columns | N
 
 def full_links(rows: pa.RecordBatch, percent: int = PERCENT) -> Columns | None:
     """Links between the sets of a family, by their full intersections and unions."""
-    sets: dict[str, tuple[int, np.ndarray]] = {}
+    sets: dict[tuple[int, str], np.ndarray] = {}
     keys, side = rows.column("set_id").to_pylist(), rows.column("side").to_pylist()
     for key, part, found in zip(keys, side, shingle_sets(rows.column("text").to_pylist()), strict=True):
         # A doc_id that stands on several rows brings texts that are not asked for.
         if len(found) and set_id(found) == key:
-            sets[key] = part, found
-    ids = sorted(sets, key=lambda key: (sets[key][0], key))
-    sides, found = np.array([sets[key][0] for key in ids]), [sets[key][1] for key in ids]
+            sets[part, key] = found
+    order = sorted(sets)
+    sides, ids, found = np.array([part for part, _ in order]), [key for _, key in order], [sets[k] for k in order]
     if len(found) < 2:
         return None
     sizes = np.array([len(s) for s in found])
@@ -165,19 +173,60 @@ def full_links(rows: pa.RecordBatch, percent: int = PERCENT) -> Columns | None:
     return named_links(ids, similar(agree, sides))
 
 
-def in_blocks(frame: DataFrame, group: str, blocks: str) -> DataFrame:
-    """Rows dealt to the pairs of blocks of their group, as columns ``task`` and ``side``.
+def agreement(a: str, b: str) -> Column:
+    """How many of their least hashes two sets have in common."""
+    same = F.zip_with(a, b, lambda x, y: (x == y).cast("int"))
+    return F.aggregate(same, F.lit(0), lambda x, y: x + y)
 
-    A group of one block is one task. In a task of two blocks ``side`` tells them apart.
+
+def hubs(members: DataFrame) -> DataFrame:
+    """(group, hub, hub_least): the set of each group that is most like the others.
+
+    It agrees best, among all members (group, set_id, n, least), with the commonest least hashes
+    of about SAMPLED of them. A poor hub costs comparisons and no links.
+    """
+    sampled = members.where(F.pmod(F.xxhash64("set_id", F.lit(3)), F.ceil(F.col("n") / SAMPLED)) == 0)
+    votes = (
+        sampled.select("group", F.posexplode("least").alias("place", "value"))
+        .groupBy("group", "place", "value")
+        .agg(F.count(F.lit(1)).alias("votes"))
+    )
+    top = votes.groupBy("group", "place").agg(F.max(F.struct("votes", "value")).alias("top"))
+    # One value for each of TREES * LEVELS places.
+    places = F.sort_array(F.collect_list(F.struct("place", F.col("top.value").alias("value"))))
+    middle = top.groupBy("group").agg(places.alias("m")).select("group", F.col("m.value").alias("middle"))
+    best = F.max(F.struct(agreement("least", "middle").alias("like"), "set_id", "least")).alias("best")
+    return (
+        members.join(middle, "group")
+        .groupBy("group")
+        .agg(best)
+        .select("group", F.col("best.set_id").alias("hub"), F.col("best.least").alias("hub_least"))
+    )
+
+
+def crossed(members: DataFrame, linked: DataFrame) -> DataFrame:
+    """Members (group, set_id, blocks, ...) that are not ``linked`` (group, set_id) against all
+    members of their group: each pair of blocks is a ``task``, and ``side`` tells its blocks apart.
+
+    Linked sets are joined to the hub of their group, so pairs of them need no comparison.
     """
-    own = F.pmod(F.xxhash64("set_id", F.lit(7)), F.col(blocks))
-    each = frame.withColumn("_own", own).withColumn(
-        "_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col(blocks) - 1))
+    alone = members.join(linked, ["group", "set_id"], "left_anti")
+    sizes = alone.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("rows"))
+    task = F.concat_ws(":", "group", "row", "column").alias("task")
+    others = [c for c in members.columns if c not in ("group", "blocks")]
+    left = (
+        alone.join(sizes, "group")
+        .withColumn("row", F.pmod(F.xxhash64("set_id", F.lit(5)), F.col("rows")))
+        .withColumn("column", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    )
+    right = (
+        members.join(sizes, "group")
+        .withColumn("column", F.pmod(F.xxhash64("set_id", F.lit(7)), F.col("blocks")))
+        .withColumn("row", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)))
+    )
+    return left.select(task, F.lit(0).alias("side"), *others).union(
+        right.select(task, F.lit(1).alias("side"), *others)
     )
-    return each.withColumn(
-        "task",
-        F.concat_ws(":", group, F.least("_own", "_other"), F.greatest("_own", "_other")),
-    ).withColumn("side", F.col("_own")).drop("_own", "_other", blocks)
 
 
 def leaves(sets: DataFrame) -> DataFrame:
@@ -204,32 +253,60 @@ def leaves(sets: DataFrame) -> DataFrame:
 
 def candidate_links(sets: DataFrame) -> DataFrame:
     """(a, b): a forest over the sets that agree roughly in some leaf."""
-    members = leaves(sets).withColumn("blocks", F.ceil(F.col("n") / BLOCK)).drop("n")
-    tasks = in_blocks(members, "leaf", "blocks").join(sets.select("set_id", "least"), "set_id")
-    return by_group(tasks, "task", rough_links, "a string, b string").distinct()
+    found = leaves(sets).withColumnRenamed("leaf", "group")
+    least = sets.select("set_id", "least")
+    one_task = found.where(F.col("n") <= BLOCK).select("set_id", F.col("group").alias("task"), F.lit(WHOLE).alias("side"))
+    links = by_group(one_task.join(least, "set_id"), "task", rough_links, LINKS)
+    # Leaves that are too large for a task.
+    large = materialize(found.where(F.col("n") > BLOCK).join(least, "set_id"), "near-large-leaves")
+    near = F.col("set_id") == F.col("hub")
+    near = near | (agreement("least", "hub_least") >= ROUGH)
+    linked = materialize(
+        large.join(hubs(large), "group").where(near).select("group", "set_id", "hub"), "near-hub-leaves"
+    )
+    blocked = large.withColumn("blocks", F.ceil(F.col("n") / BLOCK)).drop("n")
+    rest = by_group(crossed(blocked, linked.drop("hub")), "task", rough_links, LINKS)
+    return links.union(linked.select("hub", "set_id")).union(rest).distinct()
 
 
 def confirmed_links(docs: DataFrame, sets: DataFrame, families: DataFrame, percent: int) -> DataFrame:
     """(a, b): a forest over the linked sets of each family (node, root)."""
     members = materialize(
-        families.select(F.col("node").alias("set_id"), F.col("root").alias("family")).join(
-            sets.select("set_id", "doc_id", "n_shingles"), "set_id"
+        families.select(F.col("node").alias("set_id"), F.col("root").alias("group")).join(
+            sets.select("set_id", "doc_id", "n_shingles", "least"), "set_id"
         ),
         "near-families",
     )
-    sizes = members.groupBy("family").agg(
+    sizes = members.groupBy("group").agg(
+        F.count(F.lit(1)).alias("n"),
         F.greatest(
             F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)
-        ).alias("blocks")
+        ).alias("blocks"),
     )
-    texts = (
-        docs.select(F.col("doc_id").alias("_id"), "text")
-        .join(members, F.col("_id").eqNullSafe(F.col("doc_id")))
-        .join(sizes, "family")
-        .select("set_id", "family", "text", "blocks")
+    light = materialize(members.join(sizes, "group"), "near-sizes")
+    keys = light.select("group", "set_id", "blocks", F.col("doc_id").alias("_id"))
+    texts = docs.select("doc_id", "text").join(keys, F.col("_id").eqNullSafe(F.col("doc_id")))
+    texts = materialize(texts.select("group", "set_id", "blocks", "text"), "near-texts")
+    compare = partial(full_links, percent=percent)
+    one_task = texts.where("blocks = 1").select(F.col("group").alias("task"), F.lit(WHOLE).alias("side"), "set_id", "text")
+    links = by_group(one_task, "task", compare, LINKS)
+    # Families that are too large for a task: all against the hub, and what it does not link
+    # against all.
+    large = texts.where("blocks > 1")
+    chosen = materialize(hubs(light.where("blocks > 1")).select("group", "hub"), "near-hubs")
+    hub_texts = large.join(chosen, "group").where("set_id = hub")
+    column = F.pmod(F.xxhash64("set_id", F.lit(7)), F.col("blocks"))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    task = F.concat_ws(":", "group", "column").alias("task")
+    spokes = (
+        large.withColumn("column", column)
+        .select(task, F.lit(1).alias("side"), "set_id", "text")
+        .union(hub_texts.withColumn("column", every).select(task, F.lit(0).alias("side"), "set_id", "text"))
     )
-    links = partial(full_links, percent=percent)
-    return by_group(in_blocks(texts, "family", "blocks"), "task", links, "a string, b string")
+    hub_links = materialize(by_group(spokes, "task", compare, LINKS), "near-hub-links")
+    linked = large.select("group", "set_id").join(hub_links.select(F.col("b").alias("set_id")).distinct(), "set_id")
+    rest = by_group(crossed(large, linked.select("group", "set_id")), "task", compare, LINKS)
+    return links.union(hub_links).union(rest)
 
 
 def near_dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:

@@ -121,11 +121,28 @@ def test_least_hashes_agree_as_often_as_sets_overlap():
 
 
 def test_links_inside_a_task_are_a_forest():
-    side = np.zeros(50, int)
+    side = np.full(50, chosen_path.WHOLE)
     links = list(chosen_path.similar(lambda i, others: np.ones(len(others), bool), side))
     assert len(links) == 49
     near = list(chosen_path.similar(lambda i, others: abs(others - i) <= 1, side))
     assert len(near) == 49
+    sides = np.repeat([0, 1], [3, 4])
+    across = list(chosen_path.similar(lambda i, others: np.ones(len(others), bool), sides))
+    assert len(across) == 6 and all(i < 3 <= j for i, j in across)
+    assert not list(chosen_path.similar(lambda i, others: np.ones(len(others), bool), np.ones(9, int)))
+
+
+def test_edits_of_one_text_are_joined_through_their_hub(spark, monkeypatch):
+    """What is left to compare block by block does not grow with the square of the family."""
+    draw = random.Random(8)
+    base = text_of(draw, 300)
+    rows = [(0, base), *((n, edited(draw, base, draw.randrange(1, 5))) for n in range(1, 400))]
+    rows += [(1000 + n, text_of(draw, 50)) for n in range(50)]
+    monkeypatch.setattr(chosen_path, "BLOCK", 20)
+    seen, crossed = [], chosen_path.crossed
+    monkeypatch.setattr(chosen_path, "crossed", lambda m, linked: seen.append(crossed(m, linked).count()) or crossed(m, linked))
+    assert rows_of(chosen_path.near_dedup(documents(spark, rows))) == expected(rows)
+    assert len(seen) == 2 and seen[1] < 400 * 5
 
 
 def test_components_of_chains_stars_and_rings(spark):

@@ -60,30 +60,39 @@ def exact(value: str) -> Column:
     )
 
 
-def exact_addends(value: str) -> tuple[str, str]:
-    """Two addends for a sum of doubles that does not depend on the order of its terms.
+def exact_addends(value: str) -> tuple[str, str, str]:
+    """Three addends for a sum of doubles that does not depend on the order of its terms.
 
-    The first is a decimal. The second takes the values that no decimal holds.
+    The whole number below the value and the rest in units of 1e-8 are longs, whose sums are exact.
+    The third takes values from 1e15 on, infinities and NaN.
     """
     number = f"double({value})"
-    near = f"try_cast({number} AS {EXACT})"
-    return near, f"if({near} IS NULL, {number}, NULL)"
+    inside = f"abs({number}) < 1e15D"
+    rest = f"bigint(floor(({number} - floor({number})) * 1e8D + 0.5D))"
+    return (
+        f"if({inside}, bigint(floor({number})), NULL)",
+        f"if({inside}, {rest}, NULL)",
+        f"if({inside}, NULL, {number})",
+    )
+
+
+def exact_total(whole: str, rest: str, far: str) -> str:
+    """The double of the sums of the three addends; null if there was nothing to add."""
+    near = f"(double({whole}) + {rest} / 1e8D)"
+    return f"coalesce({near} + {far}, {near}, {far})"
+
+
+def _exact_sum(value: str) -> str:
+    return exact_total(*(f"sum({addend})" for addend in exact_addends(value)))
 
 
 def exact_sum(value: str) -> Column:
     """The sum of a double column, the same in every run."""
-    near, far = exact_addends(value)
-    return F.expr(exact_total(f"sum({near})", f"sum({far})"))
+    return F.expr(_exact_sum(value))
 
 
 def exact_mean(value: str) -> Column:
-    near, far = exact_addends(value)
-    return F.expr(f"try_divide({exact_total(f'sum({near})', f'sum({far})')}, count({value}))")
-
-
-def exact_total(near: str, far: str) -> str:
-    """The double of the sums of both addends; null if there was nothing to add."""
-    return f"coalesce(double({near}) + {far}, double({near}), {far})"
+    return F.expr(f"try_divide({_exact_sum(value)}, count({value}))")
 
 
 def settle_doubles(frame: DataFrame, digits: int = 6) -> DataFrame:

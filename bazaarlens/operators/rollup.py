@@ -15,9 +15,10 @@ from bazaarlens.functions.numeric import exact_addends, exact_total
 
 def mean_parts(name: str, value: str, weight: str = "1") -> list[str]:
     """The sum and the count of ``value``, standing for ``weight`` equal rows."""
-    near, far = exact_addends(f"double({value}) * {weight}")
+    whole, rest, far = exact_addends(f"double({value}) * {weight}")
     return [
-        f"{near} AS {name}_sum",
+        f"{whole} AS {name}_sum",
+        f"{rest} AS {name}_rest",
         f"{far} AS {name}_far",
         f"bigint(if({value} IS NOT NULL, {weight}, 0)) AS {name}_n",
     ]
@@ -45,15 +46,15 @@ def payment_measures(orders: DataFrame, *keys: str, weight: str = "1") -> DataFr
 
 
 def rollup(measures: DataFrame, *keys: str, extra: tuple[Column, ...] = ()) -> DataFrame:
-    """Add up every ``_sum``, ``_far`` and ``_n`` column per key."""
+    """Add up every ``_sum``, ``_rest``, ``_far`` and ``_n`` column per key."""
     sums = [
         F.sum(name).alias(name)
         for name in measures.columns
-        if name.endswith(("_sum", "_far", "_n"))
+        if name.endswith(("_sum", "_rest", "_far", "_n"))
     ]
     return measures.groupBy(*keys).agg(*extra, *sums)
 
 
 def mean(name: str, column: str) -> str:
     """The mean of a measure, as a select expression; null when nothing was counted."""
-    return f"try_divide({exact_total(f'{name}_sum', f'{name}_far')}, {name}_n) AS {column}"
+    return f"try_divide({exact_total(f'{name}_sum', f'{name}_rest', f'{name}_far')}, {name}_n) AS {column}"

@@ -3,33 +3,39 @@
 The rows of a source form blocks of BLOCK rows. With weight w, block j of a source (from 0)
 is released at slot floor(j / w) and due at the end of slot ceil((j + 1) / w) - 1. Each
 slot goes to the released block with the earliest deadline; ties go to the block whose window
-overlaps the next one of its source, then to the longest cascade of such overlaps, then to
+overlaps the next one of its source, then to a source of half the weight or more, then to
 the source's name. By that rule no source is ever a whole block ahead of or behind its
 weight.
 
-Weights are shares of a period of whole slots, so the schedule repeats: only one period
-is worked out on the driver (sources times slots steps, whatever the number of rows),
-and every block finds its slot by a lookup. When a source runs out, a new phase
-begins, in which the weights of the others count alone; there are as many phases as
-sources at most. Every row keeps its place in the mix: none is dropped and none repeated.
+Weights are exact fractions: nothing is rounded, however many blocks or sources there are. The
+order of the blocks is worked out on the driver, one step for each block (not for each row), and
+every row looks the slot of its block up. When a source runs out, a new phase begins, in
+which the weights of the others count alone, from zero; there are as many phases as sources at
+most. Every row keeps its place in the mix: none is dropped and none repeated.
 
 Defined cases: null sources form one source. Sources without a target weight share what the
-named ones leave, or get the least weight if nothing is left. Null texts and doc_ids are
-rows like others. An empty table gives no rows.
+named ones leave, or get the least weight if nothing is left. A target means its decimal
+digits (0.1 is a tenth). Null texts and doc_ids are rows like others. An empty table gives no
+rows.
 """
 
 from __future__ import annotations
 
+import heapq
+from array import array
 from collections.abc import Mapping
 from fractions import Fraction
+from math import gcd, lcm
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlens.llm.frames import CELLS, numbered
 from bazaarlens.sources.storage import materialize
 
-#: Rows of a block, and slots of a period (at least one for each source).
+#: Rows of a block, and slots of a period where one is asked for (at least one for each source).
 BLOCK = 16
 PERIOD = 360
 #: Without targets, a source weighs its number of rows to this power.
@@ -48,85 +54,101 @@ def shares(weights: Mapping[str, float], period: int = PERIOD) -> dict[str, int]
     return slots
 
 
-def cascade(share: int, period: int, j: int) -> int:
-    """The slot where a run of overlapping windows that starts with block j ends."""
-    while j % share != share - 1:
-        end = -(-(j + 1) * period // share)
-        if (j + 1) * period % share == 0:
-            return end
-        after = -(-(j + 2) * period // share)
-        if after - (j + 1) * period // share >= 3:
-            return after - 1
-        j += 1
-    return -(-(j + 1) * period // share)
+def exact(weights: Mapping[str, float | Fraction]) -> dict[str, int]:
+    """Whole numbers in the ratio of the weights, which mean their decimal digits."""
+    parts = {k: Fraction(str(w)) for k, w in weights.items()}
+    scale = lcm(*(w.denominator for w in parts.values()))
+    whole = {k: int(w * scale) for k, w in parts.items()}
+    common = gcd(*whole.values()) or 1
+    return {k: n // common for k, n in whole.items()}
 
 
 def urgency(name: str, share: int, period: int, j: int) -> tuple[int, int, int, str]:
-    """What orders the released blocks: deadline, overlap, cascade, name."""
+    """What orders the released blocks: deadline, overlap, half the weight or more, name."""
     deadline = -(-(j + 1) * period // share)
     overlaps = (j + 1) * period % share != 0
-    heavy = 2 * share >= period
-    return deadline, -int(overlaps), -cascade(share, period, j) if overlaps and heavy else 0, name
+    return deadline, -int(overlaps), -int(overlaps and 2 * share >= period), name
 
 
 def schedule(slots: Mapping[str, int], blocks: Mapping[str, int] | None = None) -> list[str]:
-    """The source of each slot of one period; with ``blocks`` until a source has run out."""
+    """The source of each slot of one period; with ``blocks`` until a source has run out.
+
+    A source is in one of two heaps: by urgency if its next block is released, else by
+    the slot that releases it.
+    """
     period, done, order = sum(slots.values()), dict.fromkeys(slots, 0), []
-    ready = {k: urgency(k, s, period, 0) for k, s in slots.items()}
-    for slot in range(period):
-        released = [u for k, u in ready.items() if done[k] * period // slots[k] <= slot]
-        name = min(released)[-1]
+    ready = [urgency(k, s, period, 0) for k, s in slots.items()]
+    heapq.heapify(ready)
+    waiting: list[tuple[int, str]] = []
+    while blocks is not None or len(order) < period:
+        while waiting and waiting[0][0] <= len(order):
+            k = heapq.heappop(waiting)[1]
+            heapq.heappush(ready, urgency(k, slots[k], period, done[k]))
+        name = heapq.heappop(ready)[-1]
         order.append(name)
         done[name] += 1
-        ready[name] = urgency(name, slots[name], period, done[name])
         if blocks is not None and done[name] >= blocks[name]:
             break
+        heapq.heappush(waiting, (done[name] * period // slots[name], name))
     return order
 
 
-def phases(weights: Mapping[str, float], blocks: Mapping[str, int], period: int = PERIOD) -> list[dict]:
-    """The parts of the mix: from where, for how many periods, and each source's slots in one."""
-    left = {k: n for k, n in blocks.items() if n > 0}
-    used, at, out = dict.fromkeys(left, 0), 0, []
+def phases(weights: Mapping[str, float], blocks: Mapping[str, int], period: int | None = None) -> list[list[str]]:
+    """The parts of the mix, each the source of every slot until one has run out.
+
+    With a ``period``, the weights are rounded to whole slots of it.
+    """
+    left, out = {k: n for k, n in blocks.items() if n > 0}, []
+    whole = exact(weights)
     while left:
-        slots = shares({k: weights[k] for k in left}, period)
-        whole = min(left[k] // slots[k] for k in left)
-        rest = {k: left[k] - whole * slots[k] for k in left}
-        parts = [(whole, schedule(slots))] if whole else []
-        if all(rest.values()):
-            parts.append((1, schedule(slots, rest)))
-        for periods, order in parts:
-            places: dict[str, list[int]] = {}
-            for slot, name in enumerate(order):
-                places.setdefault(name, []).append(slot)
-            out.append({"at": at, "length": len(order), "periods": periods, "places": places, "used": dict(used)})
-            at += periods * len(order)
-            for name, own in places.items():
-                used[name] += periods * len(own)
-                left[name] -= periods * len(own)
+        held = {k: whole[k] for k in left}
+        out.append(schedule(shares({k: weights[k] for k in left}, period) if period else held, left))
+        for name in out[-1]:
+            left[name] -= 1
         left = {k: n for k, n in left.items() if n > 0}
     return out
 
 
-def target_weights(counts: Mapping[str, int], targets: Mapping[str, float] | None) -> dict[str, float]:
+def target_weights(
+    counts: Mapping[str, int], targets: Mapping[str, float] | None
+) -> dict[str, float] | dict[str, Fraction]:
     if targets is None:
         return {k: n**TEMPERATURE for k, n in counts.items()}
-    named = {k: float(w) for k, w in targets.items() if k in counts and w > 0}
+    named = {k: Fraction(str(w)) for k, w in targets.items() if k in counts and w > 0}
     others = [k for k in counts if k not in named]
-    spare = max(1.0 - sum(named.values()), 0.0)
-    return named | {k: max(spare / len(others), 1e-9) for k in others}
+    spare = max(1 - sum(named.values()), Fraction(0))
+    return named | {k: max(spare / len(others), Fraction(1, 10**9)) for k in others}
+
+
+def slots_of(order: list[list[str]]) -> pa.Table:
+    """Per block: source, block, phase and slot."""
+    names = sorted({name for part in order for name in part})
+    number = {name: n for n, name in enumerate(names)}
+    codes = np.array(array("i", (number[name] for part in order for name in part)), np.int32)
+    phase = np.repeat(np.arange(len(order), dtype=np.int32), [len(part) for part in order])
+    slot = np.argsort(codes, kind="stable")
+    own = codes[slot]
+    first = np.searchsorted(own, np.arange(len(names)))
+    return pa.table(
+        {
+            "source": pa.array(names, pa.string()).take(pa.array(own)),
+            "block": np.arange(len(own)) - first[own],
+            "phase": phase[slot],
+            "slot": slot,
+        }
+    )
 
 
 def mixed(
     docs: DataFrame,
     targets: Mapping[str, float] | None = None,
     block: int = BLOCK,
-    period: int = PERIOD,
+    period: int | None = None,
 ) -> DataFrame:
     """Per row of ``docs`` (doc_id, source): its block, that block's slot, and its position.
 
     ``position`` orders the mix: block by block, from 0, gapless but for the last block
-    of a source, which may be short.
+    of a source, which may be short. With a ``period``, weights are rounded to its slots.
     """
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("source", F.lit("")).alias("source")
@@ -136,45 +158,19 @@ def mixed(
     # One count for each source.
     counts = {r["source"]: r["count"] for r in rows.groupBy("source").count().collect()}
     blocks = {k: -(-n // block) for k, n in counts.items()}
-    plan = phases(target_weights(counts, targets), blocks, period)
-    lookup = [
-        (name, step, p["used"][name] + k, len(own), p["periods"], p["at"] + slot, p["length"])
-        for step, p in enumerate(plan)
-        for name, own in p["places"].items()
-        for k, slot in enumerate(own)
-    ]
+    plan = slots_of(phases(target_weights(counts, targets), blocks, period))
     spark = docs.sparkSession
-    schema = "source string, phase int, first long, step long, periods long, at long, length long"
-    # Stored, so that Spark knows their sizes and broadcasts them only if they are small.
-    steps = materialize(spark.createDataFrame(lookup, schema), "mix-steps")
-    spans = spark.createDataFrame(
-        [
-            (name, step, p["used"][name], p["used"][name] + p["periods"] * len(own), len(own))
-            for step, p in enumerate(plan)
-            for name, own in p["places"].items()
-        ],
-        "source string, phase int, begin long, stop long, step long",
-    )
-    starts = materialize(spans, "mix-starts")
-    number = F.floor(F.col("rank") / block).cast("long")
-    in_phase = (F.col("block") >= F.col("begin")) & (F.col("block") < F.col("stop"))
-    placed = (
-        rows.withColumn("block", number)
-        .join(starts, "source")
-        .where(in_phase)
-        .withColumn("turn", F.floor((F.col("block") - F.col("begin")) / F.col("step")).cast("long"))
-        .withColumn("first", F.col("begin") + (F.col("block") - F.col("begin")) % F.col("step"))
-        .drop("step")
-        .join(steps.drop("step", "periods"), ["source", "phase", "first"])
-    )
-    slot = F.col("at") + F.col("turn") * F.col("length")
+    schema = "source string, block long, phase int, slot long"
+    # Stored, so that Spark knows its size and broadcasts it only if it is small.
+    steps = materialize(spark.createDataFrame(plan, schema), "mix-steps")
+    placed = rows.withColumn("block", F.floor(F.col("rank") / block).cast("long")).join(steps, ["source", "block"])
     return placed.select(
         "doc_id",
         "source",
         "block",
         "phase",
-        slot.alias("slot"),
-        (slot * block + F.col("rank") % block).alias("position"),
+        "slot",
+        (F.col("slot") * block + F.col("rank") % block).alias("position"),
     )
 
 

@@ -70,3 +70,39 @@ def test_empty_table_and_one_source(spark):
     assert mixing.in_mixed_order(documents(spark, [])).count() == 0
     one = mixing.mixed(documents(spark, [(n, "t") for n in range(50)])).collect()
     assert sorted(r.position for r in one) == list(range(50))
+
+
+@pytest.mark.parametrize(
+    "targets, length",
+    [
+        ({"a": 0.9, "b": 0.1}, 2000),
+        ({"a": 0.999, "b": 0.001}, 3000),
+        ({"hot": 10_000**0.5} | {f"s{n}": 1_000**0.5 for n in range(19)}, 3000),
+        ({f"s{n}": (n + 1) ** 0.5 for n in range(1000)}, 5000),
+    ],
+)
+def test_no_source_is_a_whole_block_off_its_target(targets, length):
+    order = mixing.phases(targets, dict.fromkeys(targets, length))[0][:length]
+    whole = mixing.exact(targets)
+    total, done = sum(whole.values()), dict.fromkeys(targets, 0)
+    assert all(abs(w / total - targets[k] / sum(targets.values())) < 1e-12 for k, w in whole.items())
+    for n, name in enumerate(order, 1):
+        done[name] += 1
+        assert all(abs(n * w - done[k] * total) < total for k, w in whole.items())
+
+
+def test_rows_follow_the_targets_to_the_block(spark):
+    rows = [(n, f"t{n}", "en", "ab"[n % 2]) for n in range(12_000)]
+    targets = {"a": 0.9, "b": 0.1}
+    found = mixing.mixed(documents(spark, rows), targets, block=4).where("phase = 0").collect()
+    slots = {r.slot: r.source for r in found}
+    order = [slots[n] for n in range(len(slots))]
+    assert len(order) > 1600 and mixing.deviation(order, mixing.exact(targets)) < 1
+
+
+def test_more_sources_than_slots_of_a_period(spark):
+    rows = [(n, "t", "en", f"s{n % 1000 if n % 3 else 0}") for n in range(9000)]
+    found = mixing.mixed(documents(spark, rows), block=2).collect()
+    assert len(found) == len({r.position for r in found}) == 9000
+    blocks = {(r.source, r.block): r.slot for r in found}
+    assert sorted(blocks.values()) == list(range(len(blocks)))

@@ -14,9 +14,10 @@ elements with other class names, and asides, comments, forms and notices made of
 from other pages are put in, so that paths, places and context all count.
 
 Defined cases: a null or empty html gives an empty text, as does a page without blocks. Unclosed
-and crossed tags are closed where HTML says or at the end. Null urls and page_ids are
-values like others, repeated rows are read alike, and other columns are ignored. If there
-are no pages, there are no rows.
+and crossed tags are closed where HTML says or at the end. An unclosed head or title ends at the first
+tag or text that has no place in a head, and an object or canvas that nothing closes hides no
+text. Null urls and page_ids are values like others, repeated rows are read alike, and other
+columns are ignored. If there are no pages, there are no rows.
 """
 
 from __future__ import annotations
@@ -59,6 +60,10 @@ BLOCKS = frozenset(
     "figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html label legend li main "
     "menu nav ol option p pre search section select summary table tbody td textarea tfoot th thead tr ul".split()
 )
+#: Elements that do not end a head.
+HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
+#: Hidden elements that hide nothing if no tag closes them.
+FALLBACK = frozenset(("object", "canvas"))
 #: An element closes open ones of these kinds when it begins.
 CLOSES = {
     "li": {"li"}, "option": {"option"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
@@ -74,8 +79,11 @@ OTHER_WORDS = frozenset(
     "newsletter subscribe login search breadcrumb breadcrumbs pagination pager legal copyright widget toolbar".split()
 )
 _RAW = r"<(?P<raw>script|style|noscript|template|textarea|svg|iframe)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+#: A title that is closed before its head is.
+_TITLE = r"<title(?=[\s/>])[^>]*+>(?:(?!</?(?:title|head|body)[\s/>]).)*+</title\s*>"
 _TAG = r"<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<[!?][^>]*>|{_RAW}|{_TAG}", re.S | re.I)
+_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<[!?][^>]*>|{_TITLE}|{_RAW}|{_TAG}", re.S | re.I)
+_END = re.compile(r"</(object|canvas)(?=[\s/>])", re.I)
 _MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _SIGNS = re.compile(r"[.,;:!?]")
 
@@ -113,21 +121,33 @@ def blocks_of(page: str | None) -> list[Block]:
             hidden -= name in HIDDEN_TEXT
         del open_tags[depth:]
 
+    def leave_head() -> None:
+        depth = next((i for i, (name, _) in enumerate(open_tags) if name in ("head", "title")), None)
+        if depth is not None:
+            close(depth)
+
     def hear(text: str) -> None:
         nonlocal linked
+        if hidden and open_tags[-1][0] == "head" and text.strip():
+            leave_head()
         if text and not hidden:
             held.append(text)
             if links:
                 linked += len(text)
 
     page = page or ""
+    ends = {end[1].lower(): end.start() for end in _END.finditer(page)}
     for token in _TOKEN.finditer(page):
         hear(page[at : token.start()])
         at = token.end()
         name = (token["name"] or "").lower()
+        if hidden and not token["close"] and (name or (token["raw"] or "head").lower()) not in HEAD:
+            leave_head()
         if not name:
             continue
         if token["close"]:
+            if hidden and name in ("body", "html"):
+                leave_head()
             depth = next((i for i in range(len(open_tags) - 1, -1, -1) if open_tags[i][0] == name), None)
             if depth is not None:
                 close(depth)
@@ -140,6 +160,8 @@ def blocks_of(page: str | None) -> list[Block]:
             elif name == "br":
                 hear(" ")
             continue
+        if name in FALLBACK and ends.get(name, -1) < at:
+            continue
         if name in BLOCKS:
             for i in range(len(open_tags) - 1, -1, -1):
                 if open_tags[i][0] == "p" or open_tags[i][0] in CLOSES.get(name, ()):

@@ -30,6 +30,18 @@ def test_blocks():
     assert texts("<P CLASS=A>up</P>") == ["up"]
 
 
+def test_unclosed_head_title_and_body():
+    assert texts("<head><title>t</title><body><article><p>x</article>") == ["x"]
+    assert texts("<head><title>t</title><meta name=a><link href=b><p>x<p>y") == ["x", "y"]
+    assert texts("<head><title>t<body><p>x") == texts("<head><title>t</head><p>x") == texts("<title>t<p>x") == ["x"]
+    assert texts("<head><title>t</title>Hello <b>you</b>") == ["Hello you"]
+    assert texts("<head><script>s</script><svg><title>t</title></svg><p>x") == ["x"]
+    assert texts("<html><head><style>s</style></head><body><p>x") == ["x"]
+    assert texts("<title>How <p> works</title><p>x") == ["x"]
+    assert texts("<canvas><p>x</p><object data=a>y") == ["x", "y"]
+    assert texts("<canvas><p>x</p></canvas><object>y</object>z") == ["z"]
+
+
 def test_paths_and_links():
     block, other = html_blocks.blocks_of('<div class="Menu top" id=m><a href="/x">link</a> y</div><article><p>z')
     assert block.path == ("div", ".menu", ".top", ".m") and block.linked == 4

@@ -81,7 +81,8 @@ OTHER_WORDS = frozenset(
 _RAW = r"<(?P<raw>script|style|noscript|template|textarea|svg|iframe)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
 #: A title that is closed before its head is.
 _TITLE = r"<title(?=[\s/>])[^>]*+>(?:(?!</?(?:title|head|body)[\s/>]).)*+</title\s*>"
-_TAG = r"<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+#: A quote opens a value straight after "=" only; elsewhere it is a character like others.
+_TAG = r"""<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:=\s*+(?:"[^"]*"|'[^']*'|[^\s>]*+)|[^>=])*+)>"""
 _TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<[!?][^>]*>|{_TITLE}|{_RAW}|{_TAG}", re.S | re.I)
 _END = re.compile(r"</(object|canvas)(?=[\s/>])", re.I)
 _MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)

@@ -42,6 +42,14 @@ def test_unclosed_head_title_and_body():
     assert texts("<canvas><p>x</p></canvas><object>y</object>z") == ["z"]
 
 
+def test_quotes_that_open_no_value():
+    page = "<p title=it's>First para</p><p>Second, don't stop</p><p>Third</p>"
+    assert texts(page) == ["First para", "Second, don't stop", "Third"]
+    assert texts('<article>a <img alt="13"" src=x> b</article>') == ["a b"]
+    assert texts('<a href=x?a="b>c</a> <p title="d>e</p>') == ["c", "e"]
+    assert texts("<p title = 'a > b' id=\"c>d\">q") == ["q"]
+
+
 def test_paths_and_links():
     block, other = html_blocks.blocks_of('<div class="Menu top" id=m><a href="/x">link</a> y</div><article><p>z')
     assert block.path == ("div", ".menu", ".top", ".m") and block.linked == 4

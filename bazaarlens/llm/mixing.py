@@ -174,11 +174,10 @@ def mixed(
     )
 
 
-def in_mixed_order(docs: DataFrame, targets: Mapping[str, float] | None = None) -> DataFrame:
-    """All rows of ``docs`` with all their columns, sorted by their place in the mix.
+def placed_rows(docs: DataFrame, targets: Mapping[str, float] | None = None) -> DataFrame:
+    """All rows of ``docs``, each as a struct ``_row``, with ``_position``, its place in the mix.
 
-    The sort is global: file by file and row by row, what is written of it is the mix.
-    Rows that share source and doc_id share their places in any order.
+    Rows that share source and doc_id share their first place.
     """
     places = mixed(docs, targets).groupBy("doc_id", "source").agg(F.min("position").alias("_position"))
     places = places.select(F.col("doc_id").alias("_place"), F.col("source").alias("_from"), "_position")
@@ -188,7 +187,16 @@ def in_mixed_order(docs: DataFrame, targets: Mapping[str, float] | None = None)
         F.coalesce("source", F.lit("")).alias("_source"),
     )
     same: Column = rows["_id"].eqNullSafe(places["_place"]) & (rows["_source"] == places["_from"])
-    return rows.join(places, same).orderBy("_position", F.xxhash64("_row")).select("_row.*")
+    return rows.join(places, same).select("_row", "_position")
+
+
+def in_mixed_order(docs: DataFrame, targets: Mapping[str, float] | None = None) -> DataFrame:
+    """All rows of ``docs`` with all their columns, sorted by their place in the mix.
+
+    The sort is global: file by file and row by row, what is written of it is the mix.
+    Rows that share source and doc_id share their places in any order.
+    """
+    return placed_rows(docs, targets).orderBy("_position", F.xxhash64("_row")).select("_row.*")
 
 
 def deviation(order: list[str], slots: Mapping[str, int]) -> Fraction:

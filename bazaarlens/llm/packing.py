@@ -11,6 +11,10 @@
   pooled pieces are dealt anew and packed again, in fewer partitions each time, and the
   new packing holds if it needs fewer sequences. This ends when the pool was one
   partition or nothing was gained.
+* Pieces may have places in a mix. Then partitions are ranges of places instead of hashes, pieces
+  of one length are packed in order of their places, and sequences are numbered from 0 by the
+  place of their first piece. So a sequence holds pieces of one stretch of the mix, as long as a
+  partition, or of neighbouring stretches if they exchange.
 
 Defined cases: a null text counts as empty, and an empty document is its end id alone.
 Rows that repeat a doc_id, or agree altogether, are pieces of their own. Other columns are
@@ -29,10 +33,10 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import tiktoken
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlens.llm.frames import Batches, Columns, by_batch, by_group
+from bazaarlens.llm.frames import CELLS, Batches, Columns, by_batch, by_group, numbered
 from bazaarlens.sources.storage import materialize
 
 LENGTH = 1024
@@ -83,23 +87,31 @@ def cut(n: int, length: int = LENGTH) -> list[int]:
     return [0, *range(first, n + 1, length)]
 
 
-def tokenized(docs: DataFrame, path: str, length: int = LENGTH) -> DataFrame:
+def tokenized(docs: DataFrame, path: str, length: int = LENGTH, position: str | None = None) -> DataFrame:
+    """The columns of PIECES, and ``position`` if a column of ``docs`` is named for it."""
+    names = [*PIECE_NAMES, "position"] if position else PIECE_NAMES
+
     def run(batches: Batches) -> Iterator[Columns]:
         encode = encoder(path)
         end = np.array([END_ID], np.uint32)
         for batch in batches:
             rows = []
             doc_ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            for doc_id, text in zip(doc_ids, texts, strict=True):
+            places = [(p,) for p in batch.column("position").to_pylist()] if position else [()] * len(texts)
+            for doc_id, text, place in zip(doc_ids, texts, places, strict=True):
                 ids = np.concatenate((encode(text), end)) if text else end
                 at = cut(len(ids), length)
                 raw = memoryview(ids.astype("<u4").tobytes())
                 for k, (a, b) in enumerate(zip(at, at[1:])):
-                    rows.append((doc_id, k, a, b - a, zlib.crc32(raw[4 * a : 4 * b])))
-            yield dict(zip(PIECE_NAMES, zip(*rows, strict=True), strict=True))
+                    rows.append((doc_id, k, a, b - a, zlib.crc32(raw[4 * a : 4 * b]), *place))
+            yield dict(zip(names, zip(*rows, strict=True), strict=True))
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *_place(position))
+    return by_batch(rows, run, PIECES + ", position long" if position else PIECES)
+
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return by_batch(rows, run, PIECES)
+def _place(position: str | None) -> list[Column]:
+    return [F.col(f"`{position}`").cast("long").alias("position")] if position else []
 
 
 def lower_bound(lengths: np.ndarray, length: int = LENGTH) -> int:
@@ -148,19 +160,30 @@ def best_fit(lengths: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.
     return bins, offsets
 
 
+def in_order(frame: DataFrame, name: str) -> DataFrame:
+    """Number all rows from 0 by ``position`` and then the other columns, none of them in one task."""
+    top = frame.agg(F.max("position")).first()[0] or 0
+    cell = F.floor(F.col("position") * CELLS / (top + 1)).cast("long")
+    first = frame.select("position", *[c for c in frame.columns if c != "position"])
+    return numbered(first.withColumn("_all", F.lit(0)), "_all", cell, name).drop("_all")
+
+
 def pack_once(pieces: DataFrame, partitions: int, turn: int, length: int = LENGTH) -> DataFrame:
-    """Deal the pieces to partitions and pack each: the columns of PACKED."""
+    """Deal the pieces to partitions and pack each: the columns of PACKED, and ``position`` if there is one."""
+    names = pieces.columns
+    places = [n for n in names if n == "position"]
 
     def each(rows: pa.RecordBatch) -> Columns:
         task = rows.column("task")[0].as_py()
-        rows = rows.select(PIECE_NAMES).sort_by([(n, "ascending") for n in ("length", "doc_id", "piece", "ids_crc32")])
+        order = ("length", *places, "doc_id", "piece", "ids_crc32")
+        rows = rows.select(names).sort_by([(n, "ascending") for n in order])
         lengths = rows.column("length").to_numpy()
         bound = lower_bound(lengths, length)
         bins, offsets = best_fit(lengths, length)
         fill = np.bincount(bins, weights=lengths).astype(np.int64)
         # Odd, so that full pieces can have the even numbers.
         numbers = ((bins << 24 | task) << 4 | turn) * 2 + 1
-        return {name: rows.column(name).to_pylist() for name in PIECE_NAMES} | {
+        return {name: rows.column(name).to_pylist() for name in names} | {
             "sequence_id": numbers.tolist(),
             "offset": offsets.tolist(),
             "fill": fill[bins].tolist(),
@@ -169,12 +192,20 @@ def pack_once(pieces: DataFrame, partitions: int, turn: int, length: int = LENGT
             "emptiest": (bins == fill.argmin()).tolist(),
         }
 
-    deal = F.pmod(F.xxhash64(*pieces.columns, F.lit(turn)), F.lit(partitions))
-    return by_group(pieces.withColumn("task", deal), "task", each, PACKED)
+    if places:
+        rows = max(1, pieces.count())
+        dealt = in_order(pieces, "_rank")
+        dealt = dealt.withColumn("task", F.floor(F.col("_rank") * partitions / rows).cast("long")).drop("_rank")
+    else:
+        dealt = pieces.withColumn("task", F.pmod(F.xxhash64(*names, F.lit(turn)), F.lit(partitions)))
+    return by_group(dealt, "task", each, PACKED + ", position long" if places else PACKED)
 
 
 def pack(pieces: DataFrame, length: int = LENGTH, partition: int = PARTITION) -> DataFrame:
-    """Pieces (the columns of PIECES) with ``sequence_id`` and ``offset``."""
+    """Pieces (the columns of PIECES) with ``sequence_id`` and ``offset``.
+
+    If they have a ``position`` too, partitions and the numbers of sequences follow it.
+    """
     full = pieces.where(F.col("length") == length).withColumn(
         "sequence_id", F.monotonically_increasing_id() * 2
     ).withColumn("offset", F.lit(0).cast("long"))
@@ -197,9 +228,23 @@ def pack(pieces: DataFrame, length: int = LENGTH, partition: int = PARTITION) ->
     out = full
     for part in done:
         out = out.union(part.select(*columns, "sequence_id", "offset"))
-    return out
+    return renumbered(out) if "position" in columns else out
+
+
+def renumbered(packed: DataFrame) -> DataFrame:
+    """The packing with its sequences numbered by the places of their first pieces."""
+    packed = materialize(packed, "packing-sequences")
+    first = packed.groupBy("sequence_id").agg(F.min(F.struct("position", "piece")).alias("_first"))
+    firsts = materialize(first.select("_first.*", "sequence_id"), "packing-firsts")
+    numbers = in_order(firsts, "_number").select("sequence_id", "_number")
+    names = [F.col("_number").alias(c) if c == "sequence_id" else F.col(c) for c in packed.columns]
+    return packed.join(numbers, "sequence_id").select(*names)
 
 
-def packed_documents(docs: DataFrame, path: str, length: int = LENGTH) -> DataFrame:
-    """Per piece of ``docs`` (doc_id, text): the columns of PIECES, sequence_id, offset."""
-    return pack(materialize(tokenized(docs, path, length), "packing-pieces"), length)
+def packed_documents(docs: DataFrame, path: str, length: int = LENGTH, position: str | None = None) -> DataFrame:
+    """Per piece of ``docs`` (doc_id, text): the columns of PIECES, sequence_id, offset.
+
+    ``position`` names a column without nulls, the places of documents from 0 that the packing follows.
+    """
+    packed = pack(materialize(tokenized(docs, path, length, position), "packing-pieces"), length)
+    return packed.drop("position")

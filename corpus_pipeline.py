@@ -7,7 +7,7 @@ one's ``docs``. All stages but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from bazaarlens.llm import chosen_path, exact_dedup, language, mixing, packing
 from bazaarlens.sources.storage import materialize
 
+#: Weights of sources by name; without them, the square root of each source's rows.
+TARGETS: Mapping[str, float] | None = None
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without an identified language go."""
@@ -33,12 +36,16 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the order of the mix: file by file and row by row."""
-    return mixing.in_mixed_order(docs)
+    return mixing.in_mixed_order(docs, TARGETS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents, each with its sequence and offset."""
-    return packing.packed_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    """The pieces of all documents, each with its sequence and offset, sequences in the order of the mix.
+
+    Spark does not read files in the order of their names, so the places are worked out again.
+    """
+    placed = mixing.placed_rows(docs, TARGETS).select("_row.doc_id", "_row.text", "_position")
+    return packing.packed_documents(placed, public_tokenizers.path("byte_bpe_50k.json"), position="_position")
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]

@@ -71,6 +71,26 @@ def test_partitions_exchange_until_little_is_open(spark):
     assert bound <= n < apart and n <= bound * 1.01
 
 
+def test_sequences_follow_the_places_of_their_pieces(spark):
+    draw = np.random.default_rng(2)
+    sizes = np.minimum(100, draw.lognormal(3, 0.8, 3000).astype(int) + 1)
+    places = draw.permutation(3000)
+    rows = [(n, 0, 0, int(s), n, int(p) if p > 500 else 0) for n, (s, p) in enumerate(zip(sizes, places, strict=True))]
+    pieces = spark.createDataFrame(rows, packing.PIECES + ", position long")
+    found = packing.pack(pieces, 100, partition=300).collect()
+    assert len({r.doc_id for r in found}) == len(found) == 3000
+    n = check_packing(found, 100)
+    firsts = {}
+    for r in found:
+        firsts[r.sequence_id] = min(firsts.get(r.sequence_id, 3000), r.position)
+    assert sorted(firsts) == list(range(n)) and [firsts[k] for k in range(n)] == sorted(firsts.values())
+    spread = {}
+    for r in found:
+        spread.setdefault(r.sequence_id, []).append(r.position)
+    assert np.median([max(p) - min(p) for p in spread.values()]) <= 600
+    assert packing.lower_bound(sizes, 100) <= n <= packing.lower_bound(sizes, 100) * 1.01
+
+
 def fewest(sizes, length):
     for n in itertools.count(1):
         for way in itertools.product(range(n), repeat=len(sizes)):

@@ -52,6 +52,21 @@ def test_stages(spark, tmp_path):
     assert corpus_pipeline.run(spark, SF_SMALL).count() == out.count()
 
 
+def test_targets_of_the_mix_change_the_packed_sequences(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    sources = {r.doc_id: r.source for r in docs.collect()}
+    names = sorted(set(sources.values()))
+    assert len(names) > 1
+    monkeypatch.setattr(corpus_pipeline, "STAGES", corpus_pipeline.STAGES[1:2] + corpus_pipeline.STAGES[3:])
+    found = {}
+    for name in names[:2]:
+        monkeypatch.setattr(corpus_pipeline, "TARGETS", {name: 0.9})
+        rows = corpus_pipeline.run(spark, SF_SMALL).collect()
+        found[name] = [sources[r.doc_id] for r in sorted(rows, key=lambda r: r.sequence_id)][: len(rows) // 10]
+    one, other = (found[n] for n in names[:2])
+    assert one.count(names[0]) > other.count(names[0]) and other.count(names[1]) > one.count(names[1])
+
+
 def test_empty_documents(spark, tmp_path):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:

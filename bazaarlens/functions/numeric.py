@@ -60,30 +60,55 @@ def exact(value: str) -> Column:
     )
 
 
-def exact_addends(value: str) -> tuple[str, str, str]:
-    """Three addends for a sum of doubles that does not depend on the order of its terms.
+#: Endings of the addends of one value: four whole numbers, and a double for what they cannot hold.
+ADDENDS = ("_e10", "_e4", "_e2", "_e8", "_far")
 
-    The whole number below the value and the rest in units of 1e-8 are longs, whose sums are exact.
-    The third takes values from 1e15 on, infinities and NaN.
+
+def exact_addends(value: str) -> tuple[str, str, str, str, str]:
+    """Addends, in the order of ``ADDENDS``, for a sum that does not depend on the order of its terms.
+
+    A value below 1e15, to eight decimals, is
+    ``e10 * 1e10 + e4 * 1e4 + e2 / 1e2 + e8 / 1e8``. None of the four longs is above a million,
+    so each can be added up over nine trillion rows of one group before a carry is due;
+    :func:`exact_units` carries. The fifth takes values from 1e15 on, infinities and NaN.
     """
     number = f"double({value})"
     inside = f"abs({number}) < 1e15D"
+    whole = f"bigint(floor({number}))"
     rest = f"bigint(floor(({number} - floor({number})) * 1e8D + 0.5D))"
+    high = f"bigint(floor({number} / 1e10D))"
+    below = f"({whole} - {high} * 10000000000L)"
+    middle = f"bigint(floor({below} / 1e4D))"
+    hundredths = f"bigint(floor({rest} / 1e6D))"
     return (
-        f"if({inside}, bigint(floor({number})), NULL)",
-        f"if({inside}, {rest}, NULL)",
+        f"if({inside}, {high}, NULL)",
+        f"if({inside}, {middle}, NULL)",
+        f"if({inside}, ({below} - {middle} * 10000L) * 100L + {hundredths}, NULL)",
+        f"if({inside}, {rest} - {hundredths} * 1000000L, NULL)",
         f"if({inside}, NULL, {number})",
     )
 
 
-def exact_total(whole: str, rest: str, far: str) -> str:
-    """The double of the sums of the three addends; null if there was nothing to add."""
-    near = f"(double({whole}) + {rest} / 1e8D)"
+def exact_units(e10: str, e4: str, e2: str, e8: str) -> str:
+    """The added-up whole numbers as one decimal, in units of 1e-8: the state that is stored and merged.
+
+    Sums of this decimal hold up to 1e30 times the unit of one, more than any table has.
+    """
+    parts = ((e10, 10**18), (e4, 10**12), (e2, 10**6), (e8, 1))
+    return "(" + " + ".join(
+        f"CAST({part} AS decimal(19,0)) * CAST({unit} AS decimal(19,0))" for part, unit in parts
+    ) + ")"
+
+
+def exact_total(units: str, far: str) -> str:
+    """The double of a sum kept as units and far values; null if there was nothing to add."""
+    near = f"(double({units}) / 1e8D)"
     return f"coalesce({near} + {far}, {near}, {far})"
 
 
 def _exact_sum(value: str) -> str:
-    return exact_total(*(f"sum({addend})" for addend in exact_addends(value)))
+    *whole, far = (f"sum({addend})" for addend in exact_addends(value))
+    return exact_total(exact_units(*whole), far)
 
 
 def exact_sum(value: str) -> Column:

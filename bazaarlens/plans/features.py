@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from bazaarlens.functions.numeric import exact_mean, exact_sum
 from bazaarlens.operators.cleaning import translate_products
-from bazaarlens.operators.rollup import mean, payment_measures, rollup, sales_measures
+from bazaarlens.operators.rollup import mean, payment_measures, rollup, sales_measures, share
 from bazaarlens.plans.master import Datasets, item_rows, order_rows
 from bazaarlens.sources.storage import materialize
 
@@ -22,7 +22,7 @@ CATEGORY = "product_category_name_english"
 SELLER_KEYS = ("seller_id", "seller_city", "seller_state")
 SELLER_MEANS = (
     mean("review", "seller_avg_review"),
-    mean("late", "seller_late_rate"),
+    share("late", "seller_late_rate"),
     "orders_n AS seller_total_orders",
     mean("price", "seller_avg_price"),
 )
@@ -55,7 +55,7 @@ def _category_table(measures: DataFrame) -> DataFrame:
         mean("price", "category_avg_price"),
         mean("review", "category_avg_review"),
         "orders_n AS category_total_orders",
-        mean("late", "category_late_rate"),
+        share("late", "category_late_rate"),
     )
 
 
@@ -64,7 +64,7 @@ def _state_table(measures: DataFrame) -> DataFrame:
         "customer_state",
         "orders_n AS state_total_orders",
         mean("payment", "state_avg_payment"),
-        mean("late", "state_late_rate"),
+        share("late", "state_late_rate"),
     )
 
 

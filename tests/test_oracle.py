@@ -61,5 +61,5 @@ def test_seller_threshold_that_leaves_some_out(spark, oracle):
 
 
 def test_entry(spark):
-    assert driver.entry(spark).columns == ["section", "seq", "entity_id", "metric", "value"]
+    assert driver.entry(spark).columns == ["section_no", "section", "seq", "entity_id", "metric", "value"]
     assert driver.entry(spark).count() >= 9

@@ -1,6 +1,7 @@
 """Malformed numbers and table shapes."""
 
 import math
+from fractions import Fraction
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -15,6 +16,8 @@ from bazaarlens.functions.numeric import (
     to_double,
 )
 from bazaarlens.operators import quality
+from bazaarlens.operators.cleaning import payment_agg
+from bazaarlens.operators.rollup import mean, mean_parts, rollup
 
 TEXTS = ["5", " 5 ", "5.5", ".5", "-1e3", "", "bad", "n/a", "NaN", "5d", "5.f", "1.5D", None, "inf"]
 
@@ -62,6 +65,37 @@ def test_sums_do_not_depend_on_the_order_of_rows(spark):
     assert tuple(none.select(exact_sum("v"), exact_mean("v")).first()) == (None, None)
 
 
+def test_sums_carry_where_a_long_would_overflow(spark):
+    """Sentinels in many rows, through the sum, the payments and two rollups."""
+    rows = spark.range(10_000).selectExpr("'o1' AS order_id", "9.9e14D AS payment_value", "1 AS payment_installments")
+    assert payment_agg(rows).first().total_payment == 9.9e18
+    mixed = spark.range(30_000).selectExpr(
+        "int(id % 7) AS key", "if(id % 2 = 0, 999999999999999.25D, -0.1D) AS v", "id"
+    )
+    exactly = {}
+    for i in range(30_000):
+        exactly[i % 7] = exactly.get(i % 7, 0) + (Fraction("999999999999999.25") if i % 2 == 0 else Fraction(-1, 10))
+    found = set()
+    for parts in (1, 8, 37):
+        states = rollup(mixed.repartition(parts, "id").selectExpr("key", "id % 5 AS part", *mean_parts("v", "v")), "key", "part")
+        means = rollup(states, "key").selectExpr("key", mean("v", "mean"), "v_sum")
+        direct = mixed.repartition(parts, "id").groupBy("key").agg(exact_mean("v").alias("direct"))
+        found.add(tuple(sorted(map(tuple, means.join(direct, "key").collect()))))
+    assert len(found) == 1
+    for key, mean_, units, direct in found.pop():
+        assert units == exactly[key] * 10**8 and mean_ == direct
+        n = len(range(key, 30_000, 7))
+        assert abs(mean_ - exactly[key] / n) <= abs(exactly[key] / n) * Fraction(1, 10**15)
+
+
+def test_stored_states_merge_beyond_a_long(spark):
+    """A partial far above 2**63 units, merged with others, loses no unit."""
+    state = spark.createDataFrame([("s", "9223372036854775807999"), ("s", "1"), ("s", None)], "k string, u string")
+    state = state.selectExpr("k", "CAST(u AS decimal(38,0)) AS v_sum", "CAST(NULL AS double) AS v_far", "bigint(2) AS v_n")
+    merged = rollup(state, "k").selectExpr("v_sum", mean("v", "mean")).first()
+    assert merged.v_sum == 9223372036854775808000 and merged.mean == 92233720368547.75808 / 6
+
+
 def test_bad_rows_and_counts(spark):
     def frame(column, values):
         rows = [(f"o{i}", v) for i, v in enumerate(values)]

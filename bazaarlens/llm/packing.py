@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import base64
 import json
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from functools import cache
@@ -49,6 +50,10 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long, fill long, n_bins long, bound long, emptiest boolean"
 #: Fixed value: the published pattern of this vocabulary's pre-tokenizer.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
+#: Runs of white space from this length on do not go through the pattern.
+SAFE_WHITE = 50_000
+#: Fixed value: the characters that the pattern's ``\\s`` stands for.
+LONG_WHITE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % SAFE_WHITE)
 
 
 def _letters_of_bytes() -> dict[str, int]:
@@ -73,10 +78,22 @@ def encoder(path: str) -> Callable[[str], np.ndarray]:
     }
     coder = tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=added)
 
-    def encode(text: str) -> np.ndarray:
+    def part(text: str) -> list[int]:
         if any(mark in text for mark in added):
-            return np.array(coder.encode(text, allowed_special="all"), np.uint32)
-        return np.array(coder.encode_ordinary(text), np.uint32)
+            return coder.encode(text, allowed_special="all")
+        return coder.encode_ordinary(text)
+
+    def encode(text: str) -> np.ndarray:
+        # The pattern steps back through a run of white space, and its stack ends in a very long one.
+        # By the pattern, such a run is one piece but for its last character, which begins the next.
+        ids, done = [], 0
+        for run in LONG_WHITE.finditer(text) if len(text) >= SAFE_WHITE else ():
+            stop = run.end() if run.end() == len(text) else run.end() - 1
+            ids.append(part(text[done : run.start()]))
+            ids.append(coder._encode_single_piece(text[run.start() : stop]))
+            done = stop
+        ids.append(part(text[done:]))
+        return np.concatenate([np.array(i, np.uint32) for i in ids])
 
     return encode
 

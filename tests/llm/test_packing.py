@@ -31,6 +31,27 @@ def test_ids_are_those_of_the_library(text):
     assert packing.encoder(PATH)(text).tolist() == library_ids(text)[:-1]
 
 
+LONG = {
+    "blanks": " " * 2_000_000 + "a", "blanks at the end": "a" + " " * 2_000_000, "newlines": "b\n" + "\n" * 2_000_000 + " é",
+    "letters": "a" * 2_000_000, "signs": "." * 2_000_000, "tabs and marks": "<|endoftext|>" + "\t" * 300_000 + "<|endoftext|>x",
+    "two runs": "x" + "\u3000" * 60_000 + "y" + " " * 60_000 + "\x1c" + " " * 60_000, "only blanks": " " * 70_000,
+}
+
+
+@pytest.mark.parametrize("name", LONG)
+def test_ids_of_very_long_runs(name):
+    assert packing.encoder(PATH)(LONG[name]).tolist() == library_ids(LONG[name])[:-1]
+
+
+def test_long_runs_are_packed(spark):
+    texts = [t for name, t in LONG.items() if "a" in name]
+    found = packing.packed_documents(documents(spark, list(enumerate(texts))), PATH).collect()
+    check_packing(found, packing.LENGTH)
+    for n, text in enumerate(texts):
+        pieces = sorted((r.start, r.length) for r in found if r.doc_id == n)
+        assert sum(length for _, length in pieces) == len(library_ids(text))
+
+
 def check_packing(rows, length):
     sequences = {}
     for r in rows:

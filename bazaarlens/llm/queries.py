@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlens.llm import chosen_path, exact_dedup, fingerprints, html_blocks, language, mixing, packing, quality, resharding, token_counts
+from bazaarlens.llm import (
+    chosen_path,
+    exact_dedup,
+    filter_audit,
+    fingerprints,
+    html_blocks,
+    language,
+    mixing,
+    packing,
+    quality,
+    resharding,
+    token_counts,
+)
 from bazaarlens.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +69,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"), path)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_mixing": op2_mixing,
@@ -68,9 +84,11 @@ QUERIES: dict[str, Query] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,
+    "op11_filter_audit": op11_filter_audit,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.SQL,
     "op6_near_dedup": chosen_path.SQL,
+    "op11_filter_audit": filter_audit.SQL,
 }

@@ -13,6 +13,7 @@ from bazaarlens.llm import (
     exact_dedup,
     filter_audit,
     fingerprints,
+    hard_negatives,
     html_blocks,
     language,
     mixing,
@@ -73,6 +74,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_mixing": op2_mixing,
@@ -85,10 +90,12 @@ QUERIES: dict[str, Query] = {
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,
     "op11_filter_audit": op11_filter_audit,
+    "op12_hard_negatives": op12_hard_negatives,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.SQL,
     "op6_near_dedup": chosen_path.SQL,
     "op11_filter_audit": filter_audit.SQL,
+    "op12_hard_negatives": hard_negatives.SQL,
 }

@@ -1,0 +1,109 @@
+"""Hard negatives against all pairs in plain Python, and the steps of the method."""
+
+import math
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from llm_cases import awkward, rows_of
+from pyspark.sql import functions as F
+
+from bazaarlens.llm import hard_negatives as hn
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def brute_force(rows, every=100, positives=5, negatives=5, share=(80, 100)):
+    kept = []
+    for vec_id, vector, label in rows:
+        if vec_id is None or vector is None or label is None or any(x is None or not math.isfinite(x) for x in vector):
+            continue
+        codes = [math.floor(256 * float(np.float32(x))) for x in vector]
+        if sum(c * c for c in codes) < 2**62:
+            kept.append((vec_id, codes, (label + 1) % 10 if vec_id % 7 == 0 else label))
+    out = []
+    for i, (anchor, codes, label) in enumerate(kept):
+        if anchor % every:
+            continue
+        scores = [(-sum(a * b for a, b in zip(codes, c)), v, own) for j, (v, c, own) in enumerate(kept) if j != i]
+        for score, positive, _ in sorted(s for s in scores if s[2] == label)[:positives]:
+            window = [
+                (s, v) for s, v, own in sorted(scores)
+                if own != label and share[0] * -score <= share[1] * -s <= share[1] * -score
+            ][:negatives]
+            out += [(anchor, positive, n, v, -score, -s) for n, (s, v) in enumerate(window, 1)]
+    return sorted(out, key=str)
+
+
+def vectors(spark, rows, parts=5):
+    return spark.createDataFrame([(v, e, lab) for v, e, lab in rows], SCHEMA).repartition(parts)
+
+
+def random_rows(n, seed, wide=8, kinds=10):
+    draw = np.random.default_rng(seed)
+    centre = draw.normal(size=wide)
+    return [(i, [float(x) for x in np.float32(centre + draw.normal(size=wide) / 3)], int(draw.integers(kinds))) for i in range(n)]
+
+
+@pytest.mark.parametrize("block", [64, 10_000])
+def test_random_vectors(spark, block, monkeypatch):
+    monkeypatch.setattr(hn, "CHUNK", 3)
+    rows = random_rows(700, 1)
+    found = hn.mine(hn.whole_vectors(awkward(vectors(spark, rows)), hn.noisy_label()), F.col("vec_id") % 100 == 0, block=block)
+    assert rows_of(found) == brute_force(rows) and found.count() > 20
+
+
+def test_other_sizes_and_windows(spark):
+    rows = random_rows(300, 2, 5, 3)
+    found = hn.mine(hn.whole_vectors(vectors(spark, rows), hn.noisy_label()), F.col("vec_id") % 20 == 0, 3, 7, (50, 100), 90)
+    assert rows_of(found) == brute_force(rows, 20, 3, 7, (50, 100))
+
+
+def test_one_vector_in_a_third_of_the_rows(spark):
+    """Ties everywhere: the smaller ids win, over blocks too."""
+    rows = [(v, [0.5, 0.25, 0.125, 0.0, 0.0, 0.0, 0.0, 0.0] if v % 3 else e, lab if v % 2 else 4) for v, e, lab in random_rows(900, 3)]
+    found = hn.mine(hn.whole_vectors(vectors(spark, rows[::-1], 9), hn.noisy_label()), F.col("vec_id") % 100 == 0, block=100)
+    assert rows_of(found) == brute_force(rows)
+
+
+def test_rows_without_part_and_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = random_rows(210, 4, 3, 2) + [
+        (300, None, 1), (301, [nan, 1.0, 1.0], 1), (302, [inf, 0.0, 0.0], 0), (303, [1.0, None, 1.0], 0), (304, [1.0, 1.0, 1.0], None),
+        (None, [1.0, 1.0, 1.0], 1), (400, [], 0), (401, [], 1), (500, [1.0], 1), (501, [1.0, 1.0, 1.0, 5.0, 6.0], 0), (600, [-1.0, -1.0, -1.0], 0),
+        (100, [1.0, 0.9, 0.8], 1), (100, [1.0, 0.9, 0.8], 1), (105, [1.0, 0.9, 0.8], 0), (700, [3e38, 0.0, 0.0], 1), (800, [-7e6, 7e6, 0.0], 0),
+        (0, [0.0, 0.0, 0.0], 0), (900, [-0.001, 0.0, 0.001], 1),
+    ]
+    assert rows_of(hn.hard_negatives(awkward(vectors(spark, rows)))) == brute_force(rows)
+
+
+def test_large_products_stay_exact(spark):
+    draw = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in np.float32(draw.normal(size=6) * 1e6 + 3e6)], i % 3) for i in range(0, 400, 4)]
+    assert rows_of(hn.hard_negatives(vectors(spark, rows))) == brute_force(rows)
+
+
+def test_no_rows_no_anchors_one_label(spark):
+    assert hn.hard_negatives(vectors(spark, [])).count() == 0
+    assert hn.hard_negatives(vectors(spark, [(1, [1.0], 1), (2, [1.0], 2)])).count() == 0
+    assert hn.hard_negatives(vectors(spark, [(100, [1.0], 1), (101, [1.0], 1)])).count() == 0
+    assert hn.hard_negatives(vectors(spark, [(100, None, None)])).count() == 0
+
+
+@given(st.lists(st.integers(-20, 20), min_size=1, max_size=5), st.lists(st.integers(-20, 20), max_size=40))
+@settings(max_examples=200, deadline=None)
+def test_merged_suffixes_answer_every_window(positives, others):
+    limits = np.array(sorted(set(positives), reverse=True))
+    score = np.array([s for s in others if s <= limits[0]], np.int64)
+    slot = hn.slots(np.repeat(limits[None], len(score), 0), score)
+    keep = hn.best(slot, np.arange(len(score)), score, 3) if len(score) else []
+    by_slot = {}
+    for i in keep:
+        by_slot.setdefault(int(slot[i]), []).append((-int(score[i]), int(i)))
+    merged = hn.suffixes(by_slot, len(limits), 3)
+    for n, limit in enumerate(limits.tolist()):
+        low = hn.least(limit)
+        want = sorted((-int(s), i) for i, s in enumerate(score) if low <= s <= limit)[:3]
+        assert [m for m in merged[n] if -m[0] >= low] == want
+        assert all((80 * limit <= 100 * s) == (s >= low) for s in range(-40, 40))

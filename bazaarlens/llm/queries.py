@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarlens.llm import (
+    chat_windows,
     chosen_path,
     exact_dedup,
     filter_audit,
@@ -78,6 +79,15 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
 
 
+def op13_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and conversation -1, whose texts hold the template's own marks."""
+    marks = "<|im_end|><|im_start|>assistant ok"
+    planted = [(-1, 0, "user", marks), (-1, 1, "assistant", marks)]
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.unionByName(spark.createDataFrame(planted, "conv_id long, turn long, role string, text string"))
+    return chat_windows.read_back(chat_windows.windows(rows, public_tokenizers.path("byte_bpe_50k.json")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_mixing": op2_mixing,
@@ -91,6 +101,7 @@ QUERIES: dict[str, Query] = {
     "op10_packing": op10_packing,
     "op11_filter_audit": op11_filter_audit,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_chat_windows": op13_chat_windows,
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -9,19 +9,17 @@ from pyspark.sql import functions as F
 def left_join_many(one: DataFrame, many: DataFrame, key: str) -> DataFrame:
     """``one`` left joined with ``many`` on ``key``, where ``many`` may be skewed.
 
-    A left join can be split by adaptive execution on its left side only. Here the
-    skewed rows stand on the left of an inner join, which splits them, and the rows of
-    ``one`` without a match are added by an anti join against the distinct keys,
-    of which every reading task sends each at most once.
+    A left join can be split by adaptive execution on its left side only. Here the skewed rows stand
+    on the left of an inner join, which splits them, and keys of ``one`` that ``many`` lacks
+    stand beside them as a row without values. So ``one`` is computed once: for the missing keys only
+    its key column is read, and left joins below that the key does not need fall away.
     """
-    keys = many.select(key).distinct()
-    # Adaptive execution splits a join only if both inputs are shuffled for it alone. Rows that
-    # come clustered by the key from an earlier join are not, unless the key is an expression.
-    fresh = one.withColumn(key, F.greatest(key, key))
-    matched = many.join(fresh, on=key)
-    alone = one.join(keys, on=key, how="left_anti")
-    columns = [*one.columns, *(name for name in many.columns if name != key)]
-    missing = [
-        F.lit(None).cast(f.dataType).alias(f.name) for f in many.schema.fields if f.name != key
-    ]
-    return matched.select(*columns).union(alone.select(*one.columns, *missing))
+    others = [f for f in many.schema.fields if f.name != key]
+    missing = one.select(key).distinct().join(many.select(key).distinct(), on=key, how="left_anti")
+    rows = many.where(F.col(key).isNotNull()).select(key, *(f.name for f in others)).union(
+        missing.select(key, *(F.lit(None).cast(f.dataType).alias(f.name) for f in others))
+    )
+    # A null key matches the row that stands for it, as in a left join, and no row of ``many``.
+    same = F.col(f"many.{key}").eqNullSafe(F.col(f"one.{key}"))
+    columns = [*(f"one.{name}" for name in one.columns), *(f"many.{f.name}" for f in others)]
+    return rows.alias("many").join(one.alias("one"), same).select(*columns)

@@ -45,21 +45,25 @@ def percent(rate: str) -> Column:
     return rounded(f"{rate} * 100", 1)
 
 
-def exact(value: str) -> Column:
-    """Sort key of a double: equal up to summation noise means equal.
-
-    Values beyond the decimal, infinities included, stand above or below all
-    others and are ordered among themselves as doubles. NaN counts as null.
-    """
+def exact_sql(value: str) -> str:
     number = f"nullif(double({value}), double('NaN'))"
     inside = f"try_cast({number} AS {EXACT})"
-    return F.expr(
+    return (
         f"if({number} IS NULL, NULL, named_struct("
         f"'side', if({inside} IS NULL, int(signum({number})), 0), "
         f"'near', {inside}, 'far', if({inside} IS NULL, {number}, NULL)))"
     )
 
 
+def exact(value: str) -> Column:
+    """Sort key of a double: equal up to summation noise means equal.
+
+    Values beyond the decimal, infinities included, stand above or below all
+    others and are ordered among themselves as doubles. NaN counts as null.
+    """
+    return F.expr(exact_sql(value))
+
+
 #: Endings of the addends of one value: four whole numbers, and a double for what they cannot hold.
 ADDENDS = ("_e10", "_e4", "_e2", "_e8", "_far")
 

@@ -28,8 +28,8 @@ SELLER_MEANS = (
 )
 
 
-def _order_table(rows: DataFrame, item_columns: list[Column]) -> DataFrame:
-    return rows.groupBy("order_id").agg(
+def _order_table(rows: DataFrame, item_columns: list[Column], *also: str) -> DataFrame:
+    return rows.groupBy("order_id", *also).agg(
         *item_columns,
         exact_mean("avg_review_score").alias("order_review_score"),
         F.avg("delivery_delay_days").alias("order_delay_days"),
@@ -68,8 +68,11 @@ def _state_table(measures: DataFrame) -> DataFrame:
     )
 
 
-def features_from_master(master: DataFrame) -> dict[str, DataFrame]:
-    """The four feature tables of a master table, each in one pass over it."""
+def features_from_master(master: DataFrame, *also: str) -> dict[str, DataFrame]:
+    """The four feature tables of a master table, each in one pass over it.
+
+    The order table has the columns ``also`` beside its key, if an order has one value of them.
+    """
     return {
         "order_features": _order_table(
             master,
@@ -78,6 +81,7 @@ def features_from_master(master: DataFrame) -> dict[str, DataFrame]:
                 exact_sum("freight_value").alias("order_total_freight"),
                 F.count("product_id").alias("order_item_count"),
             ],
+            *also,
         ),
         # Rows are hash-aggregated with their place first: taking the smallest
         # place needs sorted groups, which only the few results should pay for.
@@ -89,6 +93,17 @@ def features_from_master(master: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def features_from_measures(
+    seller_measures: DataFrame, category_measures: DataFrame, state_measures: DataFrame
+) -> dict[str, DataFrame]:
+    """The feature tables that stored measures, of months or other parts of master, add up to."""
+    return {
+        "seller_features": _seller_table(rollup(seller_measures, *SELLER_KEYS)),
+        "category_features": _category_table(category_measures),
+        "customer_features": _state_table(state_measures),
+    }
+
+
 def order_features(data: Datasets) -> DataFrame:
     """Items are added up per order first, so no row count ever grows."""
     items = (

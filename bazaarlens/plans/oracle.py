@@ -375,6 +375,22 @@ _ORDER_FEATURES = f"""SELECT {_settled('''order_id order_total_price~ order_tota
     order_item_count order_review_score~ order_delay_days~ order_is_late~ order_payment_value~''')}
     FROM order_features"""
 
+_REPORT_NUMBERS = {
+    "seller_summary": ("'platform'", "avg_review late_pct total_sellers total_orders"),
+    "top_sellers_by_review": ("seller_id", "avg_review seller_total_orders"),
+    "top5_categories": ("product_category_name_english", "category_total_orders avg_price avg_review"),
+    "worst5_states": ("customer_state", "state_total_orders late_pct"),
+    "top10_categories": (
+        "product_category_name_english", "category_total_orders avg_price avg_review late_pct",
+    ),
+    "late_states": ("customer_state", "state_total_orders late_pct avg_payment"),
+    "bad_sellers": ("seller_id", "avg_review late_pct seller_total_orders"),
+    "high_risk_sellers": ("seller_id", "avg_review late_pct total_orders"),
+    "all_categories": ("category", "orders avg_price avg_review late_pct"),
+    "all_states": ("state", "orders late_pct avg_payment"),
+    "chart_top_categories": ("category", "orders avg_review"),
+}
+
 _FINAL = {
     "scan_csv_typed": """
         SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(customer_id AS VARCHAR) AS customer_id,
@@ -506,5 +522,16 @@ _FINAL = {
 }
 for _table in ("master", "seller_features", "category_features", "customer_features"):
     _FINAL[f"refreshed_{_table}"] = _FINAL[_table]
+_FINAL |= {
+    "incremental_refresh": _FINAL["master"],
+    "merged_features": _LONG_TABLES,
+    "published_tables": _LONG_TABLES,
+    "report_views": " UNION ALL ".join(
+        f"SELECT '{report}' AS report, CAST({entity} AS VARCHAR) AS entity, '{metric}' AS metric, "
+        f"CAST({metric} AS DOUBLE) AS value FROM ({_FINAL[report]}) AS {report}_rows"
+        for report, (entity, metrics) in _REPORT_NUMBERS.items()
+        for metric in metrics.split()
+    ),
+}
 
 ORACLE_SQL: dict[str, str] = {name: _sql(final) for name, final in _FINAL.items()}

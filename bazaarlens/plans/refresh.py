@@ -2,20 +2,29 @@
 
 from __future__ import annotations
 
-import time
 import uuid
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from bazaarlens.operators.quality import duplicate_keys
 from bazaarlens.plans.features import features_from_master
 from bazaarlens.plans.master import Datasets, build_master
-from bazaarlens.sources.storage import publish_folders, read_parquet, write_parquet
+from bazaarlens.plans.report_views import publish_reports
+from bazaarlens.sources.generations import (
+    Line,
+    add_generation,
+    columns_of,
+    last_lines,
+    open_table,
+    publish,
+    run_folder,
+    tables_of,
+)
+from bazaarlens.sources.storage import read_parquet, write_parquet
 
-#: The log of complete refreshes below the output folder.
-GENERATIONS = "generations"
+FEATURES = ("order_features", "seller_features", "category_features", "customer_features")
 
 
 @dataclass(frozen=True)
@@ -29,37 +38,65 @@ class Refresh:
         return {name: read_parquet(spark, path) for name, path in self.folders.items()}
 
 
+def new_run() -> str:
+    return f"r{uuid.uuid4().hex}"
+
+
+def switch(spark: SparkSession, out: str, run: str, lines: list[Line], database: str | None) -> None:
+    """Add the generation to the log, which moves all readers on; views are made ready before."""
+    first = not last_lines(spark, out)
+    if database and not first:
+        publish(spark, out, database, lines)
+    add_generation(spark, out, run, lines)
+    if database:
+        if first:
+            publish(spark, out, database, lines)
+        publish_reports(spark, database)
+
+
+def refuse_other_kind(spark: SparkSession, out: str, monthly: bool) -> None:
+    if any((line["purchase_month"] is not None) != monthly for line in last_lines(spark, out) if line["table_name"] == "master"):
+        raise ValueError(f"{out} holds tables {'written whole' if monthly else 'kept by months'}: choose another folder")
+
+
 def refresh(
-    spark: SparkSession, data: Datasets, out: str, database: str | None = None
+    spark: SparkSession,
+    data: Datasets,
+    out: str,
+    database: str | None = None,
+    beside: Mapping[str, DataFrame] | None = None,
 ) -> Refresh:
     """Write master once, and the four feature tables from it, as a new generation.
 
     Every table is computed once: counts come from the write itself, and the
-    feature tables read the written master, which also ends its lineage. All go to a
-    folder of their own. Readers see the generation once all of it is written: its line in
-    the log is appended last, and then, with ``database``, the catalog tables are pointed to it.
-    ``duplicate_keys`` is written beside the tables and counted with them.
+    feature tables read the written master, which also ends its lineage. All go to
+    folders of their own. Readers, and with ``database`` the catalog views, see the generation once all of
+    it is written: its lines in the log are appended last, together.
+    ``duplicate_keys`` and the frames ``beside`` are written as tables too and counted.
     """
-    run = f"{out}/run-{uuid.uuid4().hex}"
-    folders = {"master": f"{run}/master"}
-    rows = {"master": write_parquet(build_master(data), folders["master"])}
+    refuse_other_kind(spark, out, monthly=False)
+    run, folders, rows, lines = new_run(), {}, {}, []
+
+    def write(name: str, frame: DataFrame) -> None:
+        columns = columns_of(frame)
+        folder = run_folder(out, name, columns, run)
+        rows[name] = write_parquet(frame, folder)
+        folders[name] = folder
+        lines.append(Line(name, run, columns))
+
+    write("master", build_master(data))
     master = read_parquet(spark, folders["master"])
     for name, table in features_from_master(master).items():
-        folders[name] = f"{run}/{name}"
-        rows[name] = write_parquet(table, folders[name])
-    rows["duplicate_keys"] = write_parquet(duplicate_keys(data), f"{run}/duplicate_keys")
-    finished = time.time_ns()
-    lines = [(finished, name, folder) for name, folder in folders.items()]
-    log = spark.createDataFrame(lines, "finished long, table_name string, folder string")
-    log.coalesce(1).write.mode("append").parquet(f"{out}/{GENERATIONS}")
-    if database:
-        publish_folders(spark, folders, database)
+        write(name, table)
+    for name, table in {"duplicate_keys": duplicate_keys(data), **(beside or {})}.items():
+        write(name, table)
+    switch(spark, out, run, lines, database)
     return Refresh(folders, rows)
 
 
 def latest(spark: SparkSession, out: str) -> dict[str, DataFrame]:
-    """The tables of the last complete refresh below ``out``."""
-    log = read_parquet(spark, f"{out}/{GENERATIONS}")
-    last = log.filter(F.col("finished") == log.agg(F.max("finished")).first()[0])
-    # One row for each of five tables.
-    return {r["table_name"]: read_parquet(spark, r["folder"]) for r in last.collect()}
+    """The tables of the last complete refresh below ``out``, all of one generation."""
+    lines = last_lines(spark, out)
+    if not lines:
+        raise ValueError(f"no refresh has ended below {out}")
+    return {name: open_table(spark, out, name, lines) for name in tables_of(lines)}

@@ -208,7 +208,8 @@ def _earlier(data: Datasets) -> tuple[Datasets, DataFrame]:
     and items, and have deliveries still under way.
     """
     orders = data["orders"]
-    known, spring = "order_purchase_timestamp < '1995-01-01'", "order_purchase_timestamp >= '1993-03-01' AND order_purchase_timestamp < '1993-06-01'"
+    time = "order_purchase_timestamp"
+    known, spring = f"{time} < '1998-05-01'", f"{time} >= '1996-03-01' AND {time} < '1996-06-01'"
     changed = orders.where(f"NOT coalesce({known}, false) OR ({spring} AND order_id % 5 < 3)").select("order_id")
     late = orders.where(f"{spring} AND order_id % 5 < 3").select("order_id")
     status = F.when(F.expr(f"{spring} AND order_id % 5 = 0"), "shipped").otherwise(F.col("order_status"))

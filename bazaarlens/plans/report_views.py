@@ -6,6 +6,7 @@ from pyspark.sql import SparkSession
 
 from bazaarlens.functions.numeric import exact_sql, rounded_sql
 from bazaarlens.plans.features import CATEGORY
+from bazaarlens.sources.generations import create_view
 
 
 def _percent(rate: str) -> str:
@@ -79,7 +80,7 @@ def report_sql(name: str, database: str) -> str:
 def publish_reports(spark: SparkSession, database: str) -> None:
     """One view per report in the database. They read its tables, so a refresh moves them on too."""
     for name in REPORTS:
-        spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{name}` AS {report_sql(name, database)}")
+        create_view(spark, database, name, report_sql(name, database))
 
 
 def long_sql(database: str) -> str:

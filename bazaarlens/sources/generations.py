@@ -124,24 +124,22 @@ def view_sql(spark: SparkSession, out: str, table: str, versions: list[str], mon
     """A query for the last generation of a table; ``versions`` are its columns so far, the newest last."""
     kinds = {f.name: f.dataType.simpleString() for f in StructType.fromDDL(versions[-1]).fields}
     log = f"parquet.`{out}/{GENERATIONS}`"
-    last = f"SELECT max(struct(generation, run)) FROM {log}"
-    held = (
-        f"SELECT stored_run, purchase_month AS held_month FROM {log} "
-        f"WHERE table_name = '{table}' AND struct(generation, run) = ({last})"
-    )
     selects = []
     for columns in versions:
         stored = f"parquet.`{table_folder(out, table, columns)}`"
-        cells = _cells(columns, kinds)
+        cells, these = _cells(columns, kinds), f"columns = {_text(columns)}"
         if monthly:
             selects.append(
-                f"SELECT {cells}, {MONTH} FROM {stored} AS stored JOIN ({held} AND columns = {_text(columns)}) AS held "
-                f"ON run = stored_run AND {MONTH} = held_month"
+                f"SELECT {cells}, {MONTH} FROM {stored} AS stored JOIN ("
+                f"SELECT stored_run, purchase_month AS held_month FROM {log} WHERE table_name = '{table}' AND {these} "
+                f"AND struct(generation, run) = (SELECT max(struct(generation, run)) FROM {log})"
+                f") AS held ON run = stored_run AND {MONTH} = held_month"
             )
         else:
+            # Every generation has a line for such a table; the last one has these columns, or there are no rows.
             selects.append(
-                f"SELECT {cells} FROM {stored} WHERE run = (SELECT max_by(stored_run, struct(generation, run)) "
-                f"FROM {log} WHERE table_name = '{table}' AND columns = {_text(columns)} AND struct(generation, run) = ({last}))"
+                f"SELECT {cells} FROM {stored} WHERE run = (SELECT max_by(if({these}, stored_run, NULL), "
+                f"struct(generation, run)) FROM {log} WHERE table_name = '{table}')"
             )
     return " UNION ALL ".join(selects)
 
@@ -172,14 +170,18 @@ def publish(spark: SparkSession, out: str, database: str, lines: Iterable[Line])
         own = [line for line in lines if line.table == table]
         versions = [v for v in found.get(table, ()) if v != own[-1].columns] + [own[-1].columns]
         sql = view_sql(spark, out, table, versions, own[-1].month is not None)
-        digest = hashlib.sha256(sql.encode()).hexdigest()
-        name = f"{database}.{table}"
-        if spark.catalog.tableExists(name):
-            if _digest(spark, name) == digest:
-                continue
-            if spark.catalog.getTable(name).tableType != "VIEW":
-                spark.sql(f"DROP TABLE `{database}`.`{table}`")
-        spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{table}` TBLPROPERTIES ('definition' = '{digest}') AS {sql}")
+        create_view(spark, database, table, sql)
+
+
+def create_view(spark: SparkSession, database: str, name: str, sql: str) -> None:
+    """Make the view, unless it stands with this definition. Replacing is one step for its readers."""
+    digest = hashlib.sha256(sql.encode()).hexdigest()
+    if spark.catalog.tableExists(f"{database}.{name}"):
+        if _digest(spark, f"{database}.{name}") == digest:
+            return
+        if spark.catalog.getTable(f"{database}.{name}").tableType != "VIEW":
+            spark.sql(f"DROP TABLE `{database}`.`{name}`")
+    spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{name}` TBLPROPERTIES ('definition' = '{digest}') AS {sql}")
 
 
 def _digest(spark: SparkSession, name: str) -> str | None:

@@ -1,8 +1,8 @@
 """Run the jobs: ``spark-submit`` this package, or ``python -m bazaarlens``.
 
-    refresh RAW OUT [DATABASE]   raw CSV folder to master and feature tables
+    refresh RAW OUT [DATABASE]   raw CSV folder to master, feature tables and a table of broken records
     reports OUT                  all reports over the last refresh, written in full to OUT/reports
-    quality RAW                  row counts and malformed numbers of the raw files
+    quality RAW                  row counts, malformed numbers and broken records of the raw files
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession
 from bazaarlens.operators import quality
 from bazaarlens.plans import findings, reports
 from bazaarlens.plans.refresh import latest, refresh
-from bazaarlens.sources.datasets import read_datasets
+from bazaarlens.sources.datasets import DATASETS, read_datasets, read_records
 from bazaarlens.sources.storage import read_parquet, row_counts, write_parquet
 
 #: Rows of a report that are printed; its files hold all of them.
@@ -38,7 +38,9 @@ REPORTS = {
 
 def run_refresh(spark: SparkSession, raw: str, out: str, database: str | None = None) -> None:
     data = read_datasets(spark, raw)
-    for name, rows in refresh(spark, data, out, database).rows.items():
+    records = {name: read_records(spark, raw, name) for name in DATASETS}
+    beside = {"broken_records": quality.broken_records(records)}
+    for name, rows in refresh(spark, data, out, database, beside).rows.items():
         print(f"{name}: {rows} rows")
 
 
@@ -62,6 +64,9 @@ def run_quality(spark: SparkSession, raw: str) -> None:
     row_counts(data, "dataset").show(truncate=False)
     quality.bad_value_counts(data).show(truncate=False)
     quality.bad_values(data).show(truncate=False)
+    records = {name: read_records(spark, raw, name) for name in DATASETS}
+    quality.broken_record_counts(records).show(truncate=False)
+    quality.broken_records(records).show(PREVIEW, truncate=200)
 
 
 JOBS = {"refresh": run_refresh, "reports": run_reports, "quality": run_quality}

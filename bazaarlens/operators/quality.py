@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlens.functions.numeric import is_not_number
@@ -78,6 +78,46 @@ def bad_value_counts(raw: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def _flaw() -> Column:
+    """What is wrong with a record; null if it has a cell for each column."""
+    return F.expr(
+        "CASE WHEN cells IS NULL THEN 'unclosed quote' WHEN cells < expected THEN 'too few cells' "
+        "WHEN cells > expected THEN 'too many cells' END"
+    )
+
+
+def broken_records(records: Mapping[str, DataFrame]) -> DataFrame:
+    """Every record that does not have one cell for each column of its file, as it stands there.
+
+    ``records`` has, by dataset, frames with ``record``, ``cells`` and ``expected``.
+    """
+    return _union(
+        [
+            frame.withColumn("reason", _flaw())
+            .filter("reason IS NOT NULL")
+            .select(F.lit(name).alias("dataset"), "reason", "cells", "expected", "record")
+            for name, frame in records.items()
+        ]
+    )
+
+
+def broken_record_counts(records: Mapping[str, DataFrame]) -> DataFrame:
+    """Records in all and the broken ones by what is wrong, per dataset."""
+    return _union(
+        [
+            frame.withColumn("reason", _flaw())
+            .agg(
+                F.count(F.lit(1)).alias("total_records"),
+                F.count_if(F.col("reason") == "too few cells").alias("too_few_cells"),
+                F.count_if(F.col("reason") == "too many cells").alias("too_many_cells"),
+                F.count_if(F.col("reason") == "unclosed quote").alias("unclosed_quotes"),
+            )
+            .select(F.lit(name).alias("dataset"), "*")
+            for name, frame in records.items()
+        ]
+    )
+
+
 def duplicate_keys(data: Mapping[str, DataFrame]) -> DataFrame:
     """Keys that stand on several rows of the dataset they should identify one row of.
 

@@ -371,6 +371,32 @@ _DUPLICATES = " UNION ALL ".join(
     )
 )
 
+_VALUE = "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR)"
+_DAMAGED = f"""
+    SELECT 'payments' AS dataset, (l_orderkey * 7 + l_linenumber) % 1009 AS kind,
+           CASE (l_orderkey * 7 + l_linenumber) % 1009
+                WHEN 0 THEN l_orderkey || ',' || {_VALUE}
+                WHEN 1 THEN l_orderkey || ',' || {_VALUE} || ',' || l_linenumber || ',again'
+                WHEN 2 THEN l_orderkey || ',' || {_VALUE} || ',"' || l_linenumber
+                WHEN 3 THEN l_orderkey || ',"' || {_VALUE} || ',' || l_linenumber END AS record
+    FROM lineitem
+    UNION ALL
+    SELECT 'reviews', CASE WHEN doc_id % 97 > 1 THEN 9 ELSE doc_id % 97 END,
+           CASE doc_id % 97 WHEN 0 THEN doc_id || ',4'
+                ELSE doc_id || ',4,"' || replace(text, '"', '""') || '","' || replace(text, '"', '""') || '"' END
+    FROM documents WHERE text IS NOT NULL"""
+_BROKEN_ROWS = f"""
+    SELECT dataset, CASE kind WHEN 0 THEN 'too few cells' WHEN 1 THEN 'too many cells'
+                              ELSE 'unclosed quote' END AS reason,
+           CAST(CASE kind WHEN 0 THEN 2 WHEN 1 THEN 4 END AS INTEGER) AS cells, 3 AS expected,
+           md5(record) AS record_md5
+    FROM ({_DAMAGED}) WHERE kind < 4"""
+_BROKEN_COUNTS = f"""
+    SELECT dataset, COUNT(*) AS total_records, COUNT(*) FILTER (WHERE kind = 0) AS too_few_cells,
+           COUNT(*) FILTER (WHERE kind = 1) AS too_many_cells,
+           COUNT(*) FILTER (WHERE kind IN (2, 3)) AS unclosed_quotes
+    FROM ({_DAMAGED}) GROUP BY dataset"""
+
 _ORDER_FEATURES = f"""SELECT {_settled('''order_id order_total_price~ order_total_freight~
     order_item_count order_review_score~ order_delay_days~ order_is_late~ order_payment_value~''')}
     FROM order_features"""
@@ -519,6 +545,8 @@ _FINAL = {
     "full_refresh": _row_counts("stage", **_RAW, **_DERIVED),
     "csv_refresh": _LONG_TABLES,
     "duplicate_keys": _DUPLICATES,
+    "bad_record_rows": _BROKEN_ROWS,
+    "bad_record_counts": _BROKEN_COUNTS,
 }
 for _table in ("master", "seller_features", "category_features", "customer_features"):
     _FINAL[f"refreshed_{_table}"] = _FINAL[_table]

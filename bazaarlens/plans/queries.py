@@ -16,10 +16,10 @@ from bazaarlens.plans.monthly import refresh_months
 from bazaarlens.plans.refresh import Refresh, latest, refresh
 from bazaarlens.plans.report_views import long_sql
 from bazaarlens.sources import storage
-from bazaarlens.sources.datasets import DATASETS, read_dataset, read_datasets
+from bazaarlens.sources.datasets import DATASETS, read_dataset, read_datasets, read_records
 from bazaarlens.sources.generations import MONTH
 from bazaarlens.sources.scratch import scratch_path
-from bazaarlens.sources.star import RawTexts, star_datasets
+from bazaarlens.sources.star import DAMAGED, RawTexts, damaged_lines, star_datasets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -269,6 +269,28 @@ def report_views(spark: SparkSession, folder: str) -> DataFrame:
         spark.sql(f"DROP DATABASE IF EXISTS `{database}` CASCADE")
 
 
+def _damaged(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The records of raw files with broken lines, as they are read back."""
+    root = scratch_path(spark, "csv")
+    for name in DAMAGED:
+        header, lines = damaged_lines(spark, folder, name)
+        # The lower bits count the rows of a partition, which becomes a file.
+        first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
+        line = F.when(first, F.concat(F.lit(header + "\n"), "line")).otherwise(F.col("line"))
+        lines.repartition(8).select(line).write.text(f"{root}/{DATASETS[name].pattern.replace('*', 'star')}")
+    return {name: read_records(spark, root, name) for name in DAMAGED}
+
+
+def bad_record_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """All broken records of the damaged files; of a long one its digest stands for the text."""
+    rows = quality.broken_records(_damaged(spark, folder))
+    return rows.select("dataset", "reason", "cells", "expected", F.md5("record").alias("record_md5"))
+
+
+def bad_record_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.broken_record_counts(_damaged(spark, folder))
+
+
 def duplicate_keys(spark: SparkSession, folder: str) -> DataFrame:
     return quality.duplicate_keys(star_datasets(spark, folder))
 
@@ -295,6 +317,8 @@ QUERIES: dict[str, Query] = {
     "table_schemas": table_schemas,
     "bad_value_rows": lambda spark, folder: quality.bad_values(RawTexts(spark, folder)),
     "bad_value_counts": lambda spark, folder: quality.bad_value_counts(RawTexts(spark, folder)),
+    "bad_record_rows": bad_record_rows,
+    "bad_record_counts": bad_record_counts,
     "duplicate_keys": duplicate_keys,
     # cleaning and master
     "clean_orders": report(lambda data: cleaning.clean_orders(data["orders"])),

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from fnmatch import fnmatchcase
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarlens.functions.numeric import to_double
@@ -78,19 +78,54 @@ DATASETS: dict[str, Dataset] = {
 }
 
 
-def read_text_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+def _reader(spark: SparkSession, multiline: bool) -> DataFrameReader:
+    reader = spark.read.option("header", True)
+    if multiline:
+        reader = reader.option("multiLine", True).option("escape", '"')
+    return reader
+
+
+def read_text_csv(
+    spark: SparkSession, path: str, multiline: bool = False, drop_broken: bool = False
+) -> DataFrame:
     """A headered CSV with every column as text.
 
     Plain CSV is split within files. Multi-line CSV is split by file only, so
     large free-text datasets should come as many files. All files must have the
     same columns in the same order: reading fails on a file whose header differs.
+
+    A record with too few cells has nulls for the others, and one with too many loses the rest; with
+    ``drop_broken`` such records are left out. :func:`read_records` finds them.
     """
-    reader = spark.read.option("header", True).option("enforceSchema", False)
-    if multiline:
-        reader = reader.option("multiLine", True).option("escape", '"')
+    reader = _reader(spark, multiline).option("enforceSchema", False)
+    if drop_broken:
+        # Without column pruning the cells of a record are counted whichever columns are asked for.
+        reader = reader.option("mode", "DROPMALFORMED").option("columnPruning", False)
     return reader.csv(path)
 
 
+def read_records(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """Every record of a raw dataset as it stands in its file, by the same splitting into records.
+
+    Columns: ``record``; ``cells``, how many it has, null if a quote that opens a cell is never closed; and
+    ``expected``, the columns of the header.
+    """
+    spec = DATASETS[name]
+    path = f"{root}/{spec.pattern}"
+    columns = read_text_csv(spark, path, spec.multiline).columns
+    # Read as a single column, every record of more cells counts as corrupt, and so its text is kept. A
+    # record of one cell is that cell, without quotes around it.
+    reader = _reader(spark, spec.multiline).schema("cell string, record string")
+    reader = reader.option("columnNameOfCorruptRecord", "record").option("columnPruning", False)
+    rows = reader.csv(path).select(F.coalesce("record", "cell", F.lit("")).alias("record"))
+    # Escaped quotes go, and then whole quoted cells, up to the comma. What still begins with a quote is open.
+    plain = F.replace("record", F.lit('""'), F.lit("")) if spec.multiline else F.regexp_replace("record", r"\\.", "")
+    outside = F.regexp_replace(plain, '(^|,)"[^"]*+"[^,]*+', "$1")
+    counted = F.length(outside) - F.length(F.replace(outside, F.lit(","), F.lit(""))) + 1
+    cells = F.when(~F.regexp_like(outside, F.lit('(^|,)"')), counted)
+    return rows.select("record", cells.cast("int").alias("cells"), F.lit(len(columns)).alias("expected"))
+
+
 def publishers(frame: DataFrame, pattern: str) -> set[str]:
     """The distinct file or folder names that the pattern found."""
     return {
@@ -114,10 +149,12 @@ def typed(frame: DataFrame, types: Mapping[str, str]) -> DataFrame:
     return frame.select(*(column(name) for name in frame.columns))
 
 
-def read_dataset(spark: SparkSession, root: str, name: str, raw: bool = False) -> DataFrame:
+def read_dataset(
+    spark: SparkSession, root: str, name: str, raw: bool = False, drop_broken: bool = False
+) -> DataFrame:
     """One raw dataset below ``root``; with ``raw``, all columns stay text."""
     spec = DATASETS[name]
-    text = read_text_csv(spark, f"{root}/{spec.pattern}", spec.multiline)
+    text = read_text_csv(spark, f"{root}/{spec.pattern}", spec.multiline, drop_broken)
     found = publishers(text, spec.pattern)
     if len(found) > 1:
         raise ValueError(f"several files or folders match {spec.pattern}: {sorted(found)}")
@@ -129,6 +166,7 @@ def read_datasets(
     root: str,
     names: Iterable[str] = tuple(DATASETS),
     raw: bool = False,
+    drop_broken: bool = False,
 ) -> dict[str, DataFrame]:
     """The raw datasets by logical name."""
-    return {name: read_dataset(spark, root, name, raw) for name in names}
+    return {name: read_dataset(spark, root, name, raw, drop_broken) for name in names}

@@ -121,6 +121,36 @@ def _raw_order_items(table: Table) -> DataFrame:
     )
 
 
+def _damaged_payments(table: Table) -> DataFrame:
+    """Lines of a raw file, some without a cell, with one too many, or with a quote left open."""
+    kind = "(l_orderkey * 7 + l_linenumber) % 1009"
+    value = "string(CAST(l_extendedprice AS DECIMAL(18,2)))"
+    return table("lineitem").selectExpr(
+        f"CASE {kind} WHEN 0 THEN concat_ws(',', l_orderkey, {value}) "
+        f"WHEN 1 THEN concat_ws(',', l_orderkey, {value}, l_linenumber, 'again') "
+        f"WHEN 2 THEN concat(l_orderkey, ',', {value}, ',\"', l_linenumber) "
+        f"WHEN 3 THEN concat(l_orderkey, ',\"', {value}, ',', l_linenumber) "
+        f"WHEN 4 THEN concat(l_orderkey, ',\"', {value}, ',', l_linenumber, '\",1') "
+        f"ELSE concat_ws(',', l_orderkey, {value}, l_linenumber) END AS line"
+    )
+
+
+def _damaged_reviews(table: Table) -> DataFrame:
+    """Records of free text with quotes and line breaks, some without a cell or with one too many."""
+    text = "concat('\"', replace(text, '\"', '\"\"'), '\"')"
+    return table("documents").where("text IS NOT NULL").selectExpr(
+        f"CASE doc_id % 97 WHEN 0 THEN concat_ws(',', doc_id, 4) WHEN 1 THEN concat_ws(',', doc_id, 4, {text}, {text}) "
+        f"ELSE concat_ws(',', doc_id, 4, {text}) END AS line"
+    )
+
+
+#: Raw files with damaged records: the dataset's header and its lines.
+DAMAGED: Mapping[str, tuple[str, Callable[[Table], DataFrame]]] = {
+    "payments": ("order_id,payment_value,payment_installments", _damaged_payments),
+    "reviews": ("order_id,review_score,review_comment_message", _damaged_reviews),
+}
+
+
 class StarDatasets(Mapping[str, DataFrame]):
     """The nine datasets by logical name, each opened when it is asked for."""
 
@@ -166,5 +196,11 @@ class RawTexts(StarDatasets):
     }
 
 
+def damaged_lines(spark: SparkSession, folder: str, name: str) -> tuple[str, DataFrame]:
+    """The header and the lines of a damaged raw file."""
+    header, lines = DAMAGED[name]
+    return header, lines(lambda table: spark.read.parquet(f"{folder}/{table}.parquet"))
+
+
 def star_datasets(spark: SparkSession, folder: str) -> Mapping[str, DataFrame]:
     return StarDatasets(spark, folder)

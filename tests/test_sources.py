@@ -1,10 +1,15 @@
 """CSV edge cases, parquet and catalog round trips, working folders."""
 
+import shutil
+
 import pytest
 from conftest import multiset
 
+from bazaarlens.__main__ import run_refresh
+from bazaarlens.operators import quality
+from bazaarlens.plans.refresh import latest
 from bazaarlens.sources import scratch, storage
-from bazaarlens.sources.datasets import DATASETS, read_dataset, read_datasets
+from bazaarlens.sources.datasets import DATASETS, read_dataset, read_datasets, read_records
 
 FILES = {
     "x_orders_dataset.csv": (
@@ -100,6 +105,66 @@ def test_raw_reading_keeps_the_text(spark, raw):
     assert [r.price for r in text.collect()] == ["100.5", "bad", "NaN"]
 
 
+BROKEN = {
+    "x_order_payments_dataset.csv": (
+        'order_id,payment_installments,payment_value\no1,2,100.25\no2,1\no3,1,2,3\no4,1,"5\no5,"1,5\n\no6,"1","a,b"\n'
+        'o7,a"b,5\no8,"c"d,5\no9,"e\\"f,g",5\n,,\no10,1,"5\\"\n'
+    ),
+    "x_order_reviews_dataset.csv": (
+        'review_id,order_id,review_score\nr1,o1,4\nr2,o2,"two\nlines, ""quoted"""\nr3,""\nr4,o4,4,"",5\nr5,o5,"""\n'
+        + '""x" \nr6,o6,"never ""closed\nr7,o7,5\n'
+    ),
+    "x_sellers_dataset.csv": "seller_id,seller_city,seller_state\n" + 's1,"' + '""' * 50_000 + '",SP\n' + "s2," + '"' * 40_001 + ',SP\n"one cell"\ns3,"' + "x" * 50_000 + ",SP\n",
+}
+
+
+def test_broken_records_are_found_as_they_stand(spark, tmp_path):
+    for name, text in BROKEN.items():
+        (tmp_path / name).write_text(text, encoding="utf-8", newline="")
+    records = {name: read_records(spark, str(tmp_path), name) for name in ("payments", "reviews", "sellers")}
+    rows = {(r.dataset, r.record): (r.reason, r.cells, r.expected) for r in quality.broken_records(records).collect()}
+    assert {k: v for k, v in rows.items() if k[0] == "payments"} == {
+        ("payments", "o2,1"): ("too few cells", 2, 3),
+        ("payments", "o3,1,2,3"): ("too many cells", 4, 3),
+        ("payments", 'o4,1,"5'): ("unclosed quote", None, 3),
+        ("payments", 'o5,"1,5'): ("unclosed quote", None, 3),
+        ("payments", 'o10,1,"5\\"'): ("unclosed quote", None, 3),
+    }
+    assert {k[1].split(",")[0]: v[0] for k, v in rows.items() if k[0] == "reviews"} == {
+        "r3": "too few cells", "r4": "too many cells", "r6": "unclosed quote",
+    }
+    assert [k[1].split("\n")[-1] for k in rows if k[1].startswith("r6")] == ["r7,o7,5"]
+    # In a plain file the first of two quotes closes a cell.
+    assert sorted((k[1][:3], v) for k, v in rows.items() if k[0] == "sellers") == [
+        ("one", ("too few cells", 1, 3)), ("s3,", ("unclosed quote", None, 3)),
+    ]
+    counts = {r.dataset: tuple(r)[1:] for r in quality.broken_record_counts(records).collect()}
+    assert counts == {"payments": (11, 1, 1, 3), "reviews": (6, 1, 1, 1), "sellers": (4, 1, 0, 1)}
+
+
+def test_broken_records_stay_or_go_whichever_columns_are_read(spark, tmp_path):
+    for name, text in BROKEN.items():
+        (tmp_path / name).write_text(text, encoding="utf-8", newline="")
+    kept = read_dataset(spark, str(tmp_path), "payments")
+    whole = read_dataset(spark, str(tmp_path), "payments", drop_broken=True)
+    assert {r.order_id for r in kept.select("order_id").collect()} - {r.order_id for r in whole.select("order_id").collect()} == {
+        "o2", "o3", "o5",
+    }
+    assert kept.count() == 11 and whole.count() == 8
+
+
+def test_a_refresh_sets_broken_records_aside(spark, raw, tmp_path):
+    records = {name: read_records(spark, raw, name) for name in DATASETS}
+    assert quality.broken_records(records).count() == 0
+    broken = tmp_path / "raw"
+    shutil.copytree(raw, broken)
+    with open(broken / "x_orders_dataset.csv", "a", encoding="utf-8") as out:
+        out.write("o3,c1,delivered\n")
+    run_refresh(spark, str(broken), str(tmp_path / "out"))
+    found = latest(spark, str(tmp_path / "out"))["broken_records"].collect()
+    assert [tuple(r) for r in found] == [("orders", "too few cells", 3, 6, "o3,c1,delivered")]
+
+
 def test_parquet_write_counts_and_replaces(spark, tmp_path):
     path = str(tmp_path / "t")
     assert storage.write_parquet(spark.range(5), path) == 5

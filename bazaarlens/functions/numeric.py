@@ -120,8 +120,33 @@ def exact_sum(value: str) -> Column:
     return F.expr(_exact_sum(value))
 
 
+def exact_mean_sql(value: str) -> str:
+    return f"try_divide({_exact_sum(value)}, count({value}))"
+
+
 def exact_mean(value: str) -> Column:
-    return F.expr(f"try_divide({_exact_sum(value)}, count({value}))")
+    return F.expr(exact_mean_sql(value))
+
+
+def exact_moments(value: str) -> tuple[Column, Column]:
+    """The mean and the standard deviation of a population, the same in every run.
+
+    Values below a million are taken to twelve decimals and added up, as are their squares, as
+    decimals without rounding. Only if there are larger values, or squares beyond 1e14 in all, both come from doubles,
+    whose last bits depend on the order of the rows.
+    """
+    number = f"double({value})"
+    near = f"try_cast({number} AS decimal(18,12))"
+    n = f"double(count({near}))"
+    first, second = f"double(try_sum({near}))", f"double(try_sum({near} * {near}))"
+    mean = f"({first} / nullif({n}, 0D))"
+    # Equal values have no spread at all, not the rounding error of a difference.
+    spread = f"if(min({near}) = max({near}), 0D, sqrt(greatest(0D, {second} / nullif({n}, 0D) - {mean} * {mean})))"
+    whole = f"count({near}) = count({number}) AND {second} IS NOT NULL"
+    return (
+        F.expr(f"if({whole}, {mean}, avg({number}))"),
+        F.expr(f"if({whole}, {spread}, stddev_pop({number}))"),
+    )
 
 
 def settle_doubles(frame: DataFrame, digits: int = 6) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazaarlens.functions.numeric import exact, rounded, rounded_sql
+from bazaarlens.functions.numeric import exact, exact_moments, exact_sum, rounded, rounded_sql
 from bazaarlens.plans.features import CATEGORY
 from bazaarlens.plans.reports import seller_summary
 
@@ -75,8 +75,9 @@ def anomaly_flags(
         )
     )
     # One row per kind and metric, five in all.
+    mean, spread = exact_moments("value")
     baselines = entities.groupBy("entity_type", "metric").agg(
-        F.avg("value").alias("baseline"), F.stddev_pop("value").alias("spread")
+        mean.alias("baseline"), spread.alias("spread")
     )
     z = "((value - baseline) / nullif(spread, 0.0D))"
     action = F.coalesce(
@@ -127,8 +128,8 @@ def business_insights(categories: DataFrame, states: DataFrame) -> DataFrame:
     revenue = "(category_avg_price * category_total_orders)"
     largest = categories.orderBy(F.desc("category_total_orders"), CATEGORY).limit(10)
     overall = states.selectExpr(
-        "try_divide(sum(state_late_rate * state_total_orders), sum(state_total_orders)) AS rate"
-    ).select(exact("rate"))
+        "state_late_rate * state_total_orders AS late", "state_total_orders AS total"
+    ).agg(F.try_divide(exact_sum("late"), F.sum("total")).alias("rate")).select(exact("rate"))
     behind = states.filter(exact("state_late_rate") > overall.scalar())
     answers = [
         _first(

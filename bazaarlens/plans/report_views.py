@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from bazaarlens.functions.numeric import exact_sql, rounded_sql
+from bazaarlens.functions.numeric import exact_mean_sql, exact_sql, rounded_sql
 from bazaarlens.plans.features import CATEGORY
 from bazaarlens.sources.generations import create_view
 
@@ -33,7 +33,7 @@ _ALL_CATEGORIES = (
 #: Each report over the tables of the database ``{db}``.
 REPORTS: dict[str, str] = {
     "seller_summary": (
-        f"SELECT {rounded_sql('avg(seller_avg_review)', 2)} AS avg_review, {_percent('avg(seller_late_rate)')} AS late_pct, "
+        f"SELECT {rounded_sql(exact_mean_sql('seller_avg_review'), 2)} AS avg_review, {_percent(exact_mean_sql('seller_late_rate'))} AS late_pct, "
         "count(*) AS total_sellers, sum(seller_total_orders) AS total_orders FROM {db}.seller_features"
     ),
     "top_sellers_by_review": _top(

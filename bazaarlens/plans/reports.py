@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlens.functions.numeric import exact, percent, rounded
+from bazaarlens.functions.numeric import exact, exact_mean_sql, percent, rounded
 from bazaarlens.plans.features import CATEGORY
 
 
@@ -20,8 +20,8 @@ def _top(table: DataFrame, by: Column, key: str, n: int) -> DataFrame:
 def seller_summary(sellers: DataFrame) -> DataFrame:
     """Platform figures: plain means over sellers, and item rows in all."""
     return sellers.agg(
-        rounded("avg(seller_avg_review)", 2).alias("avg_review"),
-        percent("avg(seller_late_rate)").alias("late_pct"),
+        rounded(exact_mean_sql("seller_avg_review"), 2).alias("avg_review"),
+        percent(exact_mean_sql("seller_late_rate")).alias("late_pct"),
         F.count(F.lit(1)).alias("total_sellers"),
         F.sum("seller_total_orders").alias("total_orders"),
     )

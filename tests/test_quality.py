@@ -1,6 +1,7 @@
 """Malformed numbers and table shapes."""
 
 import math
+import statistics
 from fractions import Fraction
 
 import pandas as pd
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from bazaarlens.functions.numeric import (
     exact,
     exact_mean,
+    exact_moments,
     exact_sum,
     is_not_number,
     percent,
@@ -18,6 +20,7 @@ from bazaarlens.functions.numeric import (
 from bazaarlens.operators import quality
 from bazaarlens.operators.cleaning import payment_agg
 from bazaarlens.operators.rollup import mean, mean_parts, rollup
+from bazaarlens.plans import findings
 
 TEXTS = ["5", " 5 ", "5.5", ".5", "-1e3", "", "bad", "n/a", "NaN", "5d", "5.f", "1.5D", None, "inf"]
 
@@ -88,6 +91,42 @@ def test_sums_carry_where_a_long_would_overflow(spark):
         assert abs(mean_ - exactly[key] / n) <= abs(exactly[key] / n) * Fraction(1, 10**15)
 
 
+def test_moments_are_the_same_to_the_bit_however_rows_are_dealt(spark):
+    def moments(frame):
+        mean, spread = exact_moments("v")
+        return tuple(frame.agg(mean.alias("m"), spread.alias("s")).first())
+
+    values = [((i * 7919) % 1000) / 999 + (i % 3) / 7 for i in range(5000)]
+    frame = spark.createDataFrame([(v,) for v in [*values, None]], "v double")
+    found = {moments(frame.orderBy(F.xxhash64("v", F.lit(n))).repartition(n)) for n in (1, 8, 64)}
+    assert len(found) == 1
+    mean, spread = found.pop()
+    assert math.isclose(mean, statistics.fmean(values), rel_tol=1e-12)
+    assert math.isclose(spread, statistics.pstdev(values), rel_tol=1e-11)
+    assert moments(frame.where("false")) == (None, None)
+    equal = spark.createDataFrame([(0.1,)] * 77, "v double")
+    assert moments(equal) == (0.1, 0.0)
+    large = spark.createDataFrame([(3e9,), (1e9,)], "v double")
+    assert moments(large) == (2e9, 1e9)
+    many = spark.range(200_000).selectExpr("900000D + id % 2 AS v")
+    assert all(math.isclose(a, b, rel_tol=1e-6) for a, b in zip(moments(many), (900000.5, 0.5)))
+
+
+def test_flags_do_not_depend_on_partitions(spark, settings):
+    """Sellers whose z stands at the limit of two deviations: flagged under every partitioning, with one z."""
+    rates = [0.1] * 12 + [0.3] * 12 + [0.2 + 2 * 0.1 * (25 / 21) ** 0.5]
+    rows = [(i, "c", "s", 4.0 + (i % 7) / 10, r, 20, 5.0) for i, r in enumerate(rates)]
+    schema = "seller_id long, seller_city string, seller_state string, seller_avg_review double, seller_late_rate double, seller_total_orders long, seller_avg_price double"
+    none = spark.createDataFrame([], "product_category_name_english string, category_late_rate double, category_avg_review double")
+    states = spark.createDataFrame([], "customer_state string, state_late_rate double")
+    found = set()
+    for parts in (1, 8, 64):
+        sellers = spark.createDataFrame(rows, schema).repartition(parts, "seller_id")
+        flags = findings.anomaly_flags(sellers, none, states, z_min=1.5).collect()
+        found.add(tuple((r.entity_id, r.metric, r.z, r.baseline) for r in flags))
+    assert len(found) == 1 and len(found.pop()) >= 1
+
+
 def test_stored_states_merge_beyond_a_long(spark):
     """A partial far above 2**63 units, merged with others, loses no unit."""
     state = spark.createDataFrame([("s", "9223372036854775807999"), ("s", "1"), ("s", None)], "k string, u string")

@@ -147,13 +147,14 @@ def category_features(data: Datasets, sales: DataFrame | None = None) -> DataFra
 def report_tables(data: Datasets) -> dict[str, DataFrame]:
     """Seller, category and state features, written out once for repeated use.
 
-    The first two come from one pass over the items, aggregated per seller and
-    product.
+    The first two are added up from item rows that are stored once. Measures per
+    seller and product instead would be nearly as many rows, wider ones, where pairs seldom repeat.
     """
-    sales = materialize(sales_by(data, "seller_id", "product_id"), "sales")
+    columns = ("order_id", "product_id", "seller_id", "is_late", "price", "avg_review_score")
+    rows = materialize(item_rows(data).select(*columns), "item_rows")
     tables = {
-        "sellers": seller_features(data, sales),
-        "categories": category_features(data, sales),
+        "sellers": seller_features(data, sales_measures(rows, "seller_id")),
+        "categories": category_features(data, sales_measures(rows, "product_id")),
         "states": customer_features(data),
     }
     return {name: materialize(table, name) for name, table in tables.items()}

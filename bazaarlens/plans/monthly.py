@@ -20,7 +20,7 @@ from bazaarlens.operators.cleaning import clean_orders
 from bazaarlens.operators.rollup import payment_measures, rollup, sales_measures
 from bazaarlens.plans.features import CATEGORY, SELLER_KEYS, features_from_master, features_from_measures
 from bazaarlens.plans.master import Datasets, build_master
-from bazaarlens.plans.refresh import new_run, refuse_other_kind, switch
+from bazaarlens.plans.refresh import for_all, new_run, refuse_other_kind, switch
 from bazaarlens.sources.generations import MONTH, Line, columns_of, last_lines, open_table, run_folder
 from bazaarlens.sources.storage import read_parquet, write_parquet
 
@@ -107,13 +107,15 @@ def refresh_months(
         orders = orders.where(month_of("order_purchase_timestamp").isin(touched) if touched else F.lit(False))
     master = build_master({**data, "orders": orders})
     stored = write("master", master.withColumn(MONTH, month_of("order_purchase_timestamp")))
-    for name, table in by_month(stored).items():
-        write(name, table)
+    for_all(by_month(stored), write)
     held = {name: open_table(spark, out, name, rows) for name, rows in _as_rows(lines).items() if name.endswith("_measures")}
-    for name, table in features_from_measures(**held).items():
-        columns = columns_of(table)
-        write_parquet(table, run_folder(out, name, columns, run))
+
+    def write_whole(name: str, frame: DataFrame) -> None:
+        columns = columns_of(frame)
+        write_parquet(frame, run_folder(out, name, columns, run))
         lines.append(Line(name, run, columns))
+
+    for_all(features_from_measures(**held), write_whole)
     switch(spark, out, run, lines, database)
     return sorted({line.month for line in lines if line.run == run and line.month} | set(touched or ()))
 

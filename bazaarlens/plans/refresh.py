@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,8 +25,6 @@ from bazaarlens.sources.generations import (
 )
 from bazaarlens.sources.storage import read_parquet, write_parquet
 
-FEATURES = ("order_features", "seller_features", "category_features", "customer_features")
-
 
 @dataclass(frozen=True)
 class Refresh:
@@ -42,16 +41,25 @@ def new_run() -> str:
     return f"r{uuid.uuid4().hex}"
 
 
+def for_all(tables: Mapping[str, DataFrame], write: Callable[[str, DataFrame], object]) -> None:
+    """Write independent tables at once: a job fills the cores that the last tasks of another leave idle."""
+    with ThreadPoolExecutor(len(tables)) as pool:
+        for written in [pool.submit(write, name, table) for name, table in tables.items()]:
+            written.result()
+
+
 def switch(spark: SparkSession, out: str, run: str, lines: list[Line], database: str | None) -> None:
     """Add the generation to the log, which moves all readers on; views are made ready before."""
+    if database is None:
+        add_generation(spark, out, run, lines)
+        return
     first = not last_lines(spark, out)
-    if database and not first:
+    if not first:
         publish(spark, out, database, lines)
     add_generation(spark, out, run, lines)
-    if database:
-        if first:
-            publish(spark, out, database, lines)
-        publish_reports(spark, database)
+    if first:
+        publish(spark, out, database, lines)
+    publish_reports(spark, database)
 
 
 def refuse_other_kind(spark: SparkSession, out: str, monthly: bool) -> None:
@@ -86,10 +94,8 @@ def refresh(
 
     write("master", build_master(data))
     master = read_parquet(spark, folders["master"])
-    for name, table in features_from_master(master).items():
-        write(name, table)
-    for name, table in {"duplicate_keys": duplicate_keys(data), **(beside or {})}.items():
-        write(name, table)
+    tables = {**features_from_master(master), "duplicate_keys": duplicate_keys(data), **(beside or {})}
+    for_all(tables, write)
     switch(spark, out, run, lines, database)
     return Refresh(folders, rows)
 

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from fnmatch import fnmatchcase
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
@@ -13,6 +15,10 @@ from pyspark.sql import functions as F
 from bazaarlens.functions.numeric import to_double
 
 
+#: Headers of files that are read at the same time, each by a job that reads one line.
+HEADERS_AT_ONCE = 16
+
+
 @dataclass(frozen=True)
 class Dataset:
     """One raw dataset: its file name pattern and the types of the columns in use.
@@ -86,7 +92,7 @@ def _reader(spark: SparkSession, multiline: bool) -> DataFrameReader:
 
 
 def read_text_csv(
-    spark: SparkSession, path: str, multiline: bool = False, drop_broken: bool = False
+    spark: SparkSession, path: str | list[str], multiline: bool = False, drop_broken: bool = False
 ) -> DataFrame:
     """A headered CSV with every column as text.
 
@@ -149,12 +155,50 @@ def typed(frame: DataFrame, types: Mapping[str, str]) -> DataFrame:
     return frame.select(*(column(name) for name in frame.columns))
 
 
+def united_by_header(
+    spark: SparkSession, path: str, spec: Dataset, drop_broken: bool = False
+) -> DataFrame:
+    """Files with different headers as one table: columns by name, null where a file lacks one.
+
+    The header of every file is read first, a few at a time, and files with one header are read together. A file that
+    lacks a declared column, or has a column twice, is refused by name.
+    """
+    files = [unquote(name) for name in sorted(spark.read.text(path).inputFiles())]
+
+    def header(file: str) -> tuple[str, ...]:
+        first = spark.read.option("header", False).option("multiLine", spec.multiline).csv(file).head()
+        return tuple((cell or "").removeprefix("\ufeff") for cell in first or ())
+
+    with ThreadPoolExecutor(HEADERS_AT_ONCE) as pool:
+        headers = dict(zip(files, pool.map(header, files), strict=True))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, names in headers.items():
+        lacking = set(spec.types) - set(names)
+        if lacking or len(set(names)) < len(names):
+            raise ValueError(f"{file} lacks {sorted(lacking)}" if lacking else f"{file} has a column twice: {names}")
+        groups.setdefault(names, []).append(file)
+    parts = [read_text_csv(spark, group, spec.multiline, drop_broken) for group in groups.values()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def read_dataset(
-    spark: SparkSession, root: str, name: str, raw: bool = False, drop_broken: bool = False
+    spark: SparkSession,
+    root: str,
+    name: str,
+    raw: bool = False,
+    drop_broken: bool = False,
+    mixed_headers: bool = False,
 ) -> DataFrame:
-    """One raw dataset below ``root``; with ``raw``, all columns stay text."""
+    """One raw dataset below ``root``; with ``raw``, all columns stay text.
+
+    With ``mixed_headers`` its files may have their columns in any order, and some may have more of them.
+    """
     spec = DATASETS[name]
-    text = read_text_csv(spark, f"{root}/{spec.pattern}", spec.multiline, drop_broken)
+    path = f"{root}/{spec.pattern}"
+    if mixed_headers:
+        text = united_by_header(spark, path, spec, drop_broken)
+    else:
+        text = read_text_csv(spark, path, spec.multiline, drop_broken)
     found = publishers(text, spec.pattern)
     if len(found) > 1:
         raise ValueError(f"several files or folders match {spec.pattern}: {sorted(found)}")
@@ -167,6 +211,9 @@ def read_datasets(
     names: Iterable[str] = tuple(DATASETS),
     raw: bool = False,
     drop_broken: bool = False,
+    mixed_headers: bool = False,
 ) -> dict[str, DataFrame]:
     """The raw datasets by logical name."""
-    return {name: read_dataset(spark, root, name, raw, drop_broken) for name in names}
+    return {
+        name: read_dataset(spark, root, name, raw, drop_broken, mixed_headers) for name in names
+    }

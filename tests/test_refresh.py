@@ -1,5 +1,8 @@
 """The full refresh: files, counts, catalog tables and the command line."""
 
+import glob
+
+import pyarrow.parquet as pq
 import pytest
 from conftest import SF_SMALL, multiset
 from test_sources import raw  # noqa: F401
@@ -69,6 +72,26 @@ def test_tables_do_not_depend_on_the_number_of_partitions(spark, settings, tmp_p
     assert found[0] == found[1]
 
 
+def test_a_lookup_reads_few_row_groups_of_a_clustered_master(spark, settings, tmp_path):
+    settings(spark__sql__shuffle__partitions="60", spark__sql__adaptive__coalescePartitions__enabled="false")
+    data = star_datasets(spark, "/root/testdata/sf0.01")
+    result = refresh(spark, data, str(tmp_path / "out"), cluster_by=("seller_id", "order_id"))
+    groups = []
+    for file in glob.glob(f"{result.folders['master']}/*.parquet"):
+        stored = pq.ParquetFile(file)
+        at = stored.schema_arrow.names.index("seller_id")
+        for n in range(stored.num_row_groups):
+            groups.append(stored.metadata.row_group(n).column(at).statistics)
+    sellers = [r[0] for r in data["sellers"].select("seller_id").limit(20).collect()]
+    assert len(groups) >= 50
+    for seller in sellers:
+        hit = sum(g.has_min_max and g.min <= seller <= g.max for g in groups)
+        assert hit < len(groups) / 10
+    assert multiset(result.tables(spark)["master"].select("order_id", "price")) == multiset(
+        build_master(data).select("order_id", "price")
+    )
+
+
 def test_long_reports_are_written_in_full(spark, golden, tmp_path, capsys):
     names = spark.range(150).selectExpr(
         "concat('n', id) AS product_category_name", "concat('e', id) AS product_category_name_english"

@@ -92,6 +92,26 @@ def test_a_file_with_other_columns_fails(spark, tmp_path):
         read_dataset(spark, str(tmp_path), "sellers").collect()
 
 
+def test_files_with_other_headers_are_united_by_name(spark, tmp_path):
+    folder = tmp_path / "x_sellers_dataset.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("seller_id,seller_city,seller_state\ns1,campinas,SP\n")
+    (folder / "b.csv").write_text("\ufeffseller_state,seller_id,seller_city\nIT,s2,rome\nFR,s3,\n", encoding="utf-8")
+    (folder / "c.csv").write_text("seller_id,seller_zip,seller_city,seller_state\ns4,00100,lima,PE\n")
+    (folder / "d e.csv").write_text("seller_id,seller_city,seller_state\ns5,oslo,NO\n")
+    found = read_dataset(spark, str(tmp_path), "sellers", mixed_headers=True)
+    assert sorted(tuple(r) for r in found.select("seller_id", "seller_city", "seller_state", "seller_zip").collect()) == [
+        ("s1", "campinas", "SP", None), ("s2", "rome", "IT", None), ("s3", None, "FR", None),
+        ("s4", "lima", "PE", "00100"), ("s5", "oslo", "NO", None),
+    ]
+    for text, message in (
+        ("seller_id,city,seller_state\ns6,x,y\n", "lacks"), ("seller_id,seller_city,seller_state,seller_id\n", "twice"), ("", "lacks"),
+    ):
+        (folder / "e.csv").write_text(text)
+        with pytest.raises(ValueError, match=message):
+            read_dataset(spark, str(tmp_path), "sellers", mixed_headers=True)
+
+
 def test_two_publishers_fail(spark, tmp_path):
     for name in ("a", "b"):
         (tmp_path / f"{name}_sellers_dataset.csv").write_text("seller_id\ns1\n")

@@ -10,7 +10,7 @@
   pieces of all its open sequences, a certified one those of its emptiest open sequence. The
   pooled pieces are dealt anew and packed again, in fewer partitions each time, and the
   new packing holds if it needs fewer sequences. This ends when the pool was one
-  partition or nothing was gained.
+  partition, or when two fresh deals in a row gained nothing.
 * Pieces may have places in a mix. Then partitions are ranges of places instead of hashes, pieces
   of one length are packed in order of their places, and sequences are numbered from 0 by the
   place of their first piece. So a sequence holds pieces of one stretch of the mix, as long as a
@@ -44,7 +44,6 @@ LENGTH = 1024
 END_ID = 2
 #: Pieces that a partition packs at once.
 PARTITION = 50_000
-ROUNDS = 6
 PIECE_NAMES = ["doc_id", "piece", "start", "length", "ids_crc32"]
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long, fill long, n_bins long, bound long, emptiest boolean"
@@ -185,6 +184,12 @@ def in_order(frame: DataFrame, name: str) -> DataFrame:
     return numbered(first.withColumn("_all", F.lit(0)), "_all", cell, name).drop("_all")
 
 
+def by_row(pieces: DataFrame, partitions: int, turn: int) -> DataFrame:
+    """The pieces with the ``task`` that packs them, equal ones dealt to all: each row counts by its place in the stored table."""
+    row = F.monotonically_increasing_id()
+    return pieces.withColumn("task", F.pmod(F.xxhash64(*pieces.columns, row, F.lit(turn)), F.lit(partitions)))
+
+
 def pack_once(pieces: DataFrame, partitions: int, turn: int, length: int = LENGTH) -> DataFrame:
     """Deal the pieces to partitions and pack each: the columns of PACKED, and ``position`` if there is one."""
     names = pieces.columns
@@ -198,8 +203,8 @@ def pack_once(pieces: DataFrame, partitions: int, turn: int, length: int = LENGT
         bound = lower_bound(lengths, length)
         bins, offsets = best_fit(lengths, length)
         fill = np.bincount(bins, weights=lengths).astype(np.int64)
-        # Odd, so that full pieces can have the even numbers.
-        numbers = ((bins << 24 | task) << 4 | turn) * 2 + 1
+        # Odd, so that full pieces can have the even numbers. Every round gains, so 2**12 are far more than there are.
+        numbers = ((bins << 24 | task) << 12 | turn) * 2 + 1
         return {name: rows.column(name).to_pylist() for name in names} | {
             "sequence_id": numbers.tolist(),
             "offset": offsets.tolist(),
@@ -214,7 +219,7 @@ def pack_once(pieces: DataFrame, partitions: int, turn: int, length: int = LENGT
         dealt = in_order(pieces, "_rank")
         dealt = dealt.withColumn("task", F.floor(F.col("_rank") * partitions / rows).cast("long")).drop("_rank")
     else:
-        dealt = pieces.withColumn("task", F.pmod(F.xxhash64(*names, F.lit(turn)), F.lit(partitions)))
+        dealt = by_row(pieces, partitions, turn)
     return by_group(dealt, "task", each, PACKED + ", position long" if places else PACKED)
 
 
@@ -228,18 +233,23 @@ def pack(pieces: DataFrame, length: int = LENGTH, partition: int = PARTITION) ->
     ).withColumn("offset", F.lit(0).cast("long"))
     pool = pieces.where(F.col("length") < length)
     columns, done, before = pieces.columns, [], None
-    for turn in range(ROUNDS):
+    turn = idle = 0
+    while True:
         partitions = max(1, -(-pool.count() // partition))
         packed = materialize(pack_once(pool.select(*columns), partitions, turn, length), "packing-round")
+        turn += 1
         if before is not None:
-            old = before.agg(F.count_distinct("sequence_id")).first()[0]
-            if packed.agg(F.count_distinct("sequence_id")).first()[0] >= old:
+            old, new = (p.agg(F.count_distinct("sequence_id")).first()[0] for p in (before, packed))
+            idle = idle + 1 if new >= old else 0
+            if idle == 2:
                 done.append(before)
                 break
+            if idle:
+                continue
         open_now = (F.col("fill") < length) & ((F.col("n_bins") > F.col("bound")) | F.col("emptiest"))
         done.append(packed.where(~open_now))
         before = pool = packed.where(open_now)
-        if partitions == 1 or turn == ROUNDS - 1:
+        if partitions == 1:
             done.append(before)
             break
     out = full

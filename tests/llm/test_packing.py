@@ -140,3 +140,25 @@ def test_empty_table(spark):
 def test_cuts(n):
     at = packing.cut(n)
     assert at[0] == 0 and at[-1] == n and all(0 < b - a <= 1024 for a, b in zip(at, at[1:]))
+
+
+def test_equal_rows_are_dealt_to_all_partitions(spark):
+    """A third of the pieces agree in everything, doc_id too."""
+    rows = spark.range(0, 60_000, 1, 8).selectExpr(
+        "if(id % 3 = 0, NULL, id) AS doc_id", "0 AS piece", "0L AS start", "if(id % 3 = 0, 7L, id % 900 + 1) AS length", "5L AS ids_crc32"
+    )
+    sizes = [r["count"] for r in packing.by_row(rows, 12, 3).groupBy("task").count().collect()]
+    assert len(sizes) == 12 and max(sizes) < 1.1 * 60_000 / 12
+
+
+def test_exchanges_go_on_until_nothing_is_gained(spark):
+    """Partitions of a few hundred pieces, in more rounds than one: near the packing of all at once."""
+    draw = np.random.default_rng(8)
+    lengths = draw.integers(300, 724, 3000)
+    rows = [(i, 0, 0, int(n), i) for i, n in enumerate(lengths)]
+    pieces = spark.createDataFrame(rows, packing.PIECES).repartition(4)
+    found = packing.pack(pieces, partition=400).collect()
+    assert sorted(r.doc_id for r in found) == list(range(3000))
+    n = check_packing(found, packing.LENGTH)
+    alone = len(set(packing.best_fit(lengths)[0].tolist()))
+    assert packing.lower_bound(lengths) <= n <= alone * 1.03

@@ -142,9 +142,10 @@ def affected(plan: Iterable[tuple[int, int, int, int]]) -> set[int]:
     return {s for old, _, new, _ in plan if old != new for s in (old, new)}
 
 
-def reshard(docs: DataFrame, old_shard: Column, shards: int = SHARDS) -> DataFrame:
+def reshard(docs: DataFrame, old_shard: Column, shards: int = SHARDS, carry: bool = False) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, size, text_crc32, law, shard, slot,
-    grown_shard, old_shard."""
+    grown_shard, old_shard. With ``carry`` also ``row``, all columns of ``docs``, for :func:`rewrite`."""
+    whole = [F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row")] if carry else []
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     size = F.octet_length(raw).cast("long") + 1
     rows = materialize(
@@ -153,6 +154,7 @@ def reshard(docs: DataFrame, old_shard: Column, shards: int = SHARDS) -> DataFra
             size.alias("size"),
             F.crc32(raw).alias("text_crc32"),
             old_shard.cast("int").alias("old_shard"),
+            *whole,
         ).withColumn("class", F.floor(F.log2("size")).cast("int")),
         "reshard-sizes",
     )
@@ -188,30 +190,31 @@ def reshard(docs: DataFrame, old_shard: Column, shards: int = SHARDS) -> DataFra
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
         "old_shard",
+        *(["row"] if carry else []),
     )
 
 
-def rewrite(docs: DataFrame, placed: DataFrame, path: str) -> list[int]:
-    """Write the affected shards of ``docs`` (rows of ``reshard``, unique by doc_id and text)
-    to ``path``/shard=N in the order of their slots, and return them.
+def rewrite(placed: DataFrame, path: str) -> tuple[str, list[int]]:
+    """Write the affected shards of ``reshard(..., carry=True)`` to ``path``, one folder ``shard=N`` each, rows in
+    the order of their slots. Returns the name of the folders and the affected shards.
 
-    Shards that are not among them keep their old files. A shard that is given up is among
-    them without a folder.
+    Rows were carried along, so repeated ones are written as often as they are there. Files hold the columns of
+    the documents; if one of them is called ``shard``, the folders take the name with underscores in front. Shards that
+    are not affected keep their old files. A shard that is given up is among them without a folder.
     """
+    placed = materialize(placed, "reshard-rows")
     moves = placed.where("old_shard <> shard")
     changed = sorted(
         {s for r in moves.select("old_shard", "shard").distinct().collect() for s in r}
     )
-    rows = docs.withColumn("_crc", F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
-    keys = placed.where(F.col("shard").isin(changed)).select(
-        F.col("doc_id").alias("_id"), F.col("text_crc32").alias("_sum"), "shard", "slot"
-    )
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_crc") == F.col("_sum"))
-    out = rows.join(keys, same).drop("_id", "_sum", "_crc")
-    out.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").drop("slot").write.mode(
-        "overwrite"
-    ).partitionBy("shard").parquet(path)
-    return changed
+    columns = [f.name for f in placed.schema["row"].dataType.fields]
+    folder = "shard"
+    while folder.lower() in {c.lower() for c in columns}:
+        folder = f"_{folder}"
+    ordered = placed.where(F.col("shard").isin(changed)).repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
+    out = ordered.select(*(F.col("row").getField(c).alias(c) for c in columns), F.col("shard").alias(folder))
+    out.write.mode("overwrite").partitionBy(folder).parquet(path)
+    return folder, changed
 
 
 def by_source(source: Column, shards: int = OLD_SHARDS) -> Column:

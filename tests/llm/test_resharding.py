@@ -5,7 +5,7 @@ import random
 import zlib
 
 import pytest
-from llm_cases import awkward, documents
+from llm_cases import awkward, documents, rows_of
 from pyspark.sql import functions as F
 
 from bazaarlens.llm import resharding
@@ -65,15 +65,34 @@ def test_rows_and_slots(spark):
 def test_affected_shards_are_written_and_others_are_not(spark, tmp_path):
     docs = documents(spark, [(n, f"text {n}") for n in range(90)])
     old = F.when(F.col("doc_id") < 30, 0).when(F.col("doc_id") < 70, 1).otherwise(2)
-    placed = resharding.reshard(docs, old, 3)
+    placed = resharding.reshard(docs, old, 3, carry=True)
     path = str(tmp_path / "shards")
-    assert resharding.rewrite(docs, placed, path) == [1, 2]
+    assert resharding.rewrite(placed, path) == ("shard", [1, 2])
     back = spark.read.parquet(path)
     assert back.count() == 60
     want = {r.doc_id: r.shard for r in placed.collect()}
     assert {r.doc_id: r["shard"] for r in back.collect()} == {k: v for k, v in want.items() if v != 0}
 
 
+def test_repeated_rows_and_clashing_names_are_written_exactly_once(spark, tmp_path):
+    """Old and new files together hold every row as often as it was there, all columns as they were."""
+    rows = [(i if i % 5 else 7, "same text" if i % 3 == 0 else "x" * (i % 40)) for i in range(300)] + [(None, None)] * 40
+    docs = awkward(documents(spark, rows)).withColumns({n: F.lit(n) for n in ("shard", "Slot", "_id", "_sum", "_crc", "row", "old_shard", "_shard")})
+    old = F.when(F.length(F.coalesce("text", F.lit(""))) < 10, 0).when(F.col("doc_id") < 150, 1).otherwise(2)
+    placed = resharding.reshard(docs, old, 4, carry=True)
+    path = str(tmp_path / "shards")
+    folder, changed = resharding.rewrite(placed, path)
+    assert folder == "__shard" and 3 in changed
+    written = spark.read.parquet(path)
+    kept = placed.where(~F.col("shard").isin(changed)).select("row.*")
+    whole = written.drop(folder).select(*docs.columns).union(kept.select(*docs.columns))
+    assert rows_of(whole) == rows_of(docs)
+    sizes = {r[0]: r[1] for r in placed.groupBy("shard").count().collect()}
+    assert {r[0]: r[1] for r in written.groupBy(folder).count().collect()} == {s: n for s, n in sizes.items() if s in changed}
+    moved = {s for r in placed.where("old_shard <> shard").select("old_shard", "shard").collect() for s in r}
+    assert set(changed) == moved
+
+
 def test_empty_table(spark):
     docs = documents(spark, [])
     assert resharding.reshard(docs, F.lit(0), 4).count() == 0

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bazaarlens.llm.components import components
-from bazaarlens.llm.frames import Batches, Columns, by_batch, by_group
+from bazaarlens.llm.frames import Batches, Columns, by_batch, by_group, fresh
 from bazaarlens.llm.words import mix, shingle_sets
 from bazaarlens.sources.storage import materialize
 
@@ -197,8 +197,9 @@ def hubs(members: DataFrame) -> DataFrame:
     middle = top.groupBy("group").agg(places.alias("m")).select("group", F.col("m.value").alias("middle"))
     best = F.max(F.struct(agreement("least", "middle").alias("like"), "set_id", "least")).alias("best")
     return (
-        members.join(middle, "group")
-        .groupBy("group")
+        members.join(fresh(middle, "group"), "group")
+        # Grouped by a new key too: the join's own partitioning would keep a hot group in one task.
+        .groupBy(F.greatest("group", "group").alias("group"))
         .agg(best)
         .select("group", F.col("best.set_id").alias("hub"), F.col("best.least").alias("hub_least"))
     )
@@ -215,12 +216,12 @@ def crossed(members: DataFrame, linked: DataFrame) -> DataFrame:
     task = F.concat_ws(":", "group", "row", "column").alias("task")
     others = [c for c in members.columns if c not in ("group", "blocks")]
     left = (
-        alone.join(sizes, "group")
+        alone.join(fresh(sizes, "group"), "group")
         .withColumn("row", F.pmod(F.xxhash64("set_id", F.lit(5)), F.col("rows")))
         .withColumn("column", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     )
     right = (
-        members.join(sizes, "group")
+        members.join(fresh(sizes, "group"), "group")
         .withColumn("column", F.pmod(F.xxhash64("set_id", F.lit(7)), F.col("blocks")))
         .withColumn("row", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)))
     )
@@ -239,7 +240,7 @@ def leaves(sets: DataFrame) -> DataFrame:
         rows = rows.withColumn(f"step{level}", F.col("path")[level])
         path.append(f"step{level}")
         sizes = rows.groupBy(path).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        rows = materialize(rows.drop("n").join(sizes, path), f"near-level{level}")
+        rows = materialize(rows.drop("n").join(fresh(sizes, path[-1]), path), f"near-level{level}")
         last = level == LEVELS - 1
         ended = F.lit(True) if last else F.col("n") <= LEAF
         leaf = F.concat_ws(":", F.lit(level), F.hex(F.xxhash64(*path)))
@@ -283,7 +284,7 @@ def confirmed_links(docs: DataFrame, sets: DataFrame, families: DataFrame, perce
             F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)
         ).alias("blocks"),
     )
-    light = materialize(members.join(sizes, "group"), "near-sizes")
+    light = materialize(members.join(fresh(sizes, "group"), "group"), "near-sizes")
     keys = light.select("group", "set_id", "blocks", F.col("doc_id").alias("_id"))
     texts = docs.select("doc_id", "text").join(keys, F.col("_id").eqNullSafe(F.col("doc_id")))
     texts = materialize(texts.select("group", "set_id", "blocks", "text"), "near-texts")

@@ -9,13 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bazaarlens.llm.frames import fresh
 from bazaarlens.sources.storage import materialize
 
 
 def _smallest(edges: DataFrame) -> DataFrame:
     """Edges (u, v) with the least of u and its neighbours beside them."""
     least = edges.groupBy("u").agg(F.min("v").alias("least"))
-    return edges.join(least.withColumn("least", F.least("u", "least")), "u")
+    return edges.join(fresh(least.withColumn("least", F.least("u", "least")), "u"), "u")
 
 
 def components(edges: DataFrame) -> DataFrame:

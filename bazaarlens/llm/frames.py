@@ -59,14 +59,6 @@ def by_batch(frame: DataFrame, run: Callable[[Batches], Iterator[Columns]], sche
     return frame.mapInArrow(typed, schema)
 
 
-def fresh(frame: DataFrame, key: str) -> DataFrame:
-    """The same rows with a key that Spark takes for a new one, for the side of a join that was aggregated by it.
-
-    That side is then shuffled for the join alone, which lets adaptive execution split the other side's hot keys.
-    """
-    return frame.withColumn(key, F.greatest(key, key))
-
-
 def bounded_sample(frame: DataFrame, most: int, *key: str) -> DataFrame:
     """At most ``most`` rows, chosen by the hash of their key from all of them."""
     share = min(1.0, 2.0 * most / max(frame.count(), 1))

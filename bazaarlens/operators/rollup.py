@@ -30,14 +30,14 @@ def flag_parts(name: str, value: str, weight: str = "1") -> list[str]:
     ]
 
 
-def sales_measures(rows: DataFrame, *keys: str) -> DataFrame:
-    """Master rows as addable measures: orders, late, price and review."""
+def sales_measures(rows: DataFrame, *keys: str, weight: str = "1") -> DataFrame:
+    """Item rows as addable measures: orders, late, price and review; ``weight`` is the master rows of one."""
     return rows.selectExpr(
         *keys,
-        "bigint(order_id IS NOT NULL) AS orders_n",
-        *flag_parts("late", "is_late"),
-        *mean_parts("price", "price"),
-        *mean_parts("review", "avg_review_score"),
+        f"bigint(if(order_id IS NOT NULL, {weight}, 0)) AS orders_n",
+        *flag_parts("late", "is_late", weight),
+        *mean_parts("price", "price", weight),
+        *mean_parts("review", "avg_review_score", weight),
     )
 
 

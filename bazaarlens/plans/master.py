@@ -14,6 +14,7 @@ from bazaarlens.operators.cleaning import (
     with_delivery,
 )
 from bazaarlens.operators.joins import left_join_many
+from bazaarlens.operators.repeats import Copies, with_copies
 
 Datasets = Mapping[str, DataFrame]
 
@@ -55,9 +56,13 @@ def order_rows(data: Datasets) -> DataFrame:
     )
 
 
-def item_rows(data: Datasets) -> DataFrame:
-    """Master rows before lookups: one per item, and one per order without items."""
-    return left_join_many(order_rows(data), data["order_items"], "order_id")
+def item_rows(data: Datasets, copies: Copies | None = None) -> DataFrame:
+    """Master rows before lookups: one per item, and one per order without items.
+
+    With ``copies``, each has the copies of its keys beside it, looked up before items meet orders.
+    """
+    orders, items = with_copies(order_rows(data), copies), with_copies(data["order_items"], copies)
+    return left_join_many(orders, items, "order_id")
 
 
 def build_master(data: Datasets) -> DataFrame:

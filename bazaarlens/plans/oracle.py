@@ -208,11 +208,26 @@ _VIEWS = {
 }
 
 
-def _sql(final: str) -> str:
-    views = ",\n".join(f"{name} AS ({body})" for name, body in _VIEWS.items())
+def _sql(final: str, **other: str) -> str:
+    views = ",\n".join(f"{name} AS ({body})" for name, body in (_VIEWS | other).items())
     return f"WITH {views}\n{final}"
 
 
+def _repeated(view: str, rows: str, copies: int = 2) -> str:
+    """A view in which the rows of a condition stand ``copies`` times."""
+    again = f" UNION ALL SELECT * FROM ({_VIEWS[view]}) WHERE {rows}"
+    return f"SELECT * FROM ({_VIEWS[view]})" + again * (copies - 1)
+
+
+_REPEATING = {
+    "fx_orders": _repeated("fx_orders", "order_id % 7 = 0"),
+    "fx_customers": _repeated("fx_customers", "customer_id % 4 = 0"),
+    "fx_products": _repeated("fx_products", "product_id % 5 < 2"),
+    "fx_sellers": _repeated("fx_sellers", "seller_id % 3 = 0", 3),
+    "fx_category": _repeated("fx_category", "product_category_name_english LIKE 'B%'"),
+}
+
+
 def _row_counts(label: str, **tables: str) -> str:
     return " UNION ALL ".join(
         f"SELECT '{name}' AS {label}, COUNT(*) AS row_count FROM {table}"
@@ -562,4 +577,7 @@ _FINAL |= {
     ),
 }
 
-ORACLE_SQL: dict[str, str] = {name: _sql(final) for name, final in _FINAL.items()}
+ORACLE_SQL: dict[str, str] = {
+    **{name: _sql(final) for name, final in _FINAL.items()},
+    "weighted_features": _sql(_LONG_TABLES, **_REPEATING),
+}

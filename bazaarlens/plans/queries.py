@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from bazaarlens.functions.numeric import settle_doubles
 from bazaarlens.operators import cleaning, quality
+from bazaarlens.operators.repeats import repeated_keys
 from bazaarlens.plans import features, findings, reports
 from bazaarlens.plans.master import MASTER_COLUMNS, Datasets, build_master
 from bazaarlens.plans.monthly import refresh_months
@@ -191,6 +192,35 @@ def _numbers(tables: Mapping[str, DataFrame]) -> DataFrame:
     return settle_doubles(reduce(DataFrame.unionByName, long))
 
 
+#: Rows that stand twice, three times in sellers, in datasets with repeated keys.
+REPEATED = {
+    "orders": "order_id % 7 = 0",
+    "customers": "customer_id % 4 = 0",
+    "products": "product_id % 5 < 2",
+    "sellers": "seller_id % 3 = 0",
+    "category": "product_category_name_english LIKE 'B%'",
+}
+
+
+def _repeating(data: Datasets) -> Datasets:
+    more = {name: data[name].where(rows) for name, rows in REPEATED.items()}
+    more["sellers"] = more["sellers"].union(more["sellers"])
+    return {**data, **{name: data[name].union(rows) for name, rows in more.items()}}
+
+
+def weighted_features(spark: SparkSession, folder: str) -> DataFrame:
+    """Every number of the feature tables where keys repeat in five datasets, without master."""
+    data = _repeating(star_datasets(spark, folder))
+    copies = repeated_keys(data)
+    tables = {
+        "order_features": features.order_features(data, copies),
+        "seller_features": features.seller_features(data, copies=copies),
+        "category_features": features.category_features(data, copies=copies),
+        "customer_features": features.customer_features(data, copies),
+    }
+    return _numbers(tables)
+
+
 def csv_refresh(spark: SparkSession, folder: str) -> DataFrame:
     """The nine datasets as raw CSV, read and refreshed: every number of the feature tables."""
     root, out = scratch_path(spark, "csv"), scratch_path(spark, "refresh")
@@ -357,6 +387,7 @@ QUERIES: dict[str, Query] = {
     "csv_refresh": csv_refresh,
     "incremental_refresh": incremental_refresh,
     "merged_features": merged_features,
+    "weighted_features": weighted_features,
     "published_tables": published_tables,
     "report_views": report_views,
     **{f"refreshed_{name}": refreshed(name) for name in DERIVED if name != "order_features"},

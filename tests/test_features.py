@@ -5,6 +5,7 @@ from conftest import SF_CHECK, multiset
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from bazaarlens.operators.repeats import repeated_keys
 from bazaarlens.plans import features
 from bazaarlens.plans.master import build_master
 from bazaarlens.sources.star import star_datasets
@@ -131,3 +132,48 @@ def test_missing_order_ids_count_as_rows_but_not_as_orders(spark, golden):
     for name, table in direct(data).items():
         assert multiset(table) == multiset(from_master[name]), name
     assert by_key(from_master["customer_features"])["AL"][0] == 1
+
+
+def weighted(data):
+    copies = repeated_keys(data)
+    tables = features.report_tables(data, copies)
+    return {
+        "order_features": [features.order_features(data, copies)],
+        "seller_features": [features.seller_features(data, copies=copies), tables["sellers"]],
+        "category_features": [features.category_features(data, copies=copies), tables["categories"]],
+        "customer_features": [features.customer_features(data, copies), tables["states"]],
+    }
+
+
+@pytest.mark.parametrize("name", ["orders", "customers", "products", "sellers", "category", "all", "none"])
+def test_repeated_keys_count_as_often_as_in_master(golden, name):
+    data = dict(golden)
+    for each in ("orders", "customers", "products", "sellers", "category"):
+        if name in (each, "all"):
+            rows = golden[each]
+            data[each] = rows.union(rows).union(rows.limit(1))
+    master = build_master(data)
+    from_master = features.features_from_master(master)
+    for table, found in weighted(data).items():
+        for frame in found:
+            assert multiset(frame) == multiset(from_master[table]), table
+    window = features.seller_features_window(data, repeated_keys(data))
+    means = from_master["seller_features"].drop("seller_city", "seller_state")
+    beside = master.select("order_id", "product_id", "seller_id").alias("m").join(
+        means.withColumnRenamed("seller_id", "mean_of"), F.expr("seller_id <=> mean_of")
+    )
+    assert multiset(window) == multiset(beside.drop("mean_of"))
+
+
+def test_orders_with_one_key_and_other_customers_weigh_by_their_customers(golden):
+    data = dict(golden)
+    other = golden["orders"].where("order_id = 'o1'").withColumns(
+        {"customer_id": F.lit("c2"), "order_delivered_customer_date": F.expr("order_delivered_customer_date - INTERVAL 9 DAY")}
+    )
+    data["orders"] = golden["orders"].union(other)
+    data["customers"] = golden["customers"].union(golden["customers"].where("customer_id = 'c2'"))
+    data["payments"] = golden["payments"].where("order_id <> 'o1'")
+    from_master = features.features_from_master(build_master(data))
+    for table, found in weighted(data).items():
+        for frame in found:
+            assert multiset(frame) == multiset(from_master[table]), table

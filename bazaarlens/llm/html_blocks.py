@@ -15,8 +15,8 @@ from other pages are put in, so that paths, places and context all count.
 
 Defined cases: a null or empty html gives an empty text, as does a page without blocks. Unclosed
 and crossed tags are closed where HTML says or at the end. An unclosed head or title ends at the first
-tag or text that has no place in a head, and an object or canvas that nothing closes hides no
-text. Null urls and page_ids are values like others, repeated rows are read alike, and other
+tag or text that has no place in a head, and an object, canvas, noscript or svg that nothing closes hides no
+text; an svg ends at a block-level tag too, unless in a foreignObject, and may close itself. Null urls and page_ids are values like others, repeated rows are read alike, and other
 columns are ignored. If there are no pages, there are no rows.
 """
 
@@ -25,7 +25,9 @@ from __future__ import annotations
 import html
 import io
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections import Counter
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -62,8 +64,9 @@ BLOCKS = frozenset(
 )
 #: Elements that do not end a head.
 HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
-#: Hidden elements that hide nothing if no tag closes them.
+#: Hidden elements that hide nothing if no tag closes them; of the last two, all up to the tag is skipped.
 FALLBACK = frozenset(("object", "canvas"))
+SKIPPED = frozenset(("noscript", "svg"))
 #: An element closes open ones of these kinds when it begins.
 CLOSES = {
     "li": {"li"}, "option": {"option"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
@@ -78,28 +81,56 @@ OTHER_WORDS = frozenset(
     "comment comments reply replies cookie consent notice alert popup modal share social related recommended "
     "newsletter subscribe login search breadcrumb breadcrumbs pagination pager legal copyright widget toolbar".split()
 )
-_RAW = r"<(?P<raw>script|style|noscript|template|textarea|svg|iframe)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+_RAW = r"<(?P<raw>script|style|template|textarea|iframe)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
 #: A title that is closed before its head is.
 _TITLE = r"<title(?=[\s/>])[^>]*+>(?:(?!</?(?:title|head|body)[\s/>]).)*+</title\s*>"
 #: A quote opens a value straight after "=" only; elsewhere it is a character like others.
 _TAG = r"""<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:=\s*+(?:"[^"]*"|'[^']*'|[^\s>]*+)|[^>=])*+)>"""
 _TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<[!?][^>]*>|{_TITLE}|{_RAW}|{_TAG}", re.S | re.I)
-_END = re.compile(r"</(object|canvas)(?=[\s/>])", re.I)
+_END = re.compile(r"</(object|canvas|noscript|svg)(?=[\s/>])[^>]*>?", re.I)
+#: What ends an svg from inside, or lets it hold other elements.
+_BREAKOUT = re.compile(rf"<(foreignobject|{'|'.join(sorted(BLOCKS))})(?=[\s/>])", re.I)
 _MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _SIGNS = re.compile(r"[.,;:!?]")
 
 
+@dataclass(frozen=True, eq=False, slots=True)
+class Spot:
+    """A place in the tree of a page: the marks of an element, and the place of the one around it."""
+
+    above: Spot | None
+    marks: tuple[str, ...]
+
+    def path(self) -> tuple[str, ...]:
+        parts, spot = [], self
+        while spot is not None:
+            parts.append(spot.marks)
+            spot = spot.above
+        return tuple(mark for marks in reversed(parts) for mark in marks)
+
+
 @dataclass
 class Block:
-    path: tuple[str, ...]
+    """A leaf block. Of a training block ``text`` is cut, ``size`` and ``linked`` are those of all of it."""
+
+    spot: Spot | None
     text: str
     linked: int
+    size: int
+
+    @property
+    def path(self) -> tuple[str, ...]:
+        return self.spot.path() if self.spot else ()
 
 
 def blocks_of(page: str | None) -> list[Block]:
-    """The leaf blocks of a page in order, white space settled and references decoded."""
+    """The leaf blocks of a page in order, white space settled and references decoded.
+
+    Blocks share the places above them, so deep pages cost no more than flat ones.
+    """
     found: list[Block] = []
-    open_tags: list[tuple[str, tuple[str, ...]]] = []
+    open_tags: list[tuple[str, Spot]] = []
+    is_open: Counter[str] = Counter()
     held: list[str] = []
     links = hidden = linked = at = 0
 
@@ -108,8 +139,7 @@ def blocks_of(page: str | None) -> list[Block]:
         if held:
             text = " ".join(html.unescape("".join(held)).split())
             if text:
-                path = tuple(mark for _, marks in open_tags for mark in marks)
-                found.append(Block(path, text, linked))
+                found.append(Block(open_tags[-1][1] if open_tags else None, text, linked, len(text)))
             held.clear()
         linked = 0
 
@@ -118,14 +148,14 @@ def blocks_of(page: str | None) -> list[Block]:
         if any(name in BLOCKS for name, _ in open_tags[depth:]):
             flush()
         for name, _ in open_tags[depth:]:
+            is_open[name] -= 1
             links -= name == "a"
             hidden -= name in HIDDEN_TEXT
         del open_tags[depth:]
 
     def leave_head() -> None:
-        depth = next((i for i, (name, _) in enumerate(open_tags) if name in ("head", "title")), None)
-        if depth is not None:
-            close(depth)
+        if is_open["head"] or is_open["title"]:
+            close(next(i for i, (name, _) in enumerate(open_tags) if name in ("head", "title")))
 
     def hear(text: str) -> None:
         nonlocal linked
@@ -137,8 +167,17 @@ def blocks_of(page: str | None) -> list[Block]:
                 linked += len(text)
 
     page = page or ""
-    ends = {end[1].lower(): end.start() for end in _END.finditer(page)}
-    for token in _TOKEN.finditer(page):
+    ends: dict[str, list[tuple[int, int]]] = {}
+    for end in _END.finditer(page):
+        ends.setdefault(end[1].lower(), []).append(end.span())
+
+    def next_end(name: str) -> tuple[int, int] | None:
+        """Where the next tag that closes such an element begins and ends."""
+        known = ends.get(name, [])
+        nth = bisect_left(known, (at, 0))
+        return known[nth] if nth < len(known) else None
+
+    while token := _TOKEN.search(page, at):
         hear(page[at : token.start()])
         at = token.end()
         name = (token["name"] or "").lower()
@@ -149,9 +188,8 @@ def blocks_of(page: str | None) -> list[Block]:
         if token["close"]:
             if hidden and name in ("body", "html"):
                 leave_head()
-            depth = next((i for i in range(len(open_tags) - 1, -1, -1) if open_tags[i][0] == name), None)
-            if depth is not None:
-                close(depth)
+            if is_open[name]:
+                close(next(i for i in range(len(open_tags) - 1, -1, -1) if open_tags[i][0] == name))
             elif name in BLOCKS:
                 flush()
             continue
@@ -161,11 +199,18 @@ def blocks_of(page: str | None) -> list[Block]:
             elif name == "br":
                 hear(" ")
             continue
-        if name in FALLBACK and ends.get(name, -1) < at:
+        if name in SKIPPED:
+            if closer := next_end(name):
+                within = _BREAKOUT.search(page, at, closer[0]) if name == "svg" else None
+                if not (name == "svg" and token["rest"].endswith("/")):
+                    at = within.start() if within and within[1].lower() in BLOCKS else closer[1]
+            continue
+        if name in FALLBACK and not next_end(name):
             continue
         if name in BLOCKS:
-            for i in range(len(open_tags) - 1, -1, -1):
-                if open_tags[i][0] == "p" or open_tags[i][0] in CLOSES.get(name, ()):
+            ended = {"p", *CLOSES.get(name, ())}
+            for i in range(len(open_tags) - 1, -1, -1) if any(is_open[kind] for kind in ended) else ():
+                if open_tags[i][0] in ended:
                     close(i)
                 elif open_tags[i][0] in SCOPES:
                     break
@@ -175,7 +220,9 @@ def blocks_of(page: str | None) -> list[Block]:
         words = [w.lower() for m in _MARKS.finditer(token["rest"]) for w in (m[1] or m[2] or m[3] or "").split()]
         # Of a name of several words, the words count too.
         parts = [p for w in words for p in dict.fromkeys((w, *re.split("[-_]+", w))) if p]
-        open_tags.append((name, (name, *("." + p for p in parts))))
+        spot = Spot(open_tags[-1][1] if open_tags else None, (name, *("." + p for p in parts)))
+        open_tags.append((name, spot))
+        is_open[name] += 1
         links += name == "a"
         hidden += name in HIDDEN_TEXT
     hear(page[at:])
@@ -190,13 +237,12 @@ def teacher(path: tuple[str, ...]) -> bool:
 
 
 def measures(block: Block) -> list[float]:
-    n = len(block.text)
     return [
-        np.log1p(n) / 6.0,
-        min(block.linked / n, 1.0),
+        np.log1p(block.size) / 6.0,
+        min(block.linked / block.size, 1.0),
         len(_SIGNS.findall(block.text)) / (block.text.count(" ") + 1.0),
         float("©" in block.text),
-        float(block.path[-1:] == ("p",)),
+        float(block.spot is not None and block.spot.marks[-1] == "p"),
         1.0,
     ]
 
@@ -249,35 +295,67 @@ class Labeller:
             number = self._known[mark] = hashed(mark, PATHS)
         return number
 
-    def inputs(self, blocks: list[Block]) -> tuple[np.ndarray, ...]:
-        """Path numbers and word numbers, one block after the other, where each block's begin, and measures."""
-        paths, path_cuts = [], []
-        for block in blocks:
-            path_cuts.append(len(paths))
-            paths.append(self._number("leaf " + (block.path[-1] if block.path else "")))
-            paths.extend(map(self._number, block.path))
+    def inputs(self, blocks: list[Block]) -> tuple:
+        """The places of the blocks (see ``places``), word numbers, where each block's begin, and measures."""
         raws = [b.text.encode("utf-8", "surrogatepass") for b in blocks]
         data = np.frombuffer(b"\n".join(raws), np.uint8)
         starts, ends = word_spans(data)
         words = (span_hashes(data, starts, ends) % np.uint64(WORDS)).astype(np.int64)
         edges = np.cumsum([0] + [len(r) + 1 for r in raws[:-1]])
         extra = np.array([measures(b) for b in blocks], np.float32)
-        return np.array(paths), np.array(path_cuts), words, np.searchsorted(starts, edges), extra
+        return self.places(blocks), words, np.searchsorted(starts, edges), extra
+
+    def places(self, blocks: list[Block]) -> tuple:
+        """Every place above the blocks once.
 
-    def vectors(self, inputs: tuple[np.ndarray, ...]) -> np.ndarray:
-        paths, path_cuts, words, word_cuts, extra = inputs
-        w = self.weights
+        Numbers of the places' marks and where each place's begin, the place around each (0: none; places count from
+        1), the places by depth, each block's place, and the number of each block's last mark.
+        """
+        number: dict[int, int] = {}
+        marks, cuts, above, levels = [], [], [0], []
+        depths, own, leaves = [0], [], []
+        for block in blocks:
+            line, spot = [], block.spot
+            while spot is not None and id(spot) not in number:
+                line.append(spot)
+                spot = spot.above
+            at = number[id(spot)] if spot is not None else 0
+            for spot in reversed(line):
+                above.append(at)
+                depth = depths[at]
+                at = number[id(spot)] = len(above) - 1
+                depths.append(depth + 1)
+                if len(levels) == depth:
+                    levels.append([])
+                levels[depth].append(at)
+                cuts.append(len(marks))
+                marks.extend(map(self._number, spot.marks))
+            own.append(number[id(block.spot)] if block.spot is not None else 0)
+            leaves.append(self._number("leaf " + (block.spot.marks[-1] if block.spot else "")))
+        return (
+            np.array(marks, np.int64), np.array(cuts, np.int64), np.array(above),
+            [np.array(level) for level in levels], np.array(own), np.array(leaves),
+        )
+
+    def path_vectors(self, places: tuple) -> np.ndarray:
+        """The sum of the marks above each block: of a place, its own and the sum of the place around it."""
+        marks, cuts, above, levels, own, leaves = places
+        table = self.weights["paths"]
+        sums = np.zeros((len(above), PATH_SIZE), table.dtype)
+        if len(cuts):
+            sums[1:] = np.add.reduceat(table[marks], cuts, axis=0)
+        for level in levels[1:]:
+            sums[level] += sums[above[level]]
+        return sums[own] + table[leaves]
+
+    def vectors(self, inputs: tuple) -> np.ndarray:
+        places, words, word_cuts, extra = inputs
         sizes = np.diff(np.append(word_cuts, len(words)))[:, None]
-        return np.hstack(
-            (
-                np.add.reduceat(w["paths"][paths], path_cuts, axis=0),
-                np.add.reduceat(w["words"][words], word_cuts, axis=0) / sizes,
-                extra,
-            )
-        )
-
-    def read(self, x: np.ndarray, real: np.ndarray, way: str) -> tuple[np.ndarray, list]:
-        """One LSTM over (steps, pages, inputs): its states, and what training needs of each step."""
+        means = np.add.reduceat(self.weights["words"][words], word_cuts, axis=0) / sizes
+        return np.hstack((self.path_vectors(places), means, extra))
+
+    def read(self, x: np.ndarray, real: np.ndarray, way: str, keep: bool) -> tuple[np.ndarray, list]:
+        """One LSTM over (steps, pages, inputs): its states, and if kept what training needs of each step."""
         w_in, w_rec, bias = (self.weights[n + way] for n in ("in", "rec", "bias"))
         steps, pages, _ = x.shape
         driven = x @ w_in + bias
@@ -291,14 +369,15 @@ class Labeller:
             on = real[t][:, None]
             new = f * c + i * g
             bent = np.tanh(new)
-            kept.append((t, h, c, i, f, o, g, bent, on))
+            if keep:
+                kept.append((t, h, c, i, f, o, g, bent, on))
             c, h = np.where(on, new, c), np.where(on, o * bent, h)
             states[t] = h
         return states, kept
 
-    def probabilities(self, x: np.ndarray, real: np.ndarray) -> tuple[np.ndarray, list]:
-        ahead, kept0 = self.read(x, real, "0")
-        back, kept1 = self.read(x, real, "1")
+    def probabilities(self, x: np.ndarray, real: np.ndarray, keep: bool = False) -> tuple[np.ndarray, list]:
+        ahead, kept0 = self.read(x, real, "0", keep)
+        back, kept1 = self.read(x, real, "1", keep)
         states = np.concatenate((ahead, back), axis=2)
         p = 1 / (1 + np.exp(-(states @ self.weights["out"] + self.weights["out_bias"])))
         return p, [states, kept0, kept1]
@@ -331,7 +410,7 @@ class Labeller:
     def slopes(self, pages: list[list[Block]], truth: list[list[bool]]) -> dict[str, np.ndarray]:
         """The gradient of the mean logistic loss over the blocks of some pages."""
         x, real, (inputs, step, page) = self.grid(pages)
-        p, (states, kept0, kept1) = self.probabilities(x, real)
+        p, (states, kept0, kept1) = self.probabilities(x, real, keep=True)
         wrong = np.zeros_like(p)
         wrong[step, page] = (p[step, page] - np.array([y for ys in truth for y in ys])) / len(step)
         made = {n: np.zeros_like(w) for n, w in self.weights.items()}
@@ -355,16 +434,24 @@ class Labeller:
                 back_x[t] += dz @ w_in.T
                 dh = dz @ w_rec.T + np.where(on, 0, whole)
                 dc = inner * f + np.where(on, 0, dc)
-        paths, path_cuts, words, word_cuts, _ = inputs
+        (marks, cuts, above, levels, own, leaves), words, word_cuts, _ = inputs
         flat = back_x[step, page]
-        n_paths = np.diff(np.append(path_cuts, len(paths)))
         n_words = np.diff(np.append(word_cuts, len(words)))
-        np.add.at(made["paths"], paths, np.repeat(flat[:, :PATH_SIZE], n_paths, axis=0))
+        by_place = np.zeros((len(above), PATH_SIZE), flat.dtype)
+        np.add.at(by_place, own, flat[:, :PATH_SIZE])
+        for level in reversed(levels[1:]):
+            np.add.at(by_place, above[level], by_place[level])
+        np.add.at(made["paths"], marks, np.repeat(by_place[1:], np.diff(np.append(cuts, len(marks))), axis=0))
+        np.add.at(made["paths"], leaves, flat[:, :PATH_SIZE])
         mean = flat[:, PATH_SIZE : PATH_SIZE + WORD_SIZE] / n_words[:, None]
         np.add.at(made["words"], words, np.repeat(mean, n_words, axis=0))
         return made
 
 
+def spot_of(path: Sequence[str]) -> Spot | None:
+    return Spot(None, tuple(path)) if path else None
+
+
 def varied(blocks: list[Block], others: list[str], draw: np.random.Generator) -> tuple[list[Block], list[bool]]:
     """A training page with other names for its parts and parts put in, and its labels."""
     truth = [teacher(b.path) for b in blocks]
@@ -381,7 +468,7 @@ def varied(blocks: list[Block], others: list[str], draw: np.random.Generator) ->
                 path += ["div", "." + renamed.setdefault(mark, pick(OTHER_WORDS))]
             else:
                 path.append(mark)
-        out.append((Block(tuple(path), block.text, block.linked), is_main))
+        out.append((Block(spot_of(path), block.text, block.linked, block.size), is_main))
     inside = [n for n, (_, y) in enumerate(out) if y]
     for _ in range(int(draw.integers(0, 4))):
         kind, text = pick(OTHER_WORDS), others[int(draw.integers(len(others)))]
@@ -394,7 +481,8 @@ def varied(blocks: list[Block], others: list[str], draw: np.random.Generator) ->
             at = int(draw.choice([0, len(out)]))
         leaf = ("p",) if draw.random() < 0.5 else ()
         tag = (kind,) if kind in ("nav", "header", "footer", "aside", "form") else ("div", "." + kind)
-        out.insert(at, (Block((*stem, *tag, *leaf), text, 0 if draw.random() < 0.7 else len(text)), False))
+        linked = 0 if draw.random() < 0.7 else len(text)
+        out.insert(at, (Block(spot_of((*stem, *tag, *leaf)), text, linked, len(text)), False))
         inside = [n for n, (_, y) in enumerate(out) if y]
     return [b for b, _ in out], [y for _, y in out]
 
@@ -423,7 +511,7 @@ def fit(pages: DataFrame) -> Labeller:
     """Learn from a bounded sample of ``pages`` (page_id, url, html), cut to a bounded size each."""
     chosen = bounded_sample(pages.where("html is not null").select("page_id", "url", "html"), SAMPLE, "page_id", "url")
 
-    names = ("page", "n", "path", "text", "linked")
+    names = ("page", "n", "path", "text", "linked", "size")
 
     def shorten(batches: Batches) -> Iterator[Columns]:
         for batch in batches:
@@ -435,14 +523,14 @@ def fit(pages: DataFrame) -> Labeller:
                 if len(blocks) > TRAIN_BLOCKS:
                     blocks = blocks[:half] + blocks[-half:]
                 for n, b in enumerate(blocks):
-                    rows.append((str(key), n, list(b.path), b.text[:TRAIN_CHARS], min(b.linked, TRAIN_CHARS)))
+                    rows.append((str(key), n, list(b.path), b.text[:TRAIN_CHARS], b.linked, b.size))
             yield {name: [row[i] for row in rows] for i, name in enumerate(names)}
 
-    schema = "page string, n int, path array<string>, text string, linked int"
+    schema = "page string, n int, path array<string>, text string, linked long, size long"
     rows = by_batch(chosen, shorten, schema).collect()
     pages_of: dict[str, list[Block]] = {}
     for r in sorted(rows, key=lambda r: (r["page"], r["n"])):
-        pages_of.setdefault(r["page"], []).append(Block(tuple(r["path"]), r["text"], r["linked"]))
+        pages_of.setdefault(r["page"], []).append(Block(spot_of(r["path"]), r["text"], r["linked"], r["size"]))
     return learn(list(pages_of.values()))
 
 

@@ -2,6 +2,8 @@
 
 import html
 import re
+import time
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -50,6 +52,37 @@ def test_quotes_that_open_no_value():
     assert texts("<p title = 'a > b' id=\"c>d\">q") == ["q"]
 
 
+def test_elements_that_close_themselves_or_never():
+    assert texts('<article><p>a</p><svg class="i" /><p>b</p></article>') == ["a", "b"]
+    assert texts("<p>a<svg/>b<svg><path d=x /><text>no</text></svg>c") == ["abc"]
+    assert texts("<svg><g><p>a</p><svg>no</svg><p>b") == ["a", "b"]
+    assert texts("<svg><foreignObject><p>no</p></foreignObject></svg><p>b") == ["b"]
+    assert texts("<svg><path><p>a</p>") == ["a"]
+    assert texts("<noscript><p>a</p><div>b") == ["a", "b"]
+    assert texts("a<noscript><div>no</div></noscript>b<NOSCRIPT>no</NOSCRIPT >c") == ["abc"]
+    assert texts("<p>a</p><svg class=i />" * 3) == ["a"] * 3
+
+
+def test_deep_pages_take_no_longer_than_flat_ones():
+    tracemalloc.start()
+    began = time.process_time()
+    blocks = html_blocks.blocks_of("<div>x" * 30_000)
+    assert time.process_time() - began < 5 and tracemalloc.get_traced_memory()[1] < 200e6
+    tracemalloc.stop()
+    assert len(blocks) == 30_000 and len(blocks[-1].path) == 30_000 and blocks[0].path == ("div",)
+    assert len(html_blocks.blocks_of("<span>x</b><center>" * 20_000)) == 20_000
+    x, _, _ = html_blocks.Labeller().grid([blocks[:200]])
+    flat = [html_blocks.Block(html_blocks.spot_of(b.path), b.text, b.linked, b.size) for b in blocks[:200]]
+    assert np.allclose(x, html_blocks.Labeller().grid([flat])[0], atol=1e-3)
+
+
+def test_cut_training_blocks_keep_their_share_of_links():
+    whole = html_blocks.blocks_of("<p>" + "word " * 400 + "<a>" + "link " * 100 + "</a>")[0]
+    cut = html_blocks.Block(whole.spot, whole.text[:400], whole.linked, whole.size)
+    assert html_blocks.measures(cut)[:2] == html_blocks.measures(whole)[:2]
+    assert 0.1 < html_blocks.measures(cut)[1] < 0.3
+
+
 def test_paths_and_links():
     block, other = html_blocks.blocks_of('<div class="Menu top" id=m><a href="/x">link</a> y</div><article><p>z')
     assert block.path == ("div", ".menu", ".top", ".m") and block.linked == 4

@@ -12,13 +12,15 @@ The random numbers are read from two small tables, one with c and one with r and
 names a row of either, so 2**24 kinds of terms are told apart by 2 * 4096 broadcast rows.
 
 Each document is compared with the next one (descending doc_id, after the last the first) and
-with its edited text. Documents are dealt to cells of neighbouring ids, and a
+with its edited text. Documents are dealt to cells of neighbours, and a
 ghost row lends each cell the first document of the cell that follows, so one shuffle brings
-together all that is compared.
+together all that is compared. The borders of cells are quantiles of doc_id and the text's hash
+in a bounded sample, so ids that crowd, lie far out, repeat or are null make no cell large; only
+rows that agree in both are kept together. Borders decide where a row is worked on, not what comes out.
 
 Defined cases: null counts as empty. Texts without words have one fingerprint of their own:
-they are wholly alike, and unlike all others. Null doc_ids come last. Of rows that repeat
-a doc_id, shorter texts come first. A lone row is its own next one. Other columns
+they are wholly alike, and unlike all others. Null doc_ids come last. Rows that repeat
+a doc_id, null included, stand in the order of their texts' hashes. A lone row is its own next one. Other columns
 are ignored. An empty table gives no rows.
 """
 
@@ -36,6 +38,8 @@ BITS = 12
 CELL = 256
 TASK = 2048
 MOST_CELLS = 1 << 16
+#: Sampled rows for each border of cells, so half a million at most.
+PER_BORDER = 8
 DIGITS = 4
 
 
@@ -115,40 +119,57 @@ def likeness(a: Column, b: Column) -> Column:
     return F.aggregate(same, F.lit(0), lambda x, y: x + y) / float(SAMPLES)
 
 
-def in_cells(docs: DataFrame) -> tuple[DataFrame, int]:
-    """Rows (doc_id, text, cell, ghost), and the number of tasks for them.
+def borders(rows: DataFrame, cells: int, share: float) -> str:
+    """The first (doc_id, hash) of every cell but the first, in order, as JSON."""
+    spread = F.pmod(F.xxhash64("doc_id", "hash", F.lit(29)), F.lit(1 << 20))
+    chosen = rows.where(spread < math.ceil(share * (1 << 20)))
+    held = chosen.agg(F.array_sort(F.collect_list(F.struct("doc_id", "hash"))).alias("held"))
+    places = F.sequence(F.lit(1), F.lit(cells - 1))
+    cut = F.transform(places, lambda k: F.get("held", F.floor(k * F.size("held") / cells).cast("int")))
+    return held.select(F.to_json(F.array_distinct(F.array_compact(cut)))).first()[0]
+
+
+def cell_of(bounds: str, cells: int) -> Column:
+    """The number of borders up to a row, by bisection."""
+    held = F.from_json(F.lit(bounds), "array<struct<doc_id:bigint,hash:bigint>>")
+    steps = F.array(*[F.lit(1 << n) for n in reversed(range(cells.bit_length()))])
+    own = F.struct("doc_id", "hash")
+    return F.aggregate(
+        steps, F.lit(0), lambda at, step: F.when(F.get(held, at + step - 1) <= own, at + step).otherwise(at)
+    ).cast("long")
+
 
-    Cells are equal ranges of ids. Where ids crowd in a few ranges these cells are larger,
-    and no less right.
-    """
+def in_cells(docs: DataFrame) -> tuple[DataFrame, int]:
+    """Rows (doc_id, text, hash, cell, ghost), and the number of tasks for them."""
     docs = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
-    )
-    seen = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count(F.lit(1))).first()
-    low, high, n = seen[0] or 0, seen[1] or 0, seen[2]
+    ).withColumn("hash", F.xxhash64("text"))
+    n = docs.count()
     cells = min(MOST_CELLS, max(1, math.ceil(n / CELL)))
-    width = float(max(1, math.ceil((high - low + 1) / cells)))
-    spot = F.floor((F.col("doc_id").cast("double") - float(low)) / width)
-    rows = docs.withColumn("cell", F.coalesce(spot, F.lit(-1)).cast("long"))
-    # At most MOST_CELLS + 2 rows, which fit one task and a broadcast.
-    tops = rows.groupBy("cell").agg(F.max("doc_id").alias("top"))
+    bounds = borders(docs, cells, min(1.0, PER_BORDER * cells / n)) if cells > 1 else "[]"
+    rows = docs.withColumn("cell", cell_of(bounds, cells))
+    # At most MOST_CELLS rows, which fit one task and a broadcast.
+    tops = rows.groupBy("cell").agg(F.max(F.struct("doc_id", "hash")).alias("top"))
     down, everything = Window.orderBy(F.desc("cell")), Window.orderBy(F.desc("cell")).rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing
     )
     lent = tops.select(
         F.coalesce(F.lag("cell").over(down), F.last("cell").over(everything)).alias("cell"),
         F.col("cell").alias("from_cell"),
-        "top",
+        F.col("top.doc_id").alias("top_id"),
+        F.col("top.hash").alias("top_hash"),
+    )
+    same = (
+        (F.col("own") == F.col("from_cell"))
+        & (F.col("hash") == F.col("top_hash"))
+        & F.col("doc_id").eqNullSafe(F.col("top_id"))
     )
-    same = (F.col("own") == F.col("from_cell")) & F.col("doc_id").eqNullSafe(F.col("top"))
-    # Rows that repeat the top doc_id: the first of them is what follows.
-    first = F.min(F.struct(F.char_length("text").alias("n"), "text")).alias("first")
     ghosts = (
         rows.withColumnRenamed("cell", "own")
         .join(F.broadcast(lent), same)
-        .groupBy("cell", "doc_id")
-        .agg(first)
-        .select("doc_id", "first.text", "cell", F.lit(True).alias("ghost"))
+        .groupBy("cell", "doc_id", "hash")
+        .agg(F.min("text").alias("text"))
+        .select("doc_id", "text", "hash", "cell", F.lit(True).alias("ghost"))
     )
     return rows.withColumn("ghost", F.lit(False)).unionByName(ghosts), max(1, min(cells, n // TASK))
 
@@ -160,7 +181,7 @@ def compared(docs: DataFrame) -> DataFrame:
     order = [
         F.asc("ghost"),
         F.desc_nulls_last("doc_id"),
-        F.char_length("text"),
+        F.desc("hash"),
         F.col("text"),
     ]
     line = Window.partitionBy("cell").orderBy(*order)

@@ -88,3 +88,23 @@ def test_samples_of_a_term_follow_its_weight(spark):
         sum(by[f"{n}"][i : i + 4] == by[f"{n}h"][i : i + 4] for i in range(0, 256, 4)) / 64 for n in range(60)
     ]
     assert abs(sum(agreed) / 60 - 0.75) < 0.03
+
+
+def test_cells_stay_small_whatever_the_ids(spark):
+    """Crowded ids, one far out, and a third without any; neighbours are found over all borders."""
+    ids = [*range(4000), 10**15, -(10**15), *[7] * 1500, *[None] * 2500]
+    docs = documents(spark, [(doc_id, f"text {n} " + "same words " * 5) for n, doc_id in enumerate(ids)])
+    rows, _ = fingerprints.in_cells(docs)
+    sizes = [r["count"] for r in rows.where("NOT ghost").groupBy("cell").count().collect()]
+    assert sum(sizes) == len(ids) and len(sizes) > len(ids) / fingerprints.CELL / 2
+    assert max(sizes) < 4 * fingerprints.CELL
+    assert rows.where("ghost").count() == len(sizes)
+    own = rows.where("NOT ghost").selectExpr("doc_id", "text", "hash").collect()
+    own.sort(key=lambda r: (r.doc_id is None, -(r.doc_id or 0), -r.hash, r.text))
+    want = []
+    for n, row in enumerate(own):
+        half, following = len(row.text) // 2, own[(n + 1) % len(own)].text
+        edited = row.text[: len(row.text) - half] + following[:half]
+        want.append((row.doc_id or -1, hashlib.sha256(edited.encode()).hexdigest()))
+    found = [(-1 if r.doc_id is None else r.doc_id, r.edited_sha256) for r in fingerprints.compared(docs).collect()]
+    assert sorted(found) == sorted((-1 if r.doc_id is None else r.doc_id, w[1]) for r, w in zip(own, want, strict=True))

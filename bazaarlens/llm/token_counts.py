@@ -8,7 +8,8 @@ it, and the pieces of that path; no path is kept. The tie rules are the tokenize
 scores the piece that begins first wins. A character that is no piece itself may stand as
 unknown, ten below the worst score of the vocabulary, and is counted by its UTF-8 bytes.
 
-Words are counted once per task while a bounded table remembers them.
+Words are counted once per task while a bounded table remembers them. Scores are kept as far back as
+the longest piece reaches, so a word without an end takes no more memory than its text.
 
 Defined cases: a null text has no count (null); an empty text has none (0). Repeated rows
 are counted alike; other columns are ignored; no rows give no rows.
@@ -30,8 +31,11 @@ from bazaarlens.llm.frames import Batches, Columns, by_batch
 SPACE = "▁"
 #: What an unknown character costs below the worst piece.
 PENALTY = 10.0
-#: Words that a task remembers.
+#: Words that a task remembers, and their characters.
 REMEMBERED = 500_000
+REMEMBERED_CHARS = 1 << 24
+#: Characters of a word whose pieces are looked up at once.
+STEP = 1 << 12
 #: Characters that are counted at once. Cuts are before spaces, or nowhere.
 SLICE = 1 << 22
 
@@ -52,29 +56,37 @@ def counter(pieces: Vocabulary) -> Callable[[str], int]:
             automaton.add_word(piece, (len(piece), score))
     automaton.make_automaton()
     unknown = min(score for _, score in pieces) - PENALTY
+    longest = max(len(piece) for piece, _ in pieces)
 
     def count(word: str) -> int:
-        n = len(word)
-        ends: list[list[tuple[int, float]]] = [[] for _ in range(n)]
-        for last, found in automaton.iter(word):
-            ends[last].append(found)
-        best, used = [0.0] * (n + 1), [0] * (n + 1)
-        for place, found in enumerate(ends, 1):
-            # Longest first: among equal scores the tokenizer keeps the piece that begins first.
-            found.sort(reverse=True)
-            score, pieces_used, single = None, 0, False
-            for length, own in found:
-                total = own + best[place - length]
-                if score is None or total > score:
-                    score, pieces_used = total, used[place - length] + 1
-                single = single or length == 1
-            if not single:
-                total = unknown + best[place - 1]
-                if score is None or total > score:
-                    raw = word[place - 1].encode("utf-8", "surrogatepass")
-                    score, pieces_used = total, used[place - 1] + len(raw)
-            best[place], used[place] = score, pieces_used
-        return used[n]
+        # The last places, and the pieces of the best path to each.
+        best, used = [0.0], [0]
+        for start in range(0, len(word), STEP):
+            # Pieces that end from here on may begin before.
+            back = min(start, longest - 1)
+            part = word[start - back : start + STEP]
+            ends: list[list[tuple[int, float]]] = [[] for _ in part]
+            for last, found in automaton.iter(part):
+                ends[last].append(found)
+            best, used = best[-longest:], used[-longest:]
+            for place in range(back, len(part)):
+                # Longest first: among equal scores the tokenizer keeps the piece that begins first.
+                found = ends[place]
+                found.sort(reverse=True)
+                score, pieces_used, single = None, 0, False
+                for length, own in found:
+                    total = own + best[-length]
+                    if score is None or total > score:
+                        score, pieces_used = total, used[-length] + 1
+                    single = single or length == 1
+                if not single:
+                    total = unknown + best[-1]
+                    if score is None or total > score:
+                        raw = part[place].encode("utf-8", "surrogatepass")
+                        score, pieces_used = total, used[-1] + len(raw)
+                best.append(score)
+                used.append(pieces_used)
+        return used[-1]
 
     return count
 
@@ -96,8 +108,10 @@ def words_of(text: str) -> Iterator[list[str]]:
 def text_counter(pieces: Vocabulary) -> Callable[[str], int]:
     count = counter(pieces)
     seen: dict[str, int] = {}
+    held = 0
 
     def total(text: str) -> int:
+        nonlocal held
         if not text:
             return 0
         found = 0
@@ -105,9 +119,13 @@ def text_counter(pieces: Vocabulary) -> Callable[[str], int]:
             for word, times in Counter(words).items():
                 n = seen.get(word)
                 if n is None:
-                    if len(seen) >= REMEMBERED:
+                    n = count(SPACE + word)
+                    if len(seen) >= REMEMBERED or held + len(word) > REMEMBERED_CHARS:
                         seen.clear()
-                    n = seen[word] = count(SPACE + word)
+                        held = 0
+                    if len(word) <= REMEMBERED_CHARS:
+                        seen[word] = n
+                        held += len(word)
                 found += n * times
         return found
 

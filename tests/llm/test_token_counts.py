@@ -1,5 +1,8 @@
 """Counts against the tokenizers library's Unigram model."""
 
+import random
+import tracemalloc
+
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -63,3 +66,20 @@ def test_awkward_frames(spark):
     found = token_counts.token_counts(awkward(documents(spark, rows)), PATH).collect()
     assert sorted((r.doc_id or 0, -1 if r.n_tokens is None else r.n_tokens) for r in found) == [(0, 2), (1, -1), (1, 0), (2, 2), (2, 2)]
     assert token_counts.token_counts(documents(spark, []), PATH).count() == 0
+
+
+def test_words_without_an_end_take_constant_memory(both, monkeypatch):
+    draw = random.Random(4)
+    long_words = ["漢字仮名交じり文" * 3000, "".join(draw.choices("abcdefgh+/=", k=30_000)), "ß😀" * 5000, "a" * 20_000]
+    assert [both[0](w) for w in long_words] == [both[1](w) for w in long_words]
+    longer = "".join(draw.choices("漢字仮名交文", k=400_000))
+    tracemalloc.start()
+    both[0](longer)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 10 * len(longer)
+    monkeypatch.setattr(token_counts, "STEP", 1)
+    monkeypatch.setattr(token_counts, "REMEMBERED_CHARS", 10)
+    by_one = token_counts.text_counter(token_counts.vocabulary(PATH))
+    for word in ["internationalization of unbelievable things", *(w[:2000] for w in long_words)]:
+        assert by_one(word) == both[1](word)

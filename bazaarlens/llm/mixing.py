@@ -13,9 +13,10 @@ every row looks the slot of its block up. When a source runs out, a new phase be
 which the weights of the others count alone, from zero; there are as many phases as sources at
 most. Every row keeps its place in the mix: none is dropped and none repeated.
 
-Defined cases: null sources form one source. Sources without a target weight share what the
-named ones leave, or get the least weight if nothing is left. A target means its decimal
-digits (0.1 is a tenth). Null texts and doc_ids are rows like others. An empty table gives no
+Defined cases: null sources and those named by an empty string form one source, named "". Sources without a target
+weight share what the named ones leave, or get the least weight if nothing is left. A target means its decimal
+digits (0.1 is a tenth). Sources with a target of 0 come after all others, and evenly among themselves; a target below 0, or
+one that is no finite number, is an error. Targets of sources that have no rows count for nothing. Null texts and doc_ids are rows like others. An empty table gives no
 rows.
 """
 
@@ -98,8 +99,16 @@ def phases(weights: Mapping[str, float], blocks: Mapping[str, int], period: int
 
     With a ``period``, the weights are rounded to whole slots of it.
     """
-    left, out = {k: n for k, n in blocks.items() if n > 0}, []
-    whole = exact(weights)
+    out: list[list[str]] = []
+    for kept in ({k: w for k, w in weights.items() if w > 0}, {k: 1 for k, w in weights.items() if w == 0}):
+        out += _phases_of(kept, {k: blocks[k] for k in kept if blocks[k] > 0}, period)
+    return out
+
+
+def _phases_of(weights: Mapping[str, float], left: dict[str, int], period: int | None) -> list[list[str]]:
+    """The parts of the mix of sources that all have a weight."""
+    out = []
+    whole = exact(weights) if weights else {}
     while left:
         held = {k: whole[k] for k in left}
         out.append(schedule(shares({k: weights[k] for k in left}, period) if period else held, left))
@@ -114,7 +123,10 @@ def target_weights(
 ) -> dict[str, float] | dict[str, Fraction]:
     if targets is None:
         return {k: n**TEMPERATURE for k, n in counts.items()}
-    named = {k: Fraction(str(w)) for k, w in targets.items() if k in counts and w > 0}
+    wrong = {k: w for k, w in targets.items() if not 0 <= w < float("inf")}
+    if wrong:
+        raise ValueError(f"targets are finite and not below 0: {wrong}")
+    named = {k: Fraction(str(w)) for k, w in targets.items() if k in counts}
     others = [k for k in counts if k not in named]
     spare = max(1 - sum(named.values()), Fraction(0))
     return named | {k: max(spare / len(others), Fraction(1, 10**9)) for k in others}

@@ -2,6 +2,8 @@
 
 import random
 from collections import Counter
+from fractions import Fraction
+from math import ceil, floor
 
 import pytest
 from llm_cases import awkward, documents
@@ -106,3 +108,55 @@ def test_more_sources_than_slots_of_a_period(spark):
     assert len(found) == len({r.position for r in found}) == 9000
     blocks = {(r.source, r.block): r.slot for r in found}
     assert sorted(blocks.values()) == list(range(len(blocks)))
+
+
+def by_exact_windows(counts, weights, block):
+    """The mix worked out slot by slot, from the windows of Pfair blocks in fractions."""
+    left = {k: -(-n // block) for k, n in counts.items()}
+    done, out = dict.fromkeys(left, 0), []
+    for of_zero in (False, True):
+        now = {k for k in left if (weights[k] == 0) == of_zero}
+        while now:
+            own = {k: Fraction(1) if of_zero else Fraction(str(weights[k])) for k in now}
+            share = {k: w / sum(own.values()) for k, w in own.items()}
+            first, n = dict(done), 0
+            while all(left[k] for k in now):
+                ready = []
+                for k, w in share.items():
+                    j = done[k] - first[k]
+                    overlaps = (j + 1) / w != ceil((j + 1) / w)
+                    if floor(j / w) <= n:
+                        ready.append((ceil((j + 1) / w) - 1, not overlaps, not (overlaps and 2 * w >= 1), k))
+                name = min(ready)[-1]
+                out.append((name, done[name]))
+                done[name] += 1
+                left[name] -= 1
+                n += 1
+            now = {k for k in now if left[k]}
+    return out
+
+
+@pytest.mark.parametrize(
+    "targets",
+    [None, {"a": 0.5, "b": 0.3}, {"a": 0.9, "b": 0.0}, {"a": 0.0, "b": 0.0, "c": 0, "": 0}, {"a": 0.7, "b": 0.3, "gone": 5}],
+)
+def test_default_path_equals_the_simulation_by_exact_windows(spark, targets):
+    draw = random.Random(5)
+    rows = [(n, f"t{n}", "en", draw.choice(["a"] * 8 + ["b", "b", "c", None])) for n in range(900)]
+    docs = awkward(documents(spark, rows))
+    found = mixing.mixed(docs, targets, block=4).collect()
+    counts = Counter(r.source for r in found)
+    slots = {(r.source, r.block): r.slot for r in found}
+    order = [k for k, _ in sorted(slots.items(), key=lambda x: x[1])]
+    assert order == by_exact_windows(counts, mixing.target_weights(counts, targets), 4)
+
+
+def test_targets_of_zero_come_last_and_bad_ones_are_refused(spark):
+    counts = {"a": 10, "b": 10, "c": 10}
+    weights = mixing.target_weights(counts, {"a": 0.9, "b": 0.0})
+    assert weights == {"a": Fraction(9, 10), "b": 0, "c": Fraction(1, 10)}
+    order = [name for part in mixing.phases(weights, counts) for name in part]
+    assert order[-10:] == ["b"] * 10 and Counter(order) == counts
+    for bad in (-0.1, float("nan"), float("inf")):
+        with pytest.raises(ValueError):
+            mixing.target_weights(counts, {"a": bad})

@@ -13,7 +13,7 @@ from bazaarlens.operators.cleaning import (
     translate_products,
     with_delivery,
 )
-from bazaarlens.operators.joins import left_join_many
+from bazaarlens.operators.joins import left_join_many, marked_rows
 from bazaarlens.operators.repeats import Copies, with_copies
 
 Datasets = Mapping[str, DataFrame]
@@ -71,7 +71,12 @@ def build_master(data: Datasets) -> DataFrame:
     Customers are looked up at order grain, where there are fewer rows, and
     before the joins on order_id. The plan is the same at every size: adaptive
     execution knows the bytes of a lookup and broadcasts it if they are few.
+
+    Items, payments and reviews of other orders, of those not delivered or outside the months of a refresh, are
+    left out before they are shuffled.
     """
+    kept = clean_orders(data["orders"]).select("order_id")
+    data = {**data, **{name: marked_rows(data[name], "order_id", kept) for name in ("order_items", "payments", "reviews")}}
     orders = order_rows(
         {
             "orders": data["orders"].join(data["customers"], on="customer_id", how="left"),

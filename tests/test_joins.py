@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlens.operators.joins import left_join_many
+from bazaarlens.operators.joins import left_join_many, marked_rows
 from bazaarlens.plans.features import seller_features_window
 from bazaarlens.plans.master import build_master
 
@@ -146,3 +146,31 @@ def test_equals_the_plain_left_join(spark, one, many):
     assert multiset(left_join_many(left, right, "k")) == multiset(
         left.join(right, on="k", how="left")
     )
+
+
+@pytest.mark.parametrize("key", ["id", "int(id) AS id", "concat('k', id) AS id"])
+def test_marked_rows_lack_no_match_and_few_others(spark, key):
+    rows = spark.range(0, 40_000, 1, 4).selectExpr(key, "id AS n").union(spark.range(1).selectExpr("NULL", "-1L"))
+    wanted = rows.where("n % 4 = 0 OR n < 0")
+    found = marked_rows(rows, "id", wanted)
+    assert found.join(wanted, "id", "left_semi").count() == 10_000
+    assert found.count() < 10_100
+
+
+def test_keys_of_other_types_are_left_to_the_join(spark):
+    rows = spark.range(9)
+    for kind in ("string", "double", "decimal(9,0)"):
+        wanted = rows.select(F.col("id").cast(kind))
+        assert marked_rows(rows, "id", wanted) is rows
+    doubles = rows.select(F.col("id").cast("double"))
+    assert marked_rows(doubles, "id", doubles) is doubles
+
+
+def test_rows_of_orders_that_are_not_kept_are_not_shuffled(skewed, settings):
+    shuffle_only(settings)
+    data = {**skewed, "orders": skewed["orders"].withColumn("order_status", F.expr("if(order_id = 'o1', 'delivered', 'shipped')"))}
+    master = build_master(data)
+    items = data["order_items"].where("order_id = 'o1'").count()
+    assert len(master.collect()) == max(items, 1)
+    # Items stand there twice: as rows, and as the keys that orders lack.
+    assert final_plan(master).count("LeftSemi") >= 3

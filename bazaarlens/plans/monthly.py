@@ -11,7 +11,7 @@ order_id must not stand in two months; ``duplicate_keys`` of a full refresh list
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,17 +42,22 @@ def by_month(master: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def changed_months(orders: DataFrame, changed: Mapping[str, DataFrame], master: DataFrame | None) -> list[int]:
-    """The months of the rows that have a changed key, in the new orders or in the stored master."""
+def changed_months(orders: DataFrame, changed: Mapping[str, DataFrame], stored: Callable[[str], DataFrame] | None) -> list[int]:
+    """The months of the rows that have a changed key, in the new orders or in the stored master.
+
+    ``stored`` opens a table by name. The stored order table has every order of master once, so it is read for order_id.
+    """
     unknown = set(changed) - set(KEYS)
     if unknown:
         raise ValueError(f"changes are named by {KEYS}, not by {sorted(unknown)}")
     orders = clean_orders(orders).select(*KEYS[:2], month_of("order_purchase_timestamp").alias(MONTH))
     found = []
-    for rows in [orders, *([master.select(*KEYS, MONTH)] if master is not None else [])]:
-        for key, ids in changed.items():
-            if key in rows.columns:
-                found.append(rows.join(ids.select(key).distinct(), key, "left_semi").select(MONTH).distinct())
+    for key, ids in changed.items():
+        tables = [orders] if key in orders.columns else []
+        if stored is not None:
+            tables.append(stored("order_features" if key == "order_id" else "master"))
+        for rows in tables:
+            found.append(rows.join(ids.select(key).distinct(), key, "left_semi").select(MONTH).distinct())
     months = found[0]
     for more in found[1:]:
         months = months.union(more)
@@ -78,7 +83,7 @@ def refresh_months(
     before = last_lines(spark, out)
     touched: list[int] | None = None
     if before and changed is not None:
-        touched = changed_months(data["orders"], changed, open_table(spark, out, "master", before))
+        touched = changed_months(data["orders"], changed, lambda name: open_table(spark, out, name, before))
     run = new_run()
     lines: list[Line] = []
 

@@ -11,7 +11,7 @@ from bazaarlens.plans import monthly
 from bazaarlens.plans import refresh as refresh_module
 from bazaarlens.plans.features import CATEGORY, features_from_master
 from bazaarlens.plans.master import MASTER_COLUMNS, build_master
-from bazaarlens.plans.monthly import refresh_months
+from bazaarlens.plans.monthly import changed_months, refresh_months
 from bazaarlens.plans.refresh import latest, refresh
 from bazaarlens.sources import generations
 from bazaarlens.sources.generations import MONTH, Line
@@ -200,3 +200,16 @@ def test_no_orders_at_all(spark, golden, tmp_path):
     assert spark.table("nothing.order_features").count() == 5
     assert spark.table("nothing.master").count() == 6
     spark.sql("DROP DATABASE nothing CASCADE")
+
+
+def test_changed_orders_are_looked_up_in_the_stored_order_table(spark, golden):
+    held = spark.sql("SELECT * FROM VALUES ('o1', 201712), ('o3', 201801), ('o9', 201802) AS t(order_id, purchase_month)")
+    opened = []
+
+    def stored(name):
+        opened.append(name)
+        return held
+
+    ids = spark.sql("SELECT * FROM VALUES ('o1'), ('o4'), ('o9') AS t(order_id)")
+    assert changed_months(golden["orders"], {"order_id": ids}, stored) == [201712, 201801, 201802]
+    assert opened == ["order_features"]

@@ -8,7 +8,7 @@ from conftest import SF_SMALL, multiset
 from test_sources import raw  # noqa: F401
 
 from bazaarlens import __main__ as jobs
-from bazaarlens.plans import features
+from bazaarlens.plans import features, queries
 from bazaarlens.plans import refresh as refresh_module
 from bazaarlens.plans.master import build_master
 from bazaarlens.plans.refresh import latest, refresh
@@ -126,3 +126,15 @@ def test_jobs_from_raw_files(spark, raw, tmp_path, capsys):  # noqa: F811
     assert spark.read.parquet(f"{out}/reports/all_states").count() == 1
     jobs.run_quality(spark, raw)
     assert "review_score" in capsys.readouterr().out
+
+
+def test_raw_files_of_a_refresh_are_written_at_once(spark, monkeypatch):
+    together, for_all = [], queries.for_all
+
+    def noted(tables, write):
+        together.append(len(tables))
+        for_all(tables, write)
+
+    monkeypatch.setattr(queries, "for_all", noted)
+    queries.csv_refresh(spark, SF_SMALL)
+    assert together == [9]

@@ -38,18 +38,16 @@ def _place_sql(key: str) -> str:
 def key_marks(rows: DataFrame, key: str) -> DataFrame:
     """A bit for the hash of every key, as bit maps by number: a table small enough for each executor to hold."""
     place = _place_sql(key)
-    maps = (
+    words = (
         rows.where(F.col(key).isNotNull())
-        .selectExpr(f"shiftright({place}, 15) AS map_no", f"{place} & 32767L AS bit")
-        .groupBy("map_no")
-        .agg(F.expr("bitmap_construct_agg(bit) AS marks"))
+        .selectExpr(f"shiftright({place}, 6) AS word", f"shiftleft(1L, int({place} & 63L)) AS bit")
+        .groupBy("word")
+        .agg(F.expr("bit_or(bit) AS bits"))
     )
-
-    def half(first: str) -> str:
-        return f"bigint(conv(hex(substring(marks, 8 * i + {first}, 4)), 16, 10))"
-
-    longs = f"transform(sequence(0, 511), i -> shiftleft({half('1')}, 32) | {half('5')}) AS longs"
-    return maps.selectExpr("map_no", longs)
+    maps = words.groupBy(F.expr("shiftright(word, 9) AS map_no")).agg(
+        F.expr("map_from_entries(collect_list(struct(word & 511L AS at, bits))) AS held")
+    )
+    return maps.selectExpr("map_no", "transform(sequence(0L, 511L), i -> coalesce(try_element_at(held, i), 0L)) AS longs")
 
 
 def marked_rows(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
@@ -63,7 +61,6 @@ def marked_rows(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     if kind not in HASHED or rows.schema[key].dataType.simpleString() != kind:
         return rows
     place = _place_sql(key)
-    # The first byte of a long is its highest, while bits count from the lowest of the first byte.
-    marked = f"getbit(longs[int(shiftright({place} & 32767L, 6))], int(({place} & 63L) ^ 56L)) = 1"
+    marked = f"getbit(longs[int(shiftright({place} & 32767L, 6))], int({place} & 63L)) = 1"
     found = F.expr(f"shiftright({place}, 15) = map_no AND {marked}")
     return rows.join(F.broadcast(key_marks(wanted, key)), found, "left_semi")
